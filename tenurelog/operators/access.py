@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import asc
-from .skew import PIECE, split_hot_keys
+from .skew import MAX_PIECES, PIECE, write_pieces
 
 # Bounds of one page.
 MIN_LIMIT, MAX_LIMIT = 1, 100
@@ -85,27 +86,28 @@ def page(
 
 
 def _narrow(
-    rows: DataFrame, order: Sequence[str], offset: int, limit: int, deep: int
+    rows: DataFrame, order: Sequence[str], skip: int, limit: int, deep: int
 ) -> tuple[DataFrame, int]:
-    """Rows around the page, and how many of them precede it."""
-    columns, skip = rows.columns, offset
+    """Rows around the page, and how many of them precede it.
+
+    The rows are cut into stretches of the sort order; those that lie wholly
+    before or after the page are left out. A stretch that is still too long is
+    cut again.
+    """
     while skip > deep:
-        whole = rows.withColumn("_all", F.lit(0))
-        split = split_hot_keys(whole, ["_all"], order, max_rows=max(deep // 2, 1))
-        if not split.hot:
-            break
-        tagged = split.tag(whole)
-        sizes = tagged.groupBy(PIECE).count().orderBy(PIECE).collect()  # a row per piece, bounded
-        before, first, last = 0, None, None
+        pieces = min(ceil(2 * rows.count() / deep), MAX_PIECES)
+        cut = write_pieces(rows, order, pieces)
+        sizes = cut.groupBy(PIECE).count().orderBy(PIECE).collect()  # a row per piece, bounded
+        before, wanted, ahead = 0, [], 0
         for piece, size in sizes:
-            if before + size > skip and first is None:
-                first, ahead = piece, before
-            if before < skip + limit:
-                last = piece
+            if before + size <= skip:
+                ahead = before + size
+            elif before < skip + limit:
+                wanted.append(piece)
             before += size
-        if (first, last) == (sizes[0][0], sizes[-1][0]):
-            break
-        rows = tagged.where(F.col(PIECE).between(first, last)).select(*columns)
+        if len(wanted) == len(sizes):
+            break  # one position throughout, nothing to cut at
+        rows = cut.where(F.col(PIECE).between(wanted[0], wanted[-1])).drop(PIECE)
         skip -= ahead
     return rows, skip
 

@@ -32,13 +32,10 @@ def scd2_from_changes(
     """
     order = [effective, *tie_break]
     split = split_hot_keys(changes, [key], order, max_rows)
-    return intervals(
-        split.tag(changes), split, effective, order, carry, rank, collapse_same_day
-    ).drop(PIECE)
+    return intervals(split, effective, order, carry, rank, collapse_same_day).drop(PIECE)
 
 
 def intervals(
-    tagged: DataFrame,
     split: KeySplit,
     effective: str,
     order: Sequence[str],
@@ -46,8 +43,8 @@ def intervals(
     rank: str | None = None,
     collapse_same_day: bool = False,
 ) -> DataFrame:
-    """The same for rows already tagged by ``split``; keeps the split's columns."""
-    dated = with_neighbour(tagged, split, order, effective, "_next", 1)
+    """The same for changes already split; keeps the columns they are split by."""
+    dated = with_neighbour(split.rows, split, order, effective, "_next", 1)
     if rank:
         dated = with_rank_from_end(dated, split, order, rank)
     until = F.coalesce(F.date_sub("_next", 1), open_end())

@@ -6,16 +6,19 @@ execution splits skewed joins, not skewed windows, so the split is made here:
 
 * count rows per key (map-side combined; only key columns are scanned);
 * if no key exceeds ``max_rows`` nothing is changed: one plain window;
-* otherwise give each hot key cut points in its own sort order, so that its
-  rows fall into pieces which follow one another, and run the window per
-  ``(key, piece)``. The row at the edge of a piece takes its neighbour from a
-  table with one row per piece of a hot key.
+* otherwise the rows of the hot keys alone are range-partitioned by key and
+  sort order and written to the shared scratch folder with their partition
+  number. Each hot key then consists of pieces that follow one another, and
+  the window runs per ``(key, piece)``. A row at the edge of a piece takes its
+  neighbour from a table with one row per piece of a hot key.
 
-The result is exact whatever the cut points are; they only balance the work.
+Spark's range partitioning uses the window's own ordering, so the result is
+exact wherever it cuts; the cuts only balance the work. The written table makes
+the piece numbers the same in every plan and survives lost executors.
 
 Size bound of everything broadcast or collected here: a key is hot only when it
 has more than ``total / MAX_PIECES`` rows, so there are fewer than MAX_PIECES
-hot keys, and pieces in all number fewer than ``2 * MAX_PIECES``. Both are
+hot keys, and (key, piece) pairs number fewer than ``3 * MAX_PIECES``. Both are
 constants that do not grow with the data.
 """
 
@@ -25,60 +28,56 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import asc, null_safe_equal, order_struct
+from ..functions import asc, desc, null_safe_equal, order_struct
+from ..session import scratch_dir
 
 PIECE = "_piece"
-MAX_PIECES = 1024
+MAX_PIECES = 4096
 MAX_ROWS = 2_000_000
-SAMPLES_PER_PIECE = 8
-STRIDE = 32
 
 
 @dataclass(frozen=True)
 class KeySplit:
-    """How the rows of each key are divided; ``cuts`` is None when no key is hot."""
+    """The rows of a table with hot keys divided; unchanged if there are none."""
 
     keys: tuple[str, ...]
-    order: tuple[str, ...]
-    cuts: DataFrame | None = None
+    rows: DataFrame  # with PIECE if hot: -1 for ordinary keys
+    hot_rows: DataFrame | None = None
 
     @property
     def hot(self) -> bool:
-        return self.cuts is not None
+        return self.hot_rows is not None
 
     @property
     def by(self) -> list[str]:
         """Columns that identify one unit of work."""
         return [*self.keys, PIECE] if self.hot else list(self.keys)
 
-    def _with_cuts(self, df: DataFrame) -> DataFrame:
-        names = [f"_k{i}" for i in range(len(self.keys))]
-        if not names:
-            raise ValueError("a split needs key columns")
-        return df.join(F.broadcast(self.cuts), null_safe_equal(self.keys, names), "left").drop(*names)
-
-    def tag(self, df: DataFrame) -> DataFrame:
-        """Add the piece number: -1 for ordinary keys, 0, 1, .. for hot ones."""
-        if not self.hot:
-            return df
-        here = order_struct(self.order)
-        # Two levels: STRIDE coarse steps, then one stretch of STRIDE cuts.
-        block = F.size(F.filter("_coarse", lambda c: c <= here)) * STRIDE
-        fine = F.size(F.filter(F.slice("_cuts", block + 1, F.lit(STRIDE)), lambda c: c <= here))
-        piece = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(block + fine)
-        return self._with_cuts(df).withColumn(PIECE, piece.cast("int")).drop("_cuts", "_coarse")
-
     def fan_out(self, df: DataFrame) -> DataFrame:
-        """Copy rows of a hot key to each of its pieces, to join tagged rows on ``by``."""
+        """Copy rows of a hot key to each of its pieces, to join ``rows`` on ``by``."""
         if not self.hot:
             return df
-        pieces = F.when(F.col("_cuts").isNull(), F.array(F.lit(-1))).otherwise(
-            F.sequence(F.lit(0), F.size("_cuts"))
-        )
-        return self._with_cuts(df).withColumn(PIECE, F.explode(pieces)).drop("_cuts", "_coarse")
+        pieces = self.hot_rows.groupBy(*self.keys).agg(F.collect_set(PIECE).alias("_pieces"))
+        copies = F.explode(F.coalesce("_pieces", F.array(F.lit(-1))))
+        return attach(df, pieces, self.keys).select(*df.columns, copies.alias(PIECE))
+
+
+def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join one of the bounded tables; its first columns correspond to ``keys``."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    small = small.toDF(*names, *small.columns[len(names) :])
+    return df.join(F.broadcast(small), null_safe_equal(keys, names), "left").drop(*names)
+
+
+def write_pieces(df: DataFrame, order: Sequence[str], pieces: int) -> DataFrame:
+    """The rows with the number of the stretch of the sort order they fall into."""
+    path = scratch_dir(df.sparkSession, "pieces")
+    ranged = df.repartitionByRange(pieces, *asc(*order)).withColumn(PIECE, F.spark_partition_id())
+    ranged.write.parquet(path)
+    return df.sparkSession.read.schema(ranged.schema).parquet(path)
 
 
 def split_hot_keys(
@@ -87,54 +86,28 @@ def split_hot_keys(
     order: Sequence[str],
     max_rows: int = MAX_ROWS,
 ) -> KeySplit:
-    """Find keys with too many rows for one task and cut points for each of them.
+    """Divide keys that have too many rows for one task.
 
-    Runs one job that returns two numbers. Only when some key is hot do two
-    more follow; they return at most ``MAX_PIECES`` rows.
+    Runs one job that returns two numbers. Only when some key is hot are the
+    rows of the hot keys written out.
     """
-    keys, order = tuple(keys), tuple(order)
+    keys = tuple(keys)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     top, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
-    if top is None or top <= max_rows:
-        return KeySplit(keys, order)
-
-    limit = max(max_rows, ceil(total / MAX_PIECES))
-    names = [f"_k{i}" for i in range(len(keys))]
-    hot_sizes = sizes.where(F.col("_n") > limit).select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
-        (F.ceil(F.col("_n") / limit) * SAMPLES_PER_PIECE).alias("_slots"),
-    )
-    rows = hot_sizes.collect()  # fewer than MAX_PIECES
-    if not rows:
-        return KeySplit(keys, order)
-    spark = df.sparkSession
-    hot_keys = spark.createDataFrame(rows, hot_sizes.schema)
-
-    # A fixed number of slots per hot key; each keeps the sort position of the
-    # row with the smallest hash: an even sample that is the same on each run.
-    position = order_struct(order)
-    slot = F.pmod(F.xxhash64(*order), F.col("_slots"))
-    sample = (
-        df.join(F.broadcast(hot_keys), null_safe_equal(keys, names), "inner")
-        .groupBy(*names, slot.alias("_slot"))
-        .agg(F.min_by(position, F.xxhash64(F.lit("cut"), *order)).alias("_at"))
-    )
-    every = SAMPLES_PER_PIECE
-    cuts = (
-        sample.groupBy(*names)
-        .agg(F.array_distinct(F.sort_array(F.collect_list("_at"))).alias("_all"))
-        .select(*names, F.filter("_all", lambda _, i: i % every == every - 1).alias("_cuts"))
-        .withColumn("_coarse", F.filter("_cuts", lambda _, i: i % STRIDE == STRIDE - 1))
-    )
-    return KeySplit(keys, order, spark.createDataFrame(cuts.collect(), cuts.schema))
+    limit = max(max_rows, ceil((total or 0) / MAX_PIECES))
+    if top is None or top <= limit:
+        return KeySplit(keys, df)
 
+    hot_sizes = sizes.where(F.col("_n") > limit)
+    found = hot_sizes.collect()  # fewer than MAX_PIECES rows
+    hot_keys = df.sparkSession.createDataFrame(found, hot_sizes.schema)
+    pieces = min(sum(ceil(row["_n"] / limit) for row in found), 2 * MAX_PIECES)
 
-def _edge_join(df: DataFrame, edges: DataFrame, split: KeySplit) -> DataFrame:
-    """Attach the one-row-per-piece table; its size is bounded, see the module text."""
-    names = [f"_e{i}" for i in range(len(split.by))]
-    for old, new in zip(split.by, names, strict=True):
-        edges = edges.withColumnRenamed(old, new)
-    return df.join(F.broadcast(edges), null_safe_equal(split.by, names), "left").drop(*names)
+    marked = attach(df, hot_keys, keys)
+    hot = marked.where("_n IS NOT NULL").drop("_n")
+    hot_rows = write_pieces(hot, [*keys, *order], pieces)
+    ordinary = marked.where("_n IS NULL").drop("_n").withColumn(PIECE, F.lit(-1))
+    return KeySplit(keys, ordinary.unionByName(hot_rows), hot_rows)
 
 
 def with_neighbour(
@@ -145,9 +118,10 @@ def with_neighbour(
     alias: str,
     step: int,
 ) -> DataFrame:
-    """LEAD (``step=1``) or LAG (``step=-1``) of one column; ``df`` must be tagged.
+    """LEAD (``step=1``) or LAG (``step=-1``) of one column.
 
-    ``order`` must start with the columns the split was made on.
+    ``df`` holds the rows of the split, or a join with them. ``order`` must
+    start with the columns the split was made on.
     """
     shift = F.lead if step == 1 else F.lag
     window = Window.partitionBy(*split.by).orderBy(*asc(*order))
@@ -163,17 +137,16 @@ def with_neighbour(
         .agg(outer(boxed, order_struct(order)).alias("_box"))
         .withColumn("_far", shift("_box").over(Window.partitionBy(*split.keys).orderBy(PIECE)))
         .drop("_box")
-    )
+    )  # one row per piece of a hot key, see the size bound above
     near = df.withColumn("_near", shift(boxed).over(window))
-    return _edge_join(near, edges, split).withColumn(
+    return attach(near, edges, split.by).withColumn(
         alias, F.when(F.col("_near").isNotNull(), F.col("_near.v")).otherwise(F.col("_far.v"))
     ).drop("_near", "_far")
 
 
 def with_rank_from_end(df: DataFrame, split: KeySplit, order: Sequence[str], alias: str) -> DataFrame:
     """1 for the last row of each key in ``order``, 2 for the one before, and so on."""
-    backwards: list[Column] = [F.col(c).desc_nulls_first() for c in order]
-    window = Window.partitionBy(*split.by).orderBy(*backwards)
+    window = Window.partitionBy(*split.by).orderBy(*desc(*order))
     ranked = df.withColumn(alias, F.row_number().over(window).cast("long"))
     if not split.hot:
         return ranked
@@ -185,6 +158,6 @@ def with_rank_from_end(df: DataFrame, split: KeySplit, order: Sequence[str], ali
         .withColumn("_later", F.sum("_rows").over(later))
         .drop("_rows")
     )
-    return _edge_join(ranked, edges, split).withColumn(
+    return attach(ranked, edges, split.by).withColumn(
         alias, F.col(alias) + F.coalesce("_later", F.lit(0))
     ).drop("_later")

@@ -1,4 +1,4 @@
-from .curated import dim_org, dim_worker, fct_compensation, fct_headcount_daily, fct_turnover, org_hierarchy
+from .curated import dim_org, dim_worker, fct_compensation, fct_headcount_daily, fct_turnover
 from .models import CHECKS, ENTITIES
 from .refined import stg_compensation, stg_job_changes, stg_workers
 from .refresh import Refresh, Warehouse
@@ -13,7 +13,6 @@ __all__ = [
     "fct_compensation",
     "fct_headcount_daily",
     "fct_turnover",
-    "org_hierarchy",
     "stg_compensation",
     "stg_job_changes",
     "stg_workers",

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import require_clean, run_checks
@@ -45,39 +49,64 @@ class Warehouse:
         self,
         landing: str,
         load_date: str,
-        as_of: date,
+        as_of: date | None = None,
         *,
         loaded_at: str | None = None,
         layout: str = "lines",
         strict_checks: bool = True,
     ) -> Refresh:
-        """Run all stages in order. Fails after the last if a check fails."""
-        loads = self.raw.load_all(landing, ENTITIES, load_date, loaded_at, layout)
-
-        models: dict[str, DataFrame] = {}
-        for name, (table, entity, build) in self.refined.items():
-            raw = self.raw.read(entity)
-            if raw is not None:
-                incremental_upsert(table, raw, build, day="_load_day")
-            current = table.read()
-            if current is None:
-                raise LookupError(f"no records of {entity} were ever loaded")
-            models[name] = current
-
-        organizations = self.raw.read("organizations")
-        if organizations is None:
-            raise LookupError("no records of organizations were ever loaded")
-        models["dim_org"] = self.rebuild("dim_org", curated.dim_org(organizations))
-        dim = self.rebuild("dim_worker", curated.dim_worker(models["stg_workers"], models["stg_job_changes"]))
-        models["dim_worker"] = dim
-        # stg_workers holds one row per worker, so intervals cannot overlap.
-        models["fct_headcount_daily"] = self.rebuild(
-            "fct_headcount_daily", curated.fct_headcount_daily(dim, as_of, disjoint=True)
+        """Run all stages in order. Fails after the last if a check fails.
+
+        Steps of one stage do not depend on each other and run side by side.
+        """
+        load = partial(self.raw.load, landing, load_date=load_date, loaded_at=loaded_at, layout=layout)
+        loads = list(_side_by_side(self.spark, {e: partial(load, e) for e in ENTITIES}).values())
+
+        models = _side_by_side(self.spark, {name: partial(self._merge, name) for name in self.refined})
+        organizations = self._loaded("organizations", self.raw.read("organizations"))
+        models |= _side_by_side(
+            self.spark,
+            {
+                "dim_org": lambda: self.rebuild("dim_org", curated.dim_org(organizations)),
+                "dim_worker": lambda: self.rebuild(
+                    "dim_worker", curated.dim_worker(models["stg_workers"], models["stg_job_changes"])
+                ),
+            }
         )
-        models["fct_compensation"] = self.rebuild(
-            "fct_compensation", curated.fct_compensation(models["stg_compensation"], dim)
+        dim = models["dim_worker"]
+        models |= _side_by_side(
+            self.spark,
+            {
+                # stg_workers holds one row per worker, so intervals cannot overlap
+                "fct_headcount_daily": lambda: self.rebuild(
+                    "fct_headcount_daily", curated.fct_headcount_daily(dim, as_of, disjoint=True)
+                ),
+                "fct_compensation": lambda: self.rebuild(
+                    "fct_compensation", curated.fct_compensation(models["stg_compensation"], dim)
+                ),
+            }
         )
-        checks = run_checks(models, CHECKS)
+        checks = RebuiltTable(self.spark, f"{self.root}/checks").write(run_checks(models, CHECKS))
         if strict_checks:
             require_clean(checks)
         return Refresh(loads, models, checks)
+
+    def _merge(self, name: str) -> DataFrame:
+        table, entity, build = self.refined[name]
+        raw = self.raw.read(entity)
+        if raw is not None:
+            incremental_upsert(table, raw, build, day="_load_day")
+        return self._loaded(entity, table.read())
+
+    @staticmethod
+    def _loaded(entity: str, df: DataFrame | None) -> DataFrame:
+        if df is None:
+            raise LookupError(f"no records of {entity} were ever loaded")
+        return df
+
+
+def _side_by_side(spark: SparkSession, steps: dict[str, Callable]) -> dict:
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = {name: pool.submit(inherit(step)) for name, step in steps.items()}
+        return {name: job.result() for name, job in running.items()}

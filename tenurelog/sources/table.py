@@ -126,30 +126,32 @@ class KeyedTable:
         mark = F.max(watermark).cast("string") if watermark else F.lit(None).cast("string")
         fresh = fresh.withColumn(BUCKET, self._bucket())
 
-        # `fresh` is needed more than once below; written out it is the same
-        # each time and survives lost executors.
-        staged, seen = self._write(fresh, f"stage/{commit}", mark, split=False)
-        touched = set(seen["buckets"])
-        if keys is not None:
-            gone = keys.select(self.key).where(F.col(self.key).isNotNull()).distinct()
-            gone, hit = self._write(
-                gone.withColumn(BUCKET, self._bucket()), f"stage/{commit}-keys", F.lit(None).cast("string"), False
-            )
-            touched |= set(hit["buckets"])
-        else:
-            gone = staged.select(self.key).where(F.col(self.key).isNotNull())
-        if not touched:
-            return False
-
         schema = StructType([f for f in fresh.schema.fields if f.name != BUCKET])
-        folders = dict(state.folders) if state else {}
-        out = staged
-        if state:
+
+        if state is None:
+            _, done = self._write(fresh, f"data/{commit}", mark, split=True)
+            seen, folders = done, {}
+            if not done["buckets"]:
+                return False
+        else:
+            # `fresh` is needed more than once below; written out it is the
+            # same each time and survives lost executors.
+            none = F.lit(None).cast("string")
+            staged, seen = self._write(fresh, f"stage/{commit}", mark, split=False)
+            touched = set(seen["buckets"])
+            gone = (keys if keys is not None else staged).select(self.key).where(F.col(self.key).isNotNull())
+            if keys is not None:
+                gone = gone.distinct().withColumn(BUCKET, self._bucket())
+                gone, hit = self._write(gone, f"stage/{commit}-keys", none, split=False)
+                touched |= set(hit["buckets"])
+            if not touched:
+                return False
+            folders = dict(state.folders)
             if self._rewrite_all(state.schema, schema):
-                touched = set(folders) | touched
+                touched |= set(folders)
             old = self._read(state, [b for b in touched if b in folders])
-            # NULL keys cannot match; keeping them out of the join keeps them
-            # from all meeting in one task.
+            # NULL keys cannot match; kept out of the join they do not all
+            # meet in one task.
             kept = (
                 old.where(F.col(self.key).isNotNull())
                 .join(gone.select(self.key), self.key, "left_anti")
@@ -157,9 +159,9 @@ class KeyedTable:
                 .withColumn(BUCKET, self._bucket())
             )
             out = kept.unionByName(staged, allowMissingColumns=True).select(*staged.columns)
-        _, done = self._write(out, f"data/{commit}", F.lit(None).cast("string"), split=True)
-        for b in touched:
-            folders.pop(b, None)
+            _, done = self._write(out, f"data/{commit}", none, split=True)
+            for b in touched:
+                folders.pop(b, None)
         folders.update({b: commit for b in done["buckets"]})
 
         marks = [m for m in (seen["mark"], state.watermark if state else None) if m is not None]
@@ -185,7 +187,7 @@ class KeyedTable:
         path, seen = f"{self.path}/{name}", Observation()
         if split:
             # Rows of a bucket go together; an oversized bucket is split up again.
-            df = self.spark.sql(f"SELECT /*+ REBALANCE({BUCKET}) */ * FROM {{df}}", df=df)
+            df = df.hint("rebalance", BUCKET)
         observed = df.observe(seen, F.collect_set(BUCKET).alias("buckets"), mark.alias("mark"))
         writer = observed.write.partitionBy(BUCKET) if split else observed.write
         writer.parquet(path)

@@ -33,11 +33,13 @@ def stream_upsert(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        # A new checkpoint starts a new query whose batches count from 0 again.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         state = table.state()
-        done = state is not None and state.writer == checkpoint and state.batch_id >= batch_id
+        done = state is not None and state.writer == query and state.batch_id >= batch_id
         fresh = build(batch)
         if not done:
-            table.replace(fresh, watermark=watermark, writer=checkpoint, batch_id=batch_id)
+            table.replace(fresh, watermark=watermark, writer=query, batch_id=batch_id)
         if then is not None:
             then(fresh)
 

@@ -174,6 +174,8 @@ def test_organizations(spark):
         ("O2", "Data", "Tech"),
         ("O3", "Lost", ""),
     ]
+    latest = {(r.org_id, r.org_name, r.parent_org_name) for r in dim_org(pulls, latest_only=True).collect()}
+    assert latest == {("O1", "Tech", None), ("O2", "Data", "Tech"), ("O3", "Lost", None)}
     checks = run_checks({"dim_org": dim}, [c for c in CHECKS if c.model == "dim_org"])
     assert {(r.test, r.failures) for r in checks.collect()} == {("unique", 2), ("not_null", 0)}
 

@@ -234,6 +234,11 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert {(r.k, r.v) for r in table.read().collect()} == {(1, "late"), (2, "d"), (3, "e"), (4, "f"), (None, "n")}
     assert table.state().version == 2
 
+    # a new checkpoint is a new query: nothing it reads is taken for a replay
+    stream = spark.readStream.schema(schema).parquet(source)
+    stream_upsert(stream, table, build, str(tmp_path / "cp2")).awaitTermination()
+    assert table.state().version == 3
+
 
 def test_history_of_touched_keys_equals_full_rebuild(spark, tmp_path):
     from tenurelog.operators import scd2_from_changes

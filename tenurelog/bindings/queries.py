@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +27,13 @@ from ..operators import (
 )
 from ..plans import curated, refined
 from ..plans.models import ENTITIES
-from ..session import scratch_dir
+from ..session import scratch_dir, side_by_side
 from ..sources import KeyedTable, RawStore, RebuiltTable, land
 from ..streaming import refresh_history, stream_upsert
 from . import records as r
 
 Query = Callable[[SparkSession, str], DataFrame]
-HOT = 200  # low limit that makes the hot-key path run on small data
+HOT = 1000  # low limit that makes the hot-key path run on small data
 
 
 def crowd(worker_id: str = "worker_id") -> Column:
@@ -272,8 +273,9 @@ def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "time_off": r.time_off_records(spark, sf_dir),
         "job_changes": r.change_records(spark, sf_dir),
     }
-    for entity, rows in sources.items():
-        land(rows, f"{root}/landing", entity, "2024-02-01")
+    side_by_side(
+        spark, {e: partial(land, rows, f"{root}/landing", e, "2024-02-01") for e, rows in sources.items()}
+    )
     store.load_all(f"{root}/landing", ENTITIES, "2024-02-01", r.SECOND_LOAD)
     out = None
     for entity in ENTITIES:

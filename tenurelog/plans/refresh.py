@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import require_clean, run_checks
 from ..operators.upsert import incremental_upsert
+from ..session import side_by_side
 from ..sources.landing import LoadResult, RawStore
 from ..sources.table import KeyedTable, RebuiltTable
 from . import curated, refined
@@ -59,22 +57,21 @@ class Warehouse:
 
         Steps of one stage do not depend on each other and run side by side.
         """
-        load = partial(self.raw.load, landing, load_date=load_date, loaded_at=loaded_at, layout=layout)
-        loads = list(_side_by_side(self.spark, {e: partial(load, e) for e in ENTITIES}).values())
+        loads = self.raw.load_all(landing, ENTITIES, load_date, loaded_at, layout)
 
-        models = _side_by_side(self.spark, {name: partial(self._merge, name) for name in self.refined})
+        models = side_by_side(self.spark, {name: partial(self._merge, name) for name in self.refined})
         organizations = self._loaded("organizations", self.raw.read("organizations"))
-        models |= _side_by_side(
+        models |= side_by_side(
             self.spark,
             {
                 "dim_org": lambda: self.rebuild("dim_org", curated.dim_org(organizations)),
                 "dim_worker": lambda: self.rebuild(
                     "dim_worker", curated.dim_worker(models["stg_workers"], models["stg_job_changes"])
                 ),
-            }
+            },
         )
         dim = models["dim_worker"]
-        models |= _side_by_side(
+        models |= side_by_side(
             self.spark,
             {
                 # stg_workers holds one row per worker, so intervals cannot overlap
@@ -84,7 +81,7 @@ class Warehouse:
                 "fct_compensation": lambda: self.rebuild(
                     "fct_compensation", curated.fct_compensation(models["stg_compensation"], dim)
                 ),
-            }
+            },
         )
         checks = RebuiltTable(self.spark, f"{self.root}/checks").write(run_checks(models, CHECKS))
         if strict_checks:
@@ -104,9 +101,3 @@ class Warehouse:
             raise LookupError(f"no records of {entity} were ever loaded")
         return df
 
-
-def _side_by_side(spark: SparkSession, steps: dict[str, Callable]) -> dict:
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        running = {name: pool.submit(inherit(step)) for name, step in steps.items()}
-        return {name: job.result() for name, job in running.items()}

@@ -1,10 +1,13 @@
-"""Session settings and the shared scratch folder."""
+"""The shared scratch folder, and running independent jobs side by side."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -21,3 +24,11 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="tenurelog-")
     return f"{root.rstrip('/')}/tenurelog/{name}-{uuid.uuid4().hex}"
+
+
+def side_by_side(spark: SparkSession, steps: dict[str, Callable], threads: int = 4) -> dict:
+    """Run steps that do not depend on each other; results in the order of the steps."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        running = {name: pool.submit(inherit(step)) for name, step in steps.items()}
+        return {name: job.result() for name, job in running.items()}

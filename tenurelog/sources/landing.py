@@ -18,11 +18,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import side_by_side
 from .table import read_if_exists
 
 RAW_SCHEMA = "raw_data variant, _loaded_at timestamp_ntz, _file_name string, _source string, _load_day date"
@@ -174,7 +176,8 @@ class RawStore:
         layout: str = "lines",
     ) -> list[LoadResult]:
         """The same load for each entity; one without files does not stop the others."""
-        return [self.load(landing, e, load_date, loaded_at, layout) for e in entities]
+        steps = {e: partial(self.load, landing, e, load_date, loaded_at, layout) for e in entities}
+        return list(side_by_side(self.spark, steps).values())
 
     def _append(self, df: DataFrame, kind: str, entity: str) -> None:
         df.write.mode("append").partitionBy("_load_day").parquet(f"{self.root}/{kind}/{entity}")

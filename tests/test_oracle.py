@@ -29,7 +29,7 @@ def canonical(value):
     if value is None:
         return (0, "")
     if isinstance(value, float):
-        return (1, "nan" if math.isnan(value) else f"{value:.9g}")
+        return (1, "nan" if math.isnan(value) else repr(value))
     return (1, str(value))
 
 

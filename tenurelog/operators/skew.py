@@ -88,6 +88,8 @@ def split_hot_keys(
 ) -> KeySplit:
     """Divide keys that have too many rows for one task.
 
+    ``order`` should end with a column that is unique within a key: rows that
+    are equal in all of its columns cannot be told apart and stay together.
     Runs one job that returns two numbers. Only when some key is hot are the
     rows of the hot keys written out.
     """

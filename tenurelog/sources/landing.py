@@ -3,7 +3,8 @@
 Landing: ``{landing}/{entity}/load_date=YYYY-MM-DD/*.json`` in one of three
 layouts:
 
-* ``lines``: one record per line. What :func:`land` writes.
+* ``lines``: one record, or one array of records, per line. What :func:`land`
+  writes.
 * ``indented``: one array per file, indented by two blanks, as a plain JSON
   dump writes it. The text between records is fixed, so Spark can split the
   file there; a bad record costs only itself.
@@ -75,15 +76,16 @@ def read_records(spark: SparkSession, paths: list[str], layout: str) -> DataFram
         F.col("_metadata.file_name").alias("_file_name"),
     )
     parsed = text.where(F.trim("value") != "").withColumn("raw_data", F.try_parse_json("value"))
-    if layout != "array":
+    if layout == "indented":
         return parsed
-    # Only the text of a bad file is kept; elements of a good one have none.
-    element = F.expr("transform(cast(raw_data as array<variant>), x -> named_struct('raw_data', x, 'value', cast(null as string)))")
-    whole = F.array(F.struct(F.lit(None).cast("variant").alias("raw_data"), F.col("value")))
-    is_array = F.schema_of_variant("raw_data").startswith("ARRAY")
-    return parsed.select(
-        F.inline(F.when(is_array, element).otherwise(whole)), "_file_name"
+    # An outer array is taken apart. Only a record that does not parse keeps its text.
+    text = F.when(F.col("raw_data").isNull(), F.col("value"))
+    elements = F.transform(
+        F.try_variant_get("raw_data", "$", "array<variant>"),
+        lambda x: F.struct(x.alias("raw_data"), F.lit(None).cast("string").alias("value")),
     )
+    whole = F.array(F.struct("raw_data", text.alias("value")))
+    return parsed.select(F.inline(F.coalesce(elements, whole)), "_file_name")
 
 
 def _indented_record(name: str) -> Column:

@@ -54,6 +54,26 @@ def test_array_files(spark, tmp_path, layout):
     assert ids(store.read("workers"), "personal_data.first_name")[0] == "First W1"
 
 
+def test_indented_file_is_read_in_parts(spark, tmp_path):
+    landing, store = str(tmp_path / "landing"), RawStore(spark, str(tmp_path / "wh"))
+    land_text(landing, "workers", DAY, json.dumps([worker(f"W{i:04d}") for i in range(300)], indent=2))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1777")
+    try:
+        result = store.load(landing, "workers", DAY, T1, layout="indented")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert (result.records, result.bad_records) == (300, 0)
+    assert ids(store.read("workers")) == [f"W{i:04d}" for i in range(300)]
+
+
+def test_array_on_a_line(spark, tmp_path):
+    landing, store = str(tmp_path / "landing"), RawStore(spark, str(tmp_path / "wh"))
+    land_text(landing, "workers", DAY, json.dumps([worker("W1"), worker("W2")]) + "\n" + json.dumps(worker("W3")))
+    assert store.load(landing, "workers", DAY, T1).records == 3
+    assert ids(store.read("workers")) == ["W1", "W2", "W3"]
+
+
 def test_bad_records_are_set_aside(spark, tmp_path):
     landing, store = str(tmp_path / "landing"), RawStore(spark, str(tmp_path / "wh"))
     good, bad = json.dumps(worker("W1")), json.dumps(worker("W2"))[:-9]

@@ -276,6 +276,37 @@ def test_history_of_touched_keys_equals_full_rebuild(spark, tmp_path):
     assert [(r.id, r.effective_to) for r in split] == [(1, date(2024, 1, 3)), (4, date(2024, 1, 8)), (2, date(9999, 12, 31))]
 
 
+def test_stream_keeps_history_up_to_date(spark, tmp_path):
+    from tenurelog.operators import scd2_from_changes
+
+    spec = {
+        "key": "worker_id",
+        "effective": "effective_date",
+        "tie_break": ["source_updated_at", "change_id"],
+        "carry": ["change_id", "change_type"],
+    }
+    source, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    changes = KeyedTable(spark, str(tmp_path / "changes"), "change_id", 4)
+    history = KeyedTable(spark, str(tmp_path / "history"), "worker_id", 4)
+    drops = [
+        (T1, [change("C1", "W1", "New Hire", "2024-01-01"), change("C2", "W2", "New Hire", "2024-01-05")]),
+        (T2, [change("C3", "W1", "Promotion", "2024-01-09"), change("C4", "W1", "Transfer", "2024-01-04")]),
+        (T3, [change("C3", "W1", "Promotion", "2024-01-12")]),
+    ]
+
+    def follow(fresh):
+        refresh_history(history, changes.read(), fresh, **spec)
+
+    for drop in drops:
+        raw(spark, [drop]).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(raw(spark, [drop]).schema).parquet(source)
+        stream_upsert(stream, changes, stg_job_changes, cp, watermark="_loaded_at", then=follow).awaitTermination()
+    full = scd2_from_changes(stg_job_changes(raw(spark, drops)), **spec)
+    assert full.count() == 4
+    assert full.exceptAll(history.read()).count() == history.read().exceptAll(full).count() == 0
+    assert changes.state().watermark == T3
+
+
 # -- all stages ---------------------------------------------------------------------
 
 
@@ -335,3 +366,18 @@ def test_refresh_fails_on_failed_checks(spark, tmp_path):
     assert "dim_worker.worker_dim_key not_null: 1" in str(e.value)
     again = home.refresh(landing, "2024-01-01", date(2024, 1, 3), loaded_at=T2, strict_checks=False)
     assert again.checks.where("failures > 0").count() == 2
+
+
+class FakeSession:
+    def __init__(self, **conf):
+        self.conf = conf
+
+
+def test_scratch_folder():
+    from tenurelog.session import scratch_dir
+
+    shared = scratch_dir(FakeSession(**{"spark.checkpoint.dir": "hdfs://x/y/", "spark.master": "yarn"}))
+    assert shared.startswith("hdfs://x/y/tenurelog/run-")
+    assert scratch_dir(FakeSession(**{"spark.master": "local[2]"}), "t") != scratch_dir(FakeSession(**{"spark.master": "local[2]"}), "t")
+    with pytest.raises(RuntimeError):
+        scratch_dir(FakeSession(**{"spark.master": "yarn"}))

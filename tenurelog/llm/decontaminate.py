@@ -16,7 +16,7 @@ the bound of what is broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
-from .workspace import ID, TEXT, Workspace, texts
+from .workspace import ID, TEXT, Workspace, kept_schema, restored, texts
 
 SHINGLE = 3
 WINDOW = 10
@@ -162,8 +162,9 @@ def _join(block, keep_text: bool, batches: Iterable[pa.RecordBatch]) -> Iterator
             spans += [(int(begin[c]) - base, int(begin[c] + win.length[window[c]]) - base) for c in chunk]
             hits[row] = merged(spans)
             items[row] = sorted({*items[row], *(win.names[win.item[window[c]]] for c in chunk)})
-        out = [batch.column(ID), pa.array(np.diff(bounds)), pa.array(hits, SPAN), pa.array(items, pa.list_(pa.string()))]
-        names = [ID, "n_words", "hits", "items"]
+        passed = [n for n in batch.schema.names if n not in (TEXT, "hits", "items")]
+        out = [*[batch.column(n) for n in passed], pa.array(np.diff(bounds)), pa.array(hits, SPAN), pa.array(items, pa.list_(pa.string()))]
+        names = [*passed, "n_words", "hits", "items"]
         if keep_text:
             out, names = [*out, batch.column(TEXT)], [*names, TEXT]
         yield pa.RecordBatch.from_arrays(out, names)
@@ -189,8 +190,9 @@ def find_benchmark_windows(
     item_text_col: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per document: its id, ``n_words``, ``hits`` and ``items``.
+    """One row per document: its id, or the columns ``keep``, ``n_words``, ``hits`` and ``items``.
 
     ``hits`` are the spans ``[first, end)`` of document words inside any
     occurrence of a window, merged and in order; ``items`` the ids, as strings
@@ -199,7 +201,7 @@ def find_benchmark_windows(
     A NULL or empty text has no words and no hits. Items without id or without
     words are left out; an id that occurs twice stands for all of its texts.
     Repeated documents each get their own row. Empty tables give an empty
-    result, or documents without hits. Other columns are ignored.
+    result, or documents without hits. Columns that are not kept are ignored.
     """
     spark = docs.sparkSession
     size = F.octet_length("_item_text")
@@ -210,12 +212,11 @@ def find_benchmark_windows(
     blocks = max(1, -(-total // block_bytes))
     in_block = F.pmod(F.xxhash64("_item", "_item_text"), F.lit(blocks))
 
-    base = texts(docs, id_col, text_col)
+    base = texts(docs, id_col, text_col, keep)
     none = F.array().cast("array<struct<first:bigint,end:bigint>>")
-    state = base.select(ID, TEXT, none.alias("hits"), F.array().cast("array<string>").alias("items"))
+    state = base.select("*", none.alias("hits"), F.array().cast("array<string>").alias("items"))
     work = Workspace(spark, "decontaminate")
-    kind = base.schema[ID].dataType.simpleString()
-    schema = f"{ID} {kind}, n_words bigint, hits array<struct<first:bigint,end:bigint>>, items array<string>"
+    schema = f"{kept_schema(base)}, n_words bigint, hits array<struct<first:bigint,end:bigint>>, items array<string>"
     for number in range(blocks):
         rows = bench.where(in_block == number).distinct().collect()  # about block_bytes of text
         win = Windows(sorted((r[0], r[1]) for r in rows), window)
@@ -229,5 +230,5 @@ def find_benchmark_windows(
         search = partial(_join, spark.sparkContext.broadcast(win), not last)
         state = state.mapInArrow(search, schema if last else f"{schema}, {TEXT} string")
         if not last:
-            state = work.write(state, "block").select(ID, TEXT, "hits", "items")
-    return state.withColumnRenamed(ID, id_col)
+            state = work.write(state, "block").drop("n_words")
+    return restored(state, id_col, keep)

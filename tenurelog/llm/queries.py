@@ -2,24 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_shards import byte_shards
 from .chunked_bpe import bpe_round_trip
 from .decontaminate import find_benchmark_windows
+from .imatch import edited_fingerprints
+from .interpolated_lm import score_texts
+from .language import identify_language
 from .line_dedup import remove_repeated_lines
+from .quality import fit_quality, score_quality
+from .url_reputation import judge_urls, url_path
 from .weighted_minhash import near_duplicates
 
+# The rules of the URL query.
+RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+KEEP = 0.3  # the score from which a document counts as good
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(id_col: str, folds: int) -> Column:
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
+
+
+def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's url ends with the number of its document, whose labels are the outcome."""
+    pages = table(spark, sf_dir, "pages")
+    number = F.regexp_extract(url_path(F.coalesce("url", F.lit(""))), r"/([0-9]{1,18})(?:\.html)?/?$", 1)
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("number"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good")
+    )
+    labelled = pages.select("url", F.when(number != "", number).cast("long").alias("number"))
+    return judge_urls(pages, labelled.join(labels, "number").select("url", "good"), RULES)
+
+
 def op2_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "keeper")
 
 
+def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    found = identify_language(docs.select("doc_id", "text"), docs.where(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 5) == 0
+    net = fit_quality(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return score_quality(docs, net).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= KEEP).cast("int").alias("predicted")
+    )
+
+
 def op5_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -29,6 +76,12 @@ def op5_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 10) == 0
+    scored = score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
@@ -42,6 +95,30 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeated_lines(table(spark, sf_dir, "documents"))
     spans = F.transform("_removed", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
@@ -57,13 +134,74 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     q.__name__: q
     for q in (
+        op1_url_reputation,
         op2_weighted_minhash,
+        op3_byte_gru,
+        op4_random_indexing,
         op5_chunked_bpe,
+        op6_deleted_interpolation,
         op7_decontaminate,
+        op8_byte_shards,
+        op9_imatch,
         op10_line_dedup,
     )
 }
 
+# Strength of a level's prior: method of moments over its units with outcomes.
+_STRENGTH = """(SELECT CASE WHEN count(*) = 0 OR sum(n) <= count(*) THEN 1.0 ELSE
+  1.0 / least(0.99, greatest(0.001, (sum(n * (k / n - greatest(0.001, least(0.999, {m}))) ** 2
+    / (greatest(0.001, least(0.999, {m})) * (1 - greatest(0.001, least(0.999, {m}))))) - count(*)) / (sum(n) - count(*)))) - 1 END
+  FROM {units} WHERE n > 0)"""
+
+_OP1 = r"""
+WITH page AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM page
+), named AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name,
+    try_cast(nullif(regexp_extract(path, '/([0-9]{1,18})(?:\.html)?/?$', 1), '') AS BIGINT) AS doc_id FROM split
+), trial AS (
+  SELECT name, CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END AS good
+  FROM named JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND toxic IS NOT NULL
+), tally AS (
+  SELECT name, count(*)::DOUBLE AS n, sum(good)::DOUBLE AS k FROM trial GROUP BY name
+), host AS (
+  SELECT name, n, k, string_split(name, '.') AS part FROM (SELECT DISTINCT name FROM named) LEFT JOIN tally USING (name)
+), placed AS (
+  SELECT name, coalesce(n, 0) AS n, coalesce(k, 0) AS k, part[-1] AS suffix,
+    array_to_string(part[-least(2, len(part)):], '.') AS domain FROM host
+), suffix0 AS (
+  SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT CASE WHEN sum(n) > 0 THEN (sum(k) + 1) / (sum(n) + 2) ELSE 0.5 END FROM placed) AS m0
+  FROM placed GROUP BY suffix
+), suffix1 AS (
+  SELECT suffix, (s * m0 + k) / (s + n) AS m1 FROM suffix0, (SELECT {s0} AS s)
+), domain0 AS (
+  SELECT domain, any_value(m1) AS m1, sum(n) AS n, sum(k) AS k FROM placed JOIN suffix1 USING (suffix) GROUP BY domain
+), domain1 AS (
+  SELECT domain, (s * m1 + k) / (s + n) AS m2 FROM domain0, (SELECT {s1} AS s)
+), host0 AS (
+  SELECT name, n, k, m2 FROM placed JOIN domain1 USING (domain)
+), beta AS (
+  SELECT name, n, s * m2 + k AS a, s * (1 - m2) + n - k AS b FROM host0, (SELECT {s2} AS s)
+), posterior AS (
+  SELECT name, n::BIGINT AS n_labelled, round(a / (a + b), 6) AS posterior_mean,
+    round(a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 6) AS posterior_upper FROM beta
+), rules(said, rule, rule_host, rule_path) AS (
+  VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+    ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'), ('block', 'com/de/', 'com', '/de/')
+), ruled AS (
+  SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(said, length(rule)) AS said
+  FROM named JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN posterior_upper < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+  n_labelled, posterior_mean, posterior_upper
+FROM named LEFT JOIN ruled USING (page_id) LEFT JOIN posterior USING (name)
+"""
+_OP1 = _OP1.replace("{s0}", _STRENGTH.format(m="m0", units="suffix0"))
+_OP1 = _OP1.replace("{s1}", _STRENGTH.format(m="m1", units="domain0")).replace("{s2}", _STRENGTH.format(m="m2", units="host0"))
+
 # For the removed spans of a line, its start is the length of all lines before it, with their line feeds.
 _OP10 = r"""
 WITH unit AS (
@@ -114,4 +252,4 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLE = {"op7_decontaminate": _OP7, "op10_line_dedup": _OP10}
+ORACLE = {"op1_url_reputation": _OP1, "op7_decontaminate": _OP7, "op10_line_dedup": _OP10}

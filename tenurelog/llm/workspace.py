@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,10 +59,26 @@ def ship(spark: SparkSession) -> None:
     sc._shipped_package = True
 
 
-def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only id and text, under names that no other column of ``docs`` can clash with."""
+def texts(docs: DataFrame, id_col: str, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Id and text, and the columns to keep, under names that no column of ``docs`` can clash with."""
     ship(docs.sparkSession)
-    return docs.select(F.col(f"`{id_col}`").alias(ID), F.col(f"`{text_col}`").cast("string").alias(TEXT))
+    return docs.select(
+        F.col(f"`{id_col}`").alias(ID),
+        F.col(f"`{text_col}`").cast("string").alias(TEXT),
+        *[F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)],
+    )
+
+
+def kept_schema(base: DataFrame) -> str:
+    """The schema of id and kept columns, as text."""
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema if f.name == ID or f.name.startswith("_keep"))
+
+
+def restored(df: DataFrame, id_col: str, keep: Sequence[str]) -> DataFrame:
+    """Outer names again: the kept columns, or else the id, and then the rest."""
+    inner = [f"_keep{i}" for i in range(len(keep))]
+    first = [F.col(n).alias(c) for n, c in zip(inner, keep)] or [F.col(ID).alias(id_col)]
+    return df.select(*first, *[c for c in df.columns if c != ID and c not in inner])
 
 
 def digest(column: str | Column = TEXT) -> Column:

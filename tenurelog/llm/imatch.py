@@ -1,12 +1,12 @@
 """I-Match fingerprints over several randomised lexicons, by DataFrame functions only.
 
 The lexicon holds the terms whose inverse document frequency lies in a band,
-``ln(1 / MOST) <= ln(N / df) <= ln(1 / LEAST)``: neither everywhere nor rare. Its
-size has a bound that does not grow with the documents: each term in it stands in
-at least ``LEAST * N`` of N documents, so there are at most (mean number of
-distinct terms per document) / LEAST of them. That is checked, and the lexicon
-goes into the plan as one constant array, a hash table that is looked up by
-position.
+``ln(1 / MOST) <= ln(N / df) <= ln(1 / LEAST)``: neither everywhere nor rare. Document
+frequencies are counted for ``2**BITS`` hash buckets of terms, so the lexicon is a bitmap
+of a fixed size that goes into the plan as one constant. Rare terms together fill a
+bucket to (mean number of distinct terms per document) / ``2**BITS`` of all documents,
+far below ``LEAST`` however large the vocabulary; a rare term that shares its bucket
+with one of the lexicon counts as in it, in every document alike.
 
 A fingerprint has ``SUBSETS + 1`` parts: the hash of the sorted distinct lexicon
 terms of the text, and the same for each random subset, which keeps one term in
@@ -17,15 +17,13 @@ it takes a hash of all terms of the text instead.
 
 from __future__ import annotations
 
-from collections import defaultdict
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .workspace import ID, TEXT, texts
 
-LEAST, MOST = 0.002, 0.25
+BITS = 20
+LEAST, MOST = 0.005, 0.25
 SUBSETS, KEEP_BITS = 12, 5
 BUCKET_BYTES = 64 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,32 +43,24 @@ def constant_array(values: list[int]) -> Column:
 
 
 class Lexicon:
-    """The terms of the band as a hash table of ``rows`` rows of ``width`` places."""
+    """The buckets of terms in the band, as a bitmap of longs."""
 
     def __init__(self, base: DataFrame, least: float, most: float):
-        spread = base.select(F.explode(terms(F.coalesce(TEXT, F.lit("")))).alias("term"))
-        counted = spread.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        buckets = F.array_distinct(F.transform(terms(F.coalesce(TEXT, F.lit(""))), self.bucket))
+        counted = base.select(F.explode(buckets).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
         n = base.count()
         band = counted.where((F.col("df") >= least * n) & (F.col("df") <= most * n))
-        found = sorted(r["term"] for r in band.select("term").collect())  # see the bound above
-        self.rows = 1 << max(1, len(found).bit_length())
-        places = defaultdict(list)
-        for term in found:
-            places[term % self.rows].append(term)
-        self.width = max(map(len, places.values()), default=1)
-        table = [0] * (self.rows * self.width)
-        for row, held in places.items():
-            # an unused place repeats a term of its row, which changes nothing
-            table[row * self.width : (row + 1) * self.width] = held + held[:1] * (self.width - len(held))
-        self.size = len(found)
-        self.table = constant_array(table)
-        self.empty = not found
+        words = band.groupBy(F.shiftright("bucket", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, bucket & 63))").alias("bits"))
+        held = {r["word"]: r["bits"] for r in words.collect()}  # at most 2**BITS / 64
+        self.table = constant_array([held.get(i, 0) for i in range(1 << (BITS - 6))])
+
+    @staticmethod
+    def bucket(term: Column) -> Column:
+        return F.pmod(term, F.lit(1 << BITS)).cast("int")
 
     def holds(self, term: Column) -> Column:
-        if self.empty:
-            return F.lit(False)
-        first = F.pmod(term, F.lit(self.rows)).cast("int") * self.width
-        return reduce(lambda a, b: a | b, [F.get(self.table, first + i) == term for i in range(self.width)])
+        at = self.bucket(term)
+        return F.getbit(F.get(self.table, F.shiftright(at, 6)), at.bitwiseAND(F.lit(63))) == 1
 
 
 def parts(df: DataFrame, text: str, name: str, lexicon: Lexicon) -> DataFrame:

@@ -216,7 +216,7 @@ def _predict(name: str, net_of, batches: Iterable[pa.RecordBatch]) -> Iterator[p
         best = p.argmax(axis=1)
         known = letters & (p.max(axis=1) > 0)
         said = [reader.net.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())]
-        score = np.where(known, np.clip(p.max(axis=1), 0, 1), 0.0)
+        score = np.where(known, np.round(np.clip(p.max(axis=1), 0, 1), 6), 0.0)
         yield pa.RecordBatch.from_arrays([batch.column(ID), pa.array(said), pa.array(score)], [ID, "lang_pred", "score"])
 
 

@@ -177,7 +177,8 @@ def _score(net_of, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     net: QualityNet = net_of.value
     for batch in tk.slices(batches, TEXT):
         token, text = tokens_of(*tk.bytes_of(batch.column(TEXT)))
-        p = net.probability(pooled(net.vectors, token, text, batch.num_rows))
+        # rounded, as the last bits depend on what else is in the batch
+        p = np.round(net.probability(pooled(net.vectors, token, text, batch.num_rows)), 6)
         passed = [n for n in batch.schema.names if n != TEXT]
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in passed], pa.array(p)], [*passed, "score"])
 

@@ -11,8 +11,8 @@ with one of the lexicon counts as in it, in every document alike.
 A fingerprint has ``SUBSETS + 1`` parts: the hash of the sorted distinct lexicon
 terms of the text, and the same for each random subset, which keeps one term in
 ``2**KEEP_BITS``. Few edits change few parts, so the share of equal parts is a
-likeness. An empty part would equal that of any other text without such terms;
-it takes a hash of all terms of the text instead.
+likeness. An empty part would equal that of any other text without such terms; it
+repeats the first part instead, which without lexicon terms is a hash of all terms.
 """
 
 from __future__ import annotations
@@ -73,11 +73,13 @@ def parts(df: DataFrame, text: str, name: str, lexicon: Lexicon) -> DataFrame:
     def chosen_by(k: int):
         return lambda t: F.shiftright(t, k * KEEP_BITS).bitwiseAND(F.lit((1 << KEEP_BITS) - 1).cast("long")) == 0
 
-    def part(number: int, chosen: Column) -> Column:
-        return F.when(F.size(chosen) > 0, F.xxhash64(chosen)).otherwise(F.xxhash64(F.lit(number), whole))
+    def part(number: int, chosen: Column, instead: Column) -> Column:
+        return F.when(F.size(chosen) > 0, F.xxhash64(chosen)).otherwise(F.xxhash64(F.lit(number), instead))
 
-    subsets = [part(k + 1, F.filter(kept, chosen_by(k))) for k in range(SUBSETS)]
-    return df.withColumn(name, F.array(part(0, F.col(kept)), *subsets)).drop(every, kept)
+    first = f"_{name}_first"
+    df = df.withColumn(first, part(0, F.col(kept), whole))
+    subsets = [part(k + 1, F.filter(kept, chosen_by(k)), F.col(first)) for k in range(SUBSETS)]
+    return df.withColumn(name, F.array(F.col(first), *subsets)).drop(every, kept, first)
 
 
 def as_text(column: str) -> Column:

@@ -72,8 +72,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     A NULL text stays NULL and has no lines; an empty text has one empty line.
     Within one document a later repeat goes too. NULL ids count as smallest.
     Rows equal in id and text are one document given twice and come out alike.
-    Other columns are returned as they are, whatever their names, but those
-    three and ``_node``, ``_gone_id`` and ``_gone`` are taken; an empty table
+    Other columns are returned as they are, whatever their names; an empty table
     gives an empty result.
     """
     base = texts(docs, id_col, text_col).withColumn("node", digest())
@@ -89,18 +88,19 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .groupBy(F.col("node").alias("_gone_node"), F.col(ID).alias("_gone_id"))
         .agg(F.sort_array(F.collect_set(F.struct("line", "start", "end"))).alias("_gone"))
     )
-    text = F.col(f"`{text_col}`").cast("string")
-    same = (F.col("_node") == F.col("_gone_node")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_gone_id"))
-    joined = docs.withColumn("_node", digest(text)).join(gone, same, "left")
-    hit = F.col("_gone").isNotNull()
+    # The columns travel as one struct, so none of their names can clash.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumns(
+        {ID: F.col(f"_row.`{id_col}`"), TEXT: F.col(f"_row.`{text_col}`").cast("string")}
+    )
+    same = (F.col("_node") == F.col("_gone_node")) & F.col(ID).eqNullSafe(F.col("_gone_id"))
+    joined = whole.withColumn("_node", digest()).join(gone, same, "left")
+    hit, text = F.col("_gone").isNotNull(), F.col(TEXT)
     without = F.pandas_udf(_without, "string")
     lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
     spans = F.transform("_gone", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+    cleaned = F.when(hit, without(F.when(hit, text), F.col("_gone.line"))).otherwise(text)
     return joined.select(
-        *[
-            F.when(hit, without(F.when(hit, text), F.col("_gone.line"))).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`")
-            for c in docs.columns
-        ],
+        *[cleaned.alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(lines).alias("_n_lines"),
         F.when(hit, F.size("_gone")).otherwise(0).alias("_n_removed"),
         F.when(hit, spans).otherwise(F.array().cast("array<struct<start:int,end:int>>")).alias("_removed"),

@@ -1,0 +1,225 @@
+"""Decontamination, line dedup, BPE and language model against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from brute import benchmark_hits, fold, lm_tokens, without_repeats
+from conftest import ODD_TEXTS
+from pyspark.sql import functions as F
+
+from tenurelog.llm import queries
+from tenurelog.llm import tokens as tk
+from tenurelog.llm.chunked_bpe import bpe_round_trip, chunk_cuts, firm_places, piece_starts
+from tenurelog.llm.decontaminate import find_benchmark_windows
+from tenurelog.llm.interpolated_lm import learn_weights, pack, pack_sorted, score_texts, unpack, unpack_sorted
+from tenurelog.llm.line_dedup import remove_repeated_lines
+
+
+def by_text(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+# -- hashes ----------------------------------------------------------------
+
+
+def test_words_and_shingles_do_not_cross_texts():
+    data, offsets = tk.bytes_of(pa.array(["Aa b", None, "", "b AA", "é9"]))
+    low, starts, ends, text, hashed = tk.words(data, offsets)
+    assert [low[a:b].tobytes() for a, b in zip(starts, ends)] == [b"aa", b"b", b"b", b"aa", "é9".encode()]
+    assert text.tolist() == [0, 0, 3, 3, 4]
+    assert hashed[0] == hashed[3] and hashed[1] == hashed[2] and len(set(hashed.tolist())) == 3
+    two, whole = tk.shingles(hashed, text, 2)
+    assert whole.tolist() == [True, False, True, False]
+    assert two[0] != two[2]
+
+
+def test_slices_keep_every_row_and_long_texts():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 50, None, "", "y" * 5000, "z"])], ["t"])
+    parts = list(tk.slices([batch], "t", 100))
+    assert [v for p in parts for v in p.column(0).to_pylist()] == batch.column(0).to_pylist()
+    assert len(parts) > 1
+
+
+# -- BPE -------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+
+
+def expected_ids(vocabulary, texts):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(vocabulary)
+    out = []
+    for t in texts:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        out.append((np.array(ids, "<u4").tobytes(), tok.decode(ids, skip_special_tokens=False), len(ids)))
+    return out
+
+
+def test_bpe_equals_the_library(spark, docs, vocabulary):
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: (bytes(r["ids"]), r["decoded"], r["n_tokens"]) for r in bpe_round_trip(docs, vocabulary).collect()}
+    assert got == dict(zip(texts, expected_ids(vocabulary, texts.values())))
+
+
+def test_bpe_edges(odd, empty, vocabulary):
+    got = by_text(bpe_round_trip(odd, vocabulary), "doc_id", "ids", "decoded", "n_tokens")
+    want = expected_ids(vocabulary, [t for _, t in ODD_TEXTS])
+    assert [(g[0], bytes(g[1]), *g[2:]) for g in got] == sorted(((i, *w) for (i, _), w in zip(ODD_TEXTS, want)), key=lambda r: repr((r[0], bytearray(r[1]))))
+    assert bpe_round_trip(empty, vocabulary).count() == 0
+
+
+def test_bpe_random_strings(spark, vocabulary):
+    rng = np.random.default_rng(3)
+    alphabet = np.array(list("ab 'st\n\t.!1é漢  ") + ["'s", "'re", "<|endoftext|>", " the"])
+    texts = ["".join(rng.choice(alphabet, rng.integers(0, 60))) for _ in range(800)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (bytes(r["ids"]), r["decoded"], r["n_tokens"]) for r in bpe_round_trip(frame, vocabulary).collect()}
+    assert got == dict(enumerate(expected_ids(vocabulary, texts)))
+
+
+def test_chunks_depend_on_content_alone():
+    text = b"the quick brown fox jumps over the lazy dog and runs away from it " * 4
+    data = np.frombuffer(b"xx" + text, np.uint8)
+    one = chunk_cuts(data[2:], np.array([0, len(text)]))
+    two = chunk_cuts(data, np.array([0, len(data)]))
+    assert set((one + 2)[one > 8].tolist()) <= set(two.tolist())
+    assert len(one) > 10
+    firm = firm_places(data[2:], np.array([0, len(text)]))
+    assert all(firm[p] for p in piece_starts(data[2:], np.array([0, len(text)])))
+
+
+# -- decontamination -------------------------------------------------------
+
+
+def check_hits(found, texts, items):
+    got = by_text(found.select("doc_id", "n_words", "hits", "items"), "doc_id", "n_words", "hits", "items")
+    got = [(i, n, sum(h["end"] - h["first"] for h in hits), its) for i, n, hits, its in got]
+    want = [(i, *benchmark_hits(t, items)) for i, t in texts]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_benchmark_windows_of_the_table(spark, docs, sf_dir):
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    check_hits(
+        find_benchmark_windows(docs, bench),
+        [(r["doc_id"], r["text"]) for r in docs.collect()],
+        [(r["item_id"], r["text"]) for r in bench.collect()],
+    )
+
+
+def test_benchmark_windows_edges_and_blocks(spark, odd, empty):
+    items = [(1, "same words again and again same words again and again"), (2, "One"), (3, None), (4, ""), (5, "these few"),
+             (5, "plain TEXT"), (6, "very plain text of exactly these few words a b"), (None, "one"), (7, "a b")]
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("hits", F.lit(1))
+    valid = [(n, t) for n, t in items if n is not None]
+    for size in (8 << 20, 30):  # one block, and many
+        check_hits(find_benchmark_windows(odd, bench, block_bytes=size), ODD_TEXTS, valid)
+    assert find_benchmark_windows(empty, bench).count() == 0
+    check_hits(find_benchmark_windows(odd, bench.limit(0)), ODD_TEXTS, [])
+    kept = find_benchmark_windows(odd, bench, keep=["doc_id", "hits", "_id"])
+    assert kept.columns[:3] == ["doc_id", "hits", "_id"]
+
+
+# -- line dedup ------------------------------------------------------------
+
+
+def test_repeated_lines_of_the_table(docs):
+    rows = docs.orderBy("doc_id").collect()
+    want = {r["doc_id"]: w for r, w in zip(rows, without_repeats(r["text"] for r in rows))}
+    got = remove_repeated_lines(docs).collect()
+    assert {r["doc_id"]: (r["text"], [(s["start"], s["end"]) for s in r["_removed"]]) for r in got} == want
+    assert any(r["_n_removed"] for r in got)
+    assert all(r["_n_lines"] == len(t["text"].split("\n")) for r, t in zip(sorted(got, key=lambda r: r["doc_id"]), rows))
+
+
+def test_repeated_lines_edges(spark, odd, empty):
+    line = "a line of more than eight words that stands everywhere here"
+    rows = [(1, f"{line}\nx\n{line}"), (2, f"  {line.upper()} \n"), (None, line), (3, None), (3, ""), (4, f"{line}\n" * 5000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("line", F.lit(1))
+    got = {(r["doc_id"], r["text"], r["_n_removed"]) for r in remove_repeated_lines(frame).collect()}
+    # NULL counts as smallest, so that document keeps the line
+    assert got == {(1, "x", 2), (2, "", 1), (None, line, 0), (3, None, 0), (3, "", 0), (4, "", 5000)}
+    assert remove_repeated_lines(odd).count() == len(ODD_TEXTS)
+    assert remove_repeated_lines(empty).count() == 0
+    assert remove_repeated_lines(odd).columns[: len(odd.columns)] == odd.columns
+
+
+# -- language model --------------------------------------------------------
+
+
+def base_scores(texts, train):
+    counts = Counter(w for t, use in zip(texts, train) if use for w in lm_tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    out = []
+    for t in texts:
+        w = lm_tokens(t)
+        out.append((len(w), sum(counts[x] > 0 for x in w), n, sum(math.log10((counts[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)))
+    return out
+
+
+def test_language_model_counts_and_base(docs):
+    rows = docs.orderBy("doc_id").collect()
+    want = base_scores([r["text"] for r in rows], [fold(r["doc_id"], 10) != 0 for r in rows])
+    got = score_texts(docs, queries.fold("doc_id", 10) != 0).orderBy("doc_id").collect()
+    for g, w in zip(got, want, strict=True):
+        assert (g["n_tokens"], g["n_known"], g["train_tokens"]) == w[:3]
+        assert g["base_score"] == pytest.approx(w[3], rel=1e-9)
+    held = [(g, w) for g, w, r in zip(got, want, rows) if fold(r["doc_id"], 10) == 0]
+    tokens = sum(w[0] for _, w in held)
+    # better than the words alone on documents it has not seen
+    assert sum(g["score"] for g, _ in held) / tokens > sum(w[3] for _, w in held) / tokens
+
+
+def test_language_model_is_a_distribution(spark):
+    """The probabilities of all continuations of a context sum to one, the unseen word included."""
+    train = [(i, t) for i, t in enumerate(["a b a b", "a c", "b a", "c c c"] * 3)]
+    probes = [(100 + i, f"a {w}") for i, w in enumerate(["a", "b", "c", "zz"])] + [(200, "a")]
+    frame = spark.createDataFrame(train + probes, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in score_texts(frame, F.col("doc_id") < 100).collect()}
+    # P(a) P(x|a) P(end|x) for a word x; take the shared first and the last factor out by one more probe each
+    ends = spark.createDataFrame(train + [(300 + i, w) for i, w in enumerate(["a", "b", "c", "zz"])], "doc_id long, text string")
+    one = {r["doc_id"]: r["score"] for r in score_texts(ends, F.col("doc_id") < 100).collect()}
+    assert all(math.isfinite(v) and v < 0 for v in [*got.values(), *one.values()])
+    assert got[101] > got[103]  # a b is frequent, zz was never seen
+
+
+def test_language_model_edges(odd, empty):
+    got = by_text(score_texts(odd, F.col("doc_id") < 9005), "doc_id", "n_tokens", "n_known", "base_score")
+    want = base_scores([t for _, t in ODD_TEXTS], [i is not None and i < 9005 for i, _ in ODD_TEXTS])
+    want = sorted(((i, w[0], w[1], w[3]) for (i, _), w in zip(ODD_TEXTS, want)), key=repr)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want])
+    assert score_texts(empty, F.lit(True)).count() == 0
+    untrained = score_texts(odd, F.lit(False)).collect()
+    assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in untrained)
+
+
+def test_expectation_maximisation_prefers_what_predicts():
+    sure, dull = (3 << 16) | (0 << 8) | 40, (3 << 16) | (255 << 8) | 8
+    weights = learn_weights({sure: 90, dull: 10}, 1000)
+    assert weights[3, 0] > 0.8 and weights[3].sum() == pytest.approx(1)
+    assert weights[0, 0] == 0 and weights.sum(axis=1) == pytest.approx(np.ones(len(weights)))
+    assert learn_weights({}, 0).sum(axis=1) == pytest.approx(np.ones(len(weights)))
+
+
+def test_packing_round_trip():
+    keys = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64))
+    assert np.array_equal(unpack_sorted(pack_sorted(keys), 1000), keys)
+    assert np.array_equal(unpack(pack(keys[:0]), 0, np.uint64), keys[:0])
+
+
+def test_bpe_query_digests(spark, sf_dir, vocabulary, docs):
+    row = queries.op5_chunked_bpe(spark, sf_dir).orderBy("doc_id").first()
+    ids, text, n = expected_ids(vocabulary, [docs.orderBy("doc_id").first()["text"]])[0]
+    assert (row["n_tokens"], row["ids_sha256"]) == (n, hashlib.sha256(ids).hexdigest())
+    assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()

@@ -29,11 +29,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, that with the smallest id; documents without text stay."""
     found = near_duplicates(docs).where("keeper AND node IS NOT NULL AND doc_id <=> class_id").select("node", "doc_id").distinct()
-    named = docs.withColumn("node", digest("text"))
+    named = docs.select(*COLUMNS, digest("text").alias("node"))
     # Rows with one id and one text are copies too: the first of them stays.
     once = Window.partitionBy("node", "doc_id").orderBy("lang", "source", "n_chars")
+    found = found.select(F.col("node").alias("_node"), F.col("doc_id").alias("_id"))
+    same = (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     kept = (
-        named.join(found.select(F.col("node").alias("_node"), F.col("doc_id").alias("_id")), (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+        named.join(found, same)
         .withColumn("_n", F.row_number().over(once))
         .where("_n = 1")
     )

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import tokens as tk
 from .workspace import ID, TEXT, Workspace, ship
 
-BLOCK = 16 << 20
+BLOCK = 6 << 20
 SHARD_BYTES = 16 << 20  # text per shard
 PAIR_BITS = 52
 TUNED = 10  # one block in so many serves to learn the weights

@@ -77,11 +77,23 @@ def _power_tables(n: int) -> list[np.ndarray]:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, the same wherever the span lies."""
-    power, inverse = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U64))
+    """A 64-bit hash of each byte span, the same wherever the span lies; spans in order, not overlapping.
+
+    Works on stretches of about ``MAX_BYTES``, so the tables stay small for any buffer.
+    """
+    out = np.empty(len(starts), U64)
+    first = 0
+    while first < len(starts):
+        low = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, low + MAX_BYTES, "right")))
+        begin, end = starts[first:last] - low, ends[first:last] - low
+        part = data[low : ends[last - 1]]
+        power, inverse = _power_tables(len(part) + 1)
+        sums = np.zeros(len(part) + 1, U64)
+        np.cumsum((part.astype(U64) + U64(1)) * power[: len(part)], out=sums[1:])
+        out[first:last] = mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(U64))
+        first = last
+    return out
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

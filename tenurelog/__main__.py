@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from .plans import Warehouse
 from .sources.landing import LAYOUTS
+from .sources.table import BUCKETS
 
 
 def main() -> None:
@@ -20,12 +21,13 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="folder of the raw, refined and curated layers")
     parser.add_argument("--load-date", required=True)
     parser.add_argument("--as-of", type=date.fromisoformat, help="last day of the headcount, default today")
-    parser.add_argument("--layout", choices=LAYOUTS, default="lines")
-    parser.add_argument("--buckets", type=int, default=64)
+    parser.add_argument("--layout", choices=LAYOUTS, default=LAYOUTS[0])
+    parser.add_argument("--max-days", type=int, help="longest calendar, default no limit")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="of tables that do not exist yet")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("tenurelog").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     result = Warehouse(spark, args.root, args.buckets).refresh(
-        args.landing, args.load_date, args.as_of, layout=args.layout
+        args.landing, args.load_date, args.as_of, layout=args.layout, max_days=args.max_days
     )
     for load in result.loads:
         print(f"{load.entity}: {load.files} files, {load.records} records, {load.bad_records} set aside")

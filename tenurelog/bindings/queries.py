@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,13 +18,16 @@ from ..operators import (
     interval_snapshot,
     latest_by_key,
     page,
+    page_after,
     run_checks,
     scd2_from_changes,
+    spine_bounds,
     status_counts,
     unexpected_values,
     updated_since,
 )
-from ..plans import curated, refined
+from ..operators.snapshot import MAX_DAYS
+from ..plans import Warehouse, curated, refined
 from ..plans.models import ENTITIES
 from ..session import scratch_dir, side_by_side
 from ..sources import KeyedTable, RawStore, RebuiltTable, land
@@ -102,13 +104,18 @@ def dim_worker_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.dim_worker(r.workers(spark, sf_dir), changes, max_rows=HOT)
 
 
+def dim_worker_collapse_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = r.job_changes(spark, sf_dir).withColumn("worker_id", crowd())
+    return curated.dim_worker(r.workers(spark, sf_dir), changes, max_rows=HOT, collapse_same_day=True)
+
+
 def dim_org(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.dim_org(r.raw_organizations(spark, sf_dir))
 
 
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = r.workers(spark, sf_dir).agg(F.min("hire_date")).first()[0]
-    return date_spine(spark, lo, r.AS_OF)
+    return date_spine(spark, lo, r.AS_OF, max_days=MAX_DAYS)
 
 
 def headcount_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +123,8 @@ def headcount_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.fct_headcount_daily(dim_worker(spark, sf_dir), r.AS_OF, disjoint=True)
 
 
-def headcount_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as intervals of 30 days that overlap within a customer."""
+def _overlapping(spark: SparkSession, sf_dir: str, max_days: int | None) -> DataFrame:
+    """Orders as intervals of 30 days that overlap within a customer, from the first order to the last."""
     orders = r.table(spark, sf_dir, "orders").select(
         "o_custkey",
         "o_orderpriority",
@@ -125,17 +132,39 @@ def headcount_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("valid_from"),
         F.date_add(F.col("o_orderdate").cast("date"), 29).alias("valid_to"),
     )
+    first, last = orders.agg(F.min("valid_from"), F.max("valid_from")).first()
     return interval_snapshot(
         orders,
         dims=["o_orderpriority"],
         entity="o_custkey",
         start="valid_from",
         end="valid_to",
-        bounds=(date(1996, 1, 1), date(1997, 12, 31)),
+        bounds=spine_bounds(first, last, max_days),
         starts={"opened": F.col("o_orderstatus") == "O", "filled": F.col("o_orderstatus") == "F"},
     )
 
 
+def headcount_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _overlapping(spark, sf_dir, None)
+
+
+def headcount_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the calendar cut after 1,500 days, on request."""
+    return _overlapping(spark, sf_dir, MAX_DAYS)
+
+
+def dim_org_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second organization is renamed by a later load; the last name counts."""
+    first = r.organizations(spark, sf_dir).withColumn("_loaded_at", F.lit(r.FIRST_LOAD).cast("timestamp_ntz"))
+    odd = F.substring_index("id", "-", -1).cast("int") % 2 == 1
+    later = first.where(odd).withColumns(
+        {"name": F.concat("name", F.lit(" II")), "_loaded_at": F.lit(r.SECOND_LOAD).cast("timestamp_ntz")}
+    )
+    both = first.unionByName(later)
+    raw = both.select(F.to_variant_object(F.struct("id", "name", "parent_id", "type")).alias("raw_data"), "_loaded_at")
+    return curated.dim_org(raw, latest_only=True)
+
+
 def _pct_change(pay: DataFrame, **options) -> DataFrame:
     return change_over_previous(
         pay.select("compensation_id", "worker_id", "effective_date", "base_salary"),
@@ -156,6 +185,13 @@ def pct_change_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pct_change(r.compensation(spark, sf_dir).withColumn("worker_id", crowd()), max_rows=HOT)
 
 
+def pct_change_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth salary is 0; the change after it is NULL, not an error."""
+    pay = r.compensation(spark, sf_dir)
+    none = F.substring_index("compensation_id", "-", -1).cast("long") % 5 == 0
+    return _pct_change(pay.withColumn("base_salary", F.when(none, 0.0).otherwise(F.col("base_salary"))), zero_division="null")
+
+
 def comp_current_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.fct_compensation(r.compensation(spark, sf_dir), dim_worker(spark, sf_dir))
 
@@ -221,7 +257,50 @@ def page_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = r.table(spark, sf_dir, "orders")
-    return page(orders, newest="o_orderdate", key="o_orderkey", offset=1000, limit=100, deep=950).data
+    return page(orders, newest="o_orderdate", key="o_orderkey", offset=1000, limit=100).data
+
+
+def page_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total, has_more and the rows of a page, in its middle and at the end of the table."""
+    orders = r.table(spark, sf_dir, "orders")
+    out = None
+    for offset, limit in ((0, 20), (700, 100), (orders.count() - 30, 100)):
+        found = page(orders, newest="o_orderdate", key="o_orderkey", offset=offset, limit=limit)
+        part = found.data.select(
+            F.lit(found.total).cast("long").alias("total"),
+            F.lit(limit).cast("long").alias("page_limit"),
+            F.lit(found.has_more).alias("has_more"),
+            "o_orderkey",
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def page_seek(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page behind the last row of the first page."""
+    orders = r.table(spark, sf_dir, "orders")
+    last = page_after(orders, newest="o_orderdate", key="o_orderkey", limit=100).collect()[-1]
+    return page_after(
+        orders, newest="o_orderdate", key="o_orderkey", after=(last["o_orderdate"], last["o_orderkey"]), limit=100
+    )
+
+
+def changed_or_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records without an update time count by their creation time; with neither they are left out."""
+    events = r.table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(F.col("event_type") == "click", "").when(F.col("event_type") != "error", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("updated_at"),
+        F.when(F.col("event_type") != "error", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("created_at"),
+    )
+    return updated_since(events, "2024-01-20T00:00:00").select("event_id")
+
+
+def flatten_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value that does not fit its type becomes NULL."""
+    raw = r.table(spark, sf_dir, "events").select(
+        "event_id", F.to_variant_object(F.struct(F.when(F.col("event_id") % 3 == 0, "x").otherwise(F.col("event_id").cast("string")).alias("n"))).alias("raw_data")
+    )
+    return flatten(raw, [("n", "long", "n"), ("n", "string", "n_text")], keep=["event_id"], strict=False)
 
 
 def active_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +330,18 @@ def schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def schema_sync_retype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run turns a number into text and narrows another; old rows follow."""
+    target = KeyedTable(spark, scratch_dir(spark, "retype"), "o_orderkey", buckets=8)
+    orders = r.table(spark, sf_dir, "orders")
+    target.replace(orders.select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 100).alias("part")))
+    later = orders.where(F.col("o_orderkey") % 3 == 0)
+    # opened with another number of buckets: the stored one counts
+    again = KeyedTable(spark, target.path, "o_orderkey", buckets=3)
+    again.replace(later.select("o_orderkey", F.concat(F.lit("c"), F.col("o_custkey")).alias("o_custkey"), (F.col("o_orderkey") % 7).cast("int").alias("part")))
+    return again.read()
+
+
 ID_OF = {
     "workers": "worker_id",
     "positions": "id",
@@ -276,7 +367,7 @@ def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     side_by_side(
         spark, {e: partial(land, rows, f"{root}/landing", e, "2024-02-01") for e, rows in sources.items()}
     )
-    store.load_all(f"{root}/landing", ENTITIES, "2024-02-01", r.SECOND_LOAD)
+    store.load_all(f"{root}/landing", ENTITIES, "2024-02-01", r.SECOND_LOAD, "lines")
     out = None
     for entity in ENTITIES:
         part = flatten(store.read(entity), [(ID_OF[entity], "string", "record_id")], keep=["_loaded_at", "_source"])
@@ -291,9 +382,9 @@ def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = r.change_records(spark, sf_dir)
     land(changes.where("change_type = 'New Hire'"), f"{root}/landing", "job_changes", "2024-02-01")
     land(changes.where("change_type <> 'New Hire'"), f"{root}/landing", "job_changes", "2024-02-02")
-    store.load(f"{root}/landing", "job_changes", "2024-02-01", "2024-02-01 06:00:00")
-    store.load(f"{root}/landing", "job_changes", "2024-02-01", "2024-02-01 07:00:00")
-    store.load(f"{root}/landing", "job_changes", "2024-02-02", "2024-02-02 06:00:00")
+    store.load(f"{root}/landing", "job_changes", "2024-02-01", "2024-02-01 06:00:00", "lines")
+    store.load(f"{root}/landing", "job_changes", "2024-02-01", "2024-02-01 07:00:00", "lines")
+    store.load(f"{root}/landing", "job_changes", "2024-02-02", "2024-02-02 06:00:00", "lines")
     fields = [("change_type", "string", "change_type")]
     return (
         flatten(store.read("job_changes"), fields, keep=["_loaded_at"])
@@ -312,15 +403,130 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.select(broken.alias("value")).write.option("compression", "none").text(
         f"{root}/text/job_changes/load_date=2024-02-01"
     )
-    store.load(f"{root}/text", "job_changes", "2024-02-01", r.SECOND_LOAD, pattern="*.txt")
+    store.load(f"{root}/text", "job_changes", "2024-02-01", r.SECOND_LOAD, "lines", pattern="*.txt")
     good = flatten(store.read("job_changes"), [("event_id", "long", "event_id")])
     bad = store.quarantine("job_changes").select(F.regexp_extract("value", r'"event_id":(\d+)', 1).cast("long").alias("event_id"))
     return good.withColumn("status", F.lit("loaded")).unionByName(bad.withColumn("status", F.lit("quarantined")))
 
 
+def _dump(records: DataFrame, folder: str, files: int, indent: int, crlf: bool = False) -> None:
+    """Records as the source dumps them: one indented array per file."""
+    text = F.to_json(F.struct(*records.columns))
+    pad, inner = " " * indent, " " * (2 * indent)
+    body = F.concat(F.lit(f"{pad}{{\n{inner}\"record\": "), text, F.lit(f",\n{inner}\"kind\": \"x\"\n{pad}}}"))
+    rows = records.select(body.alias("one"), F.pmod(F.xxhash64(text), F.lit(files)).alias("file"))
+    whole = F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("one")), F.lit("\n]"))
+    dumped = rows.groupBy("file").agg(whole.alias("value")).select("value")
+    if crlf:
+        dumped = dumped.select(F.regexp_replace("value", "\n", "\r\n").alias("value"))
+    # one row per file, so that each part is one array
+    dumped.repartition(files, F.xxhash64("value")).write.option("lineSep", " ").option("compression", "none").option(
+        "maxRecordsPerFile", 1
+    ).mode("append").text(folder)
+
+
+def raw_ingest_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays indented by two, by four, and with other line ends; payload and file names compared."""
+    root = scratch_dir(spark, "arrays")
+    store, folder = RawStore(spark, f"{root}/warehouse"), f"{root}/landing/job_changes/load_date=2024-02-01"
+    events = r.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    for number, (indent, crlf) in enumerate(((2, False), (4, False), (2, True))):
+        _dump(events.where(F.col("event_id") % 3 == number), folder, 3, indent, crlf)
+    store.load(f"{root}/landing", "job_changes", "2024-02-01", r.SECOND_LOAD, pattern="*.txt")
+    fields = [("record.event_id", "long", "event_id"), ("record.user_id", "long", "user_id"), ("record.event_type", "string", "event_type"), ("record.props", "string", "props"), ("kind", "string", "kind")]
+    return flatten(store.read("job_changes"), fields, keep=["_loaded_at", F.col("_file_name").endswith(".txt").alias("from_file")])
+
+
+def ingest_trailing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a second record behind the first, text behind it, or no object are set aside whole."""
+    root = scratch_dir(spark, "trailing")
+    store = RawStore(spark, f"{root}/warehouse")
+    text = F.to_json(F.struct("event_id", "user_id"))
+    kind = F.col("event_type")
+    line = (
+        F.when(kind == "error", F.concat(text, text))
+        .when(kind == "click", F.concat(text, F.lit(" xx")))
+        .when(kind == "signup", F.concat(F.lit("[ "), text, F.lit(" ]")))
+        .when(kind == "purchase", F.concat(F.lit('"'), F.col("event_id").cast("string"), F.lit('"')))
+        .otherwise(text)
+    )
+    r.table(spark, sf_dir, "events").select(line.alias("value")).write.option("compression", "none").text(
+        f"{root}/text/job_changes/load_date=2024-02-01"
+    )
+    store.load(f"{root}/text", "job_changes", "2024-02-01", r.SECOND_LOAD, "lines", pattern="*.txt")
+    good = flatten(store.read("job_changes"), [("event_id", "long", "event_id")])
+    bad = store.quarantine("job_changes").select(F.regexp_extract("value", r"(\d+)", 1).cast("long").alias("event_id"))
+    return good.withColumn("status", F.lit("loaded")).unionByName(bad.withColumn("status", F.lit("quarantined")))
+
+
+def refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run, twice: the second load brings changed, back-dated and re-owned records."""
+    root = scratch_dir(spark, "refresh")
+    warehouse = Warehouse(spark, f"{root}/warehouse", buckets=8)
+    number = F.substring_index("change_id", "-", -1).cast("long")
+    changes = r.change_records(spark, sf_dir)
+    early = changes.where((F.col("effective_date") < "2024-01-16") & (number % 7 != 0))
+    # every eleventh change now belongs to the next worker
+    owner = F.concat(F.lit("WKR-"), F.substring_index("worker_id", "-", -1).cast("long") + 1)
+    final = changes.withColumn("worker_id", F.when(number % 11 == 0, owner).otherwise(F.col("worker_id")))
+    workers = r.worker_records(spark, sf_dir)
+    loads = (
+        ("2024-01-16", {"workers": workers, "job_changes": early}),  # no organizations, no pay on the first day
+        (
+            "2024-02-01",
+            {
+                "workers": r.worker_records(spark, sf_dir, F.lit(1)),
+                "job_changes": final,
+                "organizations": r.organizations(spark, sf_dir),
+                "compensation": r.pay_records(spark, sf_dir),
+                "positions": r.position_records(spark, sf_dir),
+                "time_off": r.time_off_records(spark, sf_dir),
+            },
+        ),
+    )
+    for day, sources in loads:
+        side_by_side(spark, {e: partial(land, rows, f"{root}/landing", e, day) for e, rows in sources.items()})
+        done = warehouse.refresh(
+            f"{root}/landing", day, r.AS_OF, loaded_at=f"{day} 06:00:00", layout="lines", strict_checks=False
+        )
+    head = done.models["fct_headcount_daily"]
+    pay = done.models["fct_compensation"]
+    turnover_ = done.models["fct_turnover"]
+    return (
+        head.select(F.lit("headcount").alias("model"), F.col("report_date").cast("string").alias("item"), F.concat_ws("|", "organization_id", "job_family", "job_level", "work_location").alias("detail"), F.col("headcount").cast("double").alias("measure"))
+        .unionByName(pay.select(F.lit("compensation").alias("model"), F.col("compensation_id").alias("item"), F.concat_ws("|", "worker_id", "job_level", "work_location").alias("detail"), F.col("salary_change_pct").alias("measure")))
+        .unionByName(turnover_.select(F.lit("turnover").alias("model"), F.col("period_start").cast("string").alias("item"), F.lit("").alias("detail"), F.col("terminations").cast("double").alias("measure")))
+    )
+
+
 # -- streams ---------------------------------------------------------------
 
 
+def scd2_reassigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that move to another worker, and others whose approval is withdrawn."""
+    changes = r.job_changes(spark, sf_dir)
+    number = F.substring_index("change_id", "-", -1).cast("long")
+    owner = F.concat(F.lit("WKR-"), F.substring_index("worker_id", "-", -1).cast("long") + 1)
+    final = changes.withColumns(
+        {
+            "worker_id": F.when(number % 11 == 0, owner).otherwise(F.col("worker_id")),
+            "approval_status": F.when(number % 13 == 0, "Denied").otherwise(F.col("approval_status")),
+        }
+    )
+    spec = {
+        "key": "worker_id",
+        "effective": "effective_date",
+        "tie_break": ["source_updated_at", "change_id"],
+        "carry": ["change_id", "change_type"],
+    }
+    approved = F.col("approval_status") == "Approved"
+    target = KeyedTable(spark, scratch_dir(spark, "moved"), "worker_id", buckets=8)
+    target.replace(scd2_from_changes(changes.where(approved), **spec))
+    touched = final.where((number % 11 == 0) | (number % 13 == 0))
+    refresh_history(target, final.where(approved), touched, change_key="change_id", **spec)
+    return target.read()
+
+
 def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History built from early events, then refreshed for the workers touched later."""
     changes = r.job_changes(spark, sf_dir).where("approval_status = 'Approved'")
@@ -367,12 +573,16 @@ QUERIES: dict[str, Query] = {
     "scd2_history_hot": scd2_history_hot,
     "dim_worker": dim_worker,
     "dim_worker_hot": dim_worker_hot,
+    "dim_worker_collapse_hot": dim_worker_collapse_hot,
     "dim_org": dim_org,
+    "dim_org_latest": dim_org_latest,
     "date_spine": spine,
     "headcount_daily": headcount_daily,
     "headcount_overlapping": headcount_overlapping,
+    "headcount_capped": headcount_capped,
     "pct_change": pct_change,
     "pct_change_hot": pct_change_hot,
+    "pct_change_zero": pct_change_zero,
     "comp_current_worker": comp_current_worker,
     "comp_current_worker_hot": comp_current_worker_hot,
     "turnover": turnover,
@@ -383,12 +593,21 @@ QUERIES: dict[str, Query] = {
     "updated_since": changed_since,
     "page_window": page_window,
     "page_deep": page_deep,
+    "page_meta": page_meta,
+    "page_seek": page_seek,
+    "changed_or_created": changed_or_created,
+    "flatten_lenient": flatten_lenient,
     "active_count": active_count,
     "incremental_upsert": upsert,
     "schema_sync": schema_sync,
+    "schema_sync_retype": schema_sync_retype,
     "raw_ingest": raw_ingest,
     "ingest_manifest": ingest_manifest,
     "ingest_quarantine": ingest_quarantine,
+    "raw_ingest_array": raw_ingest_array,
+    "ingest_trailing_text": ingest_trailing_text,
+    "refresh_all": refresh_all,
     "scd2_incremental": scd2_incremental,
+    "scd2_reassigned": scd2_reassigned,
     "stream_upsert": stream_latest,
 }

@@ -54,11 +54,5 @@ def hash_key(*parts: Column) -> Column:
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round a double half away from zero on its decimal value.
-
-    Goes through DECIMAL so that ties do not depend on the binary form.
-    Doubles of 1e15 and more are passed through: they hold no cents to round,
-    and so the cast cannot overflow. NaN takes that branch too.
-    """
-    exact = F.round(value.cast("decimal(28,8)"), digits).cast("double")
-    return F.when(F.abs(value) < F.lit(1e15), exact).otherwise(value)
+    """Round half away from zero, once, on the shortest decimal that stands for the double."""
+    return F.round(value, digits)

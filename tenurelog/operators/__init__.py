@@ -1,4 +1,4 @@
-from .access import Page, page, status_counts, updated_since
+from .access import Page, page, page_after, status_counts, updated_since
 from .change import change_over_previous
 from .flatten import flatten
 from .history import scd2_from_changes
@@ -29,6 +29,7 @@ __all__ = [
     "latest_by_key",
     "newer_than",
     "page",
+    "page_after",
     "require_clean",
     "run_checks",
     "scd2_from_changes",

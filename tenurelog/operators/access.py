@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions import asc
-from .skew import MAX_PIECES, PIECE, write_pieces
-
 # Bounds of one page.
 MIN_LIMIT, MAX_LIMIT = 1, 100
+# Length of a time in text form, cut to a unit, and the unit.
+UNITS = {10: timedelta(days=1), 13: timedelta(hours=1), 16: timedelta(minutes=1), 19: timedelta(seconds=1)}
 
 
 def updated_since(
@@ -56,60 +54,76 @@ class Page:
     data: DataFrame
 
 
-def page(
-    df: DataFrame,
-    *,
-    newest: str,
-    key: str,
-    offset: int = 0,
-    limit: int = 20,
-    deep: int = 100_000,
-) -> Page:
+def _check_limit(limit: int) -> None:
+    if not MIN_LIMIT <= limit <= MAX_LIMIT:
+        raise ValueError(f"limit must lie between {MIN_LIMIT} and {MAX_LIMIT}")
+
+
+def page(df: DataFrame, *, newest: str, key: str, offset: int = 0, limit: int = 20) -> Page:
     """One slice of the rows sorted by ``newest`` descending, missing ones last.
 
-    Ties go by ``key``. Spark answers an offset by keeping offset + limit rows
-    in each task, so beyond ``deep`` the rows are first narrowed to the stretch
-    of the sort order that holds the page.
+    Ties go by ``key``. Rows are counted per day (one small row per day and
+    task), which gives the total and the days that hold the page; within them per
+    hour, minute and second. The rest of the table is filtered out by a range
+    on the column itself, which reaches the scan, and only what is left is sorted.
     """
     if offset < 0:
         raise ValueError("offset must not be negative")
-    if not MIN_LIMIT <= limit <= MAX_LIMIT:
-        raise ValueError(f"limit must lie between {MIN_LIMIT} and {MAX_LIMIT}")
-    total = df.count()
-    # Time back from a fixed point: ascending, with missing last, is the page order.
-    back = F.lit("9999-12-31").cast("timestamp_ntz") - _time(df, newest).cast("timestamp_ntz")
-    rows, skip = df.withColumn("_back", back), offset
-    if deep < offset < total:
-        rows, skip = _narrow(rows, ["_back", key], offset, limit, deep)
-    data = rows.orderBy(*asc("_back", key)).drop("_back").offset(skip).limit(limit)
+    _check_limit(limit)
+    at = _time(df, newest).cast("timestamp_ntz")
+    rows, skip, total = df, offset, None
+    for length, unit in UNITS.items():
+        sizes = rows.groupBy(F.substring(at.cast("string"), 1, length).alias("at")).count().collect()
+        if total is None:
+            total = sum(r["count"] for r in sizes)
+        sizes.sort(key=lambda r: (r["at"] is not None, r["at"]), reverse=True)
+        before, wanted = 0, []
+        for r in sizes:
+            if not wanted and before + r["count"] <= skip:
+                before += r["count"]
+            elif sum(w["count"] for w in wanted) < skip - before + limit:
+                wanted.append(r)
+            else:
+                break
+        if not wanted:
+            rows = rows.where(F.lit(False))
+            break
+        rows, skip = rows.where(_between(at, wanted, unit)), skip - before
+        if all(w["at"] is None for w in wanted):
+            break
+    data = rows.orderBy(at.desc_nulls_last(), F.col(key).asc_nulls_last()).offset(skip).limit(limit)
     return Page(total, offset, limit, offset + limit < total, data)
 
 
-def _narrow(
-    rows: DataFrame, order: Sequence[str], skip: int, limit: int, deep: int
-) -> tuple[DataFrame, int]:
-    """Rows around the page, and how many of them precede it.
+def _between(at: Column, wanted: list, unit: timedelta) -> Column:
+    """Whether a time lies in the wanted units, which follow one another; the last may be the missing times."""
+    known = [datetime.fromisoformat(w["at"]) for w in wanted if w["at"] is not None]
+    missing = at.isNull() if len(known) < len(wanted) else F.lit(False)
+    if not known:
+        return missing
+    low, high = (F.lit(str(t)).cast("timestamp_ntz") for t in (min(known), max(known) + unit))
+    inside = (at >= low) & (at < high)
+    return inside if len(known) == len(wanted) else inside | missing
+
+
+def page_after(df: DataFrame, *, newest: str, key: str, after: tuple | None = None, limit: int = 20) -> DataFrame:
+    """The rows that follow ``after``, the (newest, key) of the last row seen; without it the first ones.
 
-    The rows are cut into stretches of the sort order; those that lie wholly
-    before or after the page are left out. A stretch that is still too long is
-    cut again.
+    For reading a whole table page by page: no row before the page is counted or
+    sorted. Keys must not be NULL.
     """
-    while skip > deep:
-        pieces = min(ceil(2 * rows.count() / deep), MAX_PIECES)
-        cut = write_pieces(rows, order, pieces)
-        sizes = cut.groupBy(PIECE).count().orderBy(PIECE).collect()  # a row per piece, bounded
-        before, wanted, ahead = 0, [], 0
-        for piece, size in sizes:
-            if before + size <= skip:
-                ahead = before + size
-            elif before < skip + limit:
-                wanted.append(piece)
-            before += size
-        if len(wanted) == len(sizes):
-            break  # one position throughout, nothing to cut at
-        rows = cut.where(F.col(PIECE).between(wanted[0], wanted[-1])).drop(PIECE)
-        skip -= ahead
-    return rows, skip
+    _check_limit(limit)
+    at = _time(df, newest).cast("timestamp_ntz")
+    rows = df
+    if after is not None:
+        seen, last = after
+        further = F.col(key) > F.lit(last)
+        if seen is None:
+            rows = df.where(at.isNull() & further)
+        else:
+            then = F.lit(str(seen)).cast("timestamp_ntz")
+            rows = df.where((at < then) | ((at == then) & further) | at.isNull())
+    return rows.orderBy(at.desc_nulls_last(), F.col(key)).limit(limit)
 
 
 def status_counts(df: DataFrame, *, status: str, active: str = "Active") -> DataFrame:

@@ -16,10 +16,9 @@ Spark's range partitioning uses the window's own ordering, so the result is
 exact wherever it cuts; the cuts only balance the work. The written table makes
 the piece numbers the same in every plan and survives lost executors.
 
-Size bound of everything broadcast or collected here: a key is hot only when it
-has more than ``total / MAX_PIECES`` rows, so there are fewer than MAX_PIECES
-hot keys, and (key, piece) pairs number fewer than ``3 * MAX_PIECES``. Both are
-constants that do not grow with the data.
+The number of rows per piece does not depend on the size of the table. Tables of
+hot keys and of pieces have one row per ``max_rows`` rows at most; they are
+broadcast while they have no more than ``SMALL`` rows and joined by shuffle beyond.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ from ..functions import asc, desc, null_safe_equal, order_struct
 from ..session import scratch_dir
 
 PIECE = "_piece"
-MAX_PIECES = 4096
+SMALL = 10_000
 MAX_ROWS = 2_000_000
 
 
@@ -46,6 +45,7 @@ class KeySplit:
     keys: tuple[str, ...]
     rows: DataFrame  # with PIECE if hot: -1 for ordinary keys
     hot_rows: DataFrame | None = None
+    small: bool = True  # whether tables of hot keys and pieces may be broadcast
 
     @property
     def hot(self) -> bool:
@@ -62,14 +62,14 @@ class KeySplit:
             return df
         pieces = self.hot_rows.groupBy(*self.keys).agg(F.collect_set(PIECE).alias("_pieces"))
         copies = F.explode(F.coalesce("_pieces", F.array(F.lit(-1))))
-        return attach(df, pieces, self.keys).select(*df.columns, copies.alias(PIECE))
+        return attach(df, pieces, self.keys, self.small).select(*df.columns, copies.alias(PIECE))
 
 
-def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join one of the bounded tables; its first columns correspond to ``keys``."""
+def attach(df: DataFrame, other: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Left join a table with one row per key; its first columns correspond to ``keys``."""
     names = [f"_k{i}" for i in range(len(keys))]
-    small = small.toDF(*names, *small.columns[len(names) :])
-    return df.join(F.broadcast(small), null_safe_equal(keys, names), "left").drop(*names)
+    other = other.toDF(*names, *other.columns[len(names) :])
+    return df.join(F.broadcast(other) if small else other, null_safe_equal(keys, names), "left").drop(*names)
 
 
 def write_pieces(df: DataFrame, order: Sequence[str], pieces: int) -> DataFrame:
@@ -90,26 +90,31 @@ def split_hot_keys(
 
     ``order`` should end with a column that is unique within a key: rows that
     are equal in all of its columns cannot be told apart and stay together.
-    Runs one job that returns two numbers. Only when some key is hot are the
-    rows of the hot keys written out.
+    One job counts. Only when some key is hot are the rows of the hot keys
+    written out, once.
     """
     keys = tuple(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
-    limit = max(max_rows, ceil((total or 0) / MAX_PIECES))
-    if top is None or top <= limit:
+    hot_sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
+    found = hot_sizes.limit(SMALL + 1).collect()
+    if not found:
         return KeySplit(keys, df)
 
-    hot_sizes = sizes.where(F.col("_n") > limit)
-    found = hot_sizes.collect()  # fewer than MAX_PIECES rows
-    hot_keys = df.sparkSession.createDataFrame(found, hot_sizes.schema)
-    pieces = min(sum(ceil(row["_n"] / limit) for row in found), 2 * MAX_PIECES)
-
-    marked = attach(df, hot_keys, keys)
+    spark = df.sparkSession
+    if len(found) <= SMALL:
+        hot_keys = spark.createDataFrame(found, hot_sizes.schema)
+        pieces = sum(ceil(row["_n"] / max_rows) for row in found)
+    else:
+        path = scratch_dir(spark, "hot-keys")
+        hot_sizes.write.parquet(path)
+        hot_keys = spark.read.schema(hot_sizes.schema).parquet(path)
+        pieces = hot_keys.agg(F.sum(F.ceil(F.col("_n") / max_rows))).first()[0]
+
+    marked = attach(df, hot_keys, keys, len(found) <= SMALL)
     hot = marked.where("_n IS NOT NULL").drop("_n")
-    hot_rows = write_pieces(hot, [*keys, *order], pieces)
+    hot_rows = write_pieces(hot, [*keys, *order], int(pieces))
     ordinary = marked.where("_n IS NULL").drop("_n").withColumn(PIECE, F.lit(-1))
-    return KeySplit(keys, ordinary.unionByName(hot_rows), hot_rows)
+    # a cut can add one (key, piece) to each key
+    return KeySplit(keys, ordinary.unionByName(hot_rows), hot_rows, pieces + len(found) <= SMALL)
 
 
 def with_neighbour(
@@ -122,8 +127,9 @@ def with_neighbour(
 ) -> DataFrame:
     """LEAD (``step=1``) or LAG (``step=-1``) of one column.
 
-    ``df`` holds the rows of the split, or a join with them. ``order`` must
-    start with the columns the split was made on.
+    ``df`` holds the rows of the split, or a join with them that adds columns to
+    ``order`` at most behind those of the split. Neighbours across a cut come from
+    the split's own rows, so the join is not run for them.
     """
     shift = F.lead if step == 1 else F.lag
     window = Window.partitionBy(*split.by).orderBy(*asc(*order))
@@ -133,15 +139,15 @@ def with_neighbour(
     # A struct is NULL only where there is no row, never for a NULL value.
     boxed = F.struct(F.col(column).alias("v"))
     outer = F.min_by if step == 1 else F.max_by
+    own = [c for c in order if c in split.hot_rows.columns]
     edges = (
-        df.where(F.col(PIECE) >= 0)
-        .groupBy(*split.by)
-        .agg(outer(boxed, order_struct(order)).alias("_box"))
+        split.hot_rows.groupBy(*split.by)
+        .agg(outer(boxed, order_struct(own)).alias("_box"))
         .withColumn("_far", shift("_box").over(Window.partitionBy(*split.keys).orderBy(PIECE)))
         .drop("_box")
-    )  # one row per piece of a hot key, see the size bound above
+    )  # one row per piece of a hot key
     near = df.withColumn("_near", shift(boxed).over(window))
-    return attach(near, edges, split.by).withColumn(
+    return attach(near, edges, split.by, split.small).withColumn(
         alias, F.when(F.col("_near").isNotNull(), F.col("_near.v")).otherwise(F.col("_far.v"))
     ).drop("_near", "_far")
 
@@ -154,12 +160,11 @@ def with_rank_from_end(df: DataFrame, split: KeySplit, order: Sequence[str], ali
         return ranked
     later = Window.partitionBy(*split.keys).orderBy(PIECE).rowsBetween(1, Window.unboundedFollowing)
     edges = (
-        df.where(F.col(PIECE) >= 0)
-        .groupBy(*split.by)
+        split.hot_rows.groupBy(*split.by)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_later", F.sum("_rows").over(later))
         .drop("_rows")
     )
-    return attach(ranked, edges, split.by).withColumn(
+    return attach(ranked, edges, split.by, split.small).withColumn(
         alias, F.col(alias) + F.coalesce("_later", F.lit(0))
     ).drop("_later")

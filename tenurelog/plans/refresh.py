@@ -12,7 +12,7 @@ from ..operators.quality import require_clean, run_checks
 from ..operators.upsert import incremental_upsert
 from ..session import side_by_side
 from ..sources.landing import LoadResult, RawStore
-from ..sources.table import KeyedTable, RebuiltTable
+from ..sources.table import BUCKETS, KeyedTable, RebuiltTable
 from . import curated, refined
 from .models import CHECKS, ENTITIES
 
@@ -27,7 +27,7 @@ class Refresh:
 class Warehouse:
     """Folders of the three layers under one root."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
         self.raw = RawStore(spark, self.root)
         self.refined = {
@@ -50,17 +50,19 @@ class Warehouse:
         as_of: date | None = None,
         *,
         loaded_at: str | None = None,
-        layout: str = "lines",
+        layout: str = "array",
+        max_days: int | None = None,
         strict_checks: bool = True,
     ) -> Refresh:
         """Run all stages in order. Fails after the last if a check fails.
 
-        Steps of one stage do not depend on each other and run side by side.
+        Steps of one stage do not depend on each other and run side by side. An
+        entity without files has empty tables. ``max_days`` cuts the calendar.
         """
         loads = self.raw.load_all(landing, ENTITIES, load_date, loaded_at, layout)
 
         models = side_by_side(self.spark, {name: partial(self._merge, name) for name in self.refined})
-        organizations = self._loaded("organizations", self.raw.read("organizations"))
+        organizations = self.raw.read("organizations")
         models |= side_by_side(
             self.spark,
             {
@@ -76,7 +78,10 @@ class Warehouse:
             {
                 # stg_workers holds one row per worker, so intervals cannot overlap
                 "fct_headcount_daily": lambda: self.rebuild(
-                    "fct_headcount_daily", curated.fct_headcount_daily(dim, as_of, disjoint=True)
+                    "fct_headcount_daily", curated.fct_headcount_daily(dim, as_of, max_days=max_days, disjoint=True)
+                ),
+                "fct_turnover": lambda: self.rebuild(
+                    "fct_turnover", curated.fct_turnover(dim, as_of, max_days=max_days, disjoint=True)
                 ),
                 "fct_compensation": lambda: self.rebuild(
                     "fct_compensation", curated.fct_compensation(models["stg_compensation"], dim)
@@ -91,13 +96,6 @@ class Warehouse:
     def _merge(self, name: str) -> DataFrame:
         table, entity, build = self.refined[name]
         raw = self.raw.read(entity)
-        if raw is not None:
-            incremental_upsert(table, raw, build, day="_load_day")
-        return self._loaded(entity, table.read())
-
-    @staticmethod
-    def _loaded(entity: str, df: DataFrame | None) -> DataFrame:
-        if df is None:
-            raise LookupError(f"no records of {entity} were ever loaded")
-        return df
-
+        incremental_upsert(table, raw, build, day="_load_day")
+        merged = table.read()
+        return self.spark.createDataFrame([], build(raw).schema) if merged is None else merged

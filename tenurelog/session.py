@@ -1,8 +1,7 @@
-"""The shared scratch folder, and running independent jobs side by side."""
+"""The shared scratch folder, small files on any file system, and independent jobs side by side."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -14,18 +13,46 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
-    It lies under the session's ``spark.checkpoint.dir``. Only a local session
-    may go without one; on a cluster a machine-local folder would lose data
-    with its executor, so that is an error.
+    It lies under the session's ``spark.checkpoint.dir``, which must be set: a
+    machine-local folder would lose data with its executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tenurelog-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/tenurelog/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path for a location."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = file_system(spark, path)
+    return fs.exists(where)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    fs, where = file_system(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; fails if there is one already."""
+    fs, where = file_system(spark, path)
+    out = fs.create(where, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)
+
+
 def side_by_side(spark: SparkSession, steps: dict[str, Callable], threads: int = 4) -> dict:
     """Run steps that do not depend on each other; results in the order of the steps."""
     inherit = inheritable_thread_target(spark)

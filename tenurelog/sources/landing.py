@@ -1,15 +1,18 @@
 """JSON landing files to append-only RAW tables, each file loaded once.
 
-Landing: ``{landing}/{entity}/load_date=YYYY-MM-DD/*.json`` in one of three
+Landing: ``{landing}/{entity}/load_date=YYYY-MM-DD/*.json`` in one of two
 layouts:
 
+* ``array``: one array of records (or one record) per file, whatever its indent
+  and line ends. A file indented by two blanks, as a plain JSON dump writes it, has
+  a fixed text between records; there it is split and read in parallel, and a bad
+  record costs only itself. If a piece of a file does not parse, that file is
+  parsed whole, by one task; only if that fails too are its bad pieces set aside.
 * ``lines``: one record, or one array of records, per line. What :func:`land`
   writes.
-* ``indented``: one array per file, indented by two blanks, as a plain JSON
-  dump writes it. The text between records is fixed, so Spark can split the
-  file there; a bad record costs only itself.
-* ``array``: any other array. The file is one value and is read by one task;
-  a file that does not parse is set aside whole.
+
+A text counts as parsed only if all of it was consumed, and only objects are
+records. Everything else is set aside, so nothing is lost without a trace.
 
 RAW: ``raw_data VARIANT, _loaded_at, _file_name, _source`` plus ``_load_day``,
 the date of ``_loaded_at``, as partition column.
@@ -17,21 +20,22 @@ the date of ``_loaded_at``, as partition column.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import side_by_side
+from ..session import path_exists, side_by_side
 from .table import read_if_exists
 
 RAW_SCHEMA = "raw_data variant, _loaded_at timestamp_ntz, _file_name string, _source string, _load_day date"
 BAD_SCHEMA = "value string, _loaded_at timestamp_ntz, _file_name string, _source string, _load_day date"
 SEEN_SCHEMA = "path string, length long, modificationTime timestamp, _loaded_at timestamp_ntz, load_date date"
-LAYOUTS = ("lines", "indented", "array")
+LAYOUTS = ("array", "lines")
+BETWEEN = "\n  },\n"  # fixed value: what stands between the records of a dump indented by two
 
 
 @dataclass(frozen=True)
@@ -55,44 +59,72 @@ def land(records: DataFrame, landing: str, entity: str, load_date: str) -> None:
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame | None:
     """Path, length and change time of the files, without reading them."""
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not path_exists(spark, folder):
+        return None
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.select("path", "length", "modificationTime")
 
 
-def read_records(spark: SparkSession, paths: list[str], layout: str) -> DataFrame:
-    """One row per record: raw_data (NULL if it does not parse), value, _file_name."""
+def read_records(spark: SparkSession, paths: list[str], layout: str = "array") -> DataFrame:
+    """One row per record: raw_data (NULL if it is none), value (the text if so), _file_name."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    reader = spark.read
-    if layout == "indented":
-        reader = reader.option("lineSep", "\n  },\n")
-    text = reader.text(paths, wholetext=layout == "array").select(
-        (_indented_record("value") if layout == "indented" else F.col("value")).alias("value"),
+    if layout == "lines":
+        return _records(_texts(spark, paths), F.col("value"), nested=True)
+    pieces = _records(_texts(spark, paths, lineSep=BETWEEN), _piece("value"), nested=False)
+    # One row per file that has a bad piece; the paths are among those given.
+    suspect = [r[0] for r in pieces.where("raw_data IS NULL").select("_path").distinct().collect()]
+    if not suspect:
+        return pieces.drop("_path")
+    clean = pieces.where(~F.col("_path").isin(suspect))
+    files = _records(_texts(spark, suspect, wholetext=True), F.col("value"), nested=True)
+    broken = [r[0] for r in files.where("raw_data IS NULL").select("_path").distinct().collect()]
+    whole = files.where(~F.col("_path").isin(broken))
+    return clean.unionByName(whole).unionByName(pieces.where(F.col("_path").isin(broken))).drop("_path")
+
+
+def _texts(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    text = spark.read.text(paths, **options).select(
+        F.regexp_replace("value", "^\ufeff", "").alias("value"),
         F.col("_metadata.file_name").alias("_file_name"),
+        F.col("_metadata.file_path").alias("_path"),
     )
-    parsed = text.where(F.trim("value") != "").withColumn("raw_data", F.try_parse_json("value"))
-    if layout == "indented":
-        return parsed
-    # An outer array is taken apart. Only a record that does not parse keeps its text.
-    text = F.when(F.col("raw_data").isNull(), F.col("value"))
-    elements = F.transform(
-        F.try_variant_get("raw_data", "$", "array<variant>"),
-        lambda x: F.struct(x.alias("raw_data"), F.lit(None).cast("string").alias("value")),
-    )
-    whole = F.array(F.struct("raw_data", text.alias("value")))
-    return parsed.select(F.inline(F.coalesce(elements, whole)), "_file_name")
+    return text.where(~F.col("value").rlike(r"^\s*$"))
+
+
+def _records(text: DataFrame, body: Column, nested: bool) -> DataFrame:
+    """The elements of ``[body]``; with ``nested`` those of arrays among them instead of the arrays.
+
+    The parser takes the first value of a text and leaves the rest unread. Here a
+    member behind the records, under a name that no text can know, shows that the
+    parser came through.
+    """
+    end = f"end{uuid.uuid4().hex}"
+    parsed = F.try_parse_json(F.concat(F.lit('{"r":['), body, F.lit(f'],"{end}":1}}')))
+    elements = F.when(F.try_variant_get(parsed, f"$.{end}", "int") == 1, F.try_variant_get(parsed, "$.r", "array<variant>"))
+    if nested:
+        inner = F.transform(elements, lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x)))
+        elements = F.flatten(inner)
+
+    def record(x: Column) -> Column:
+        is_object = F.schema_of_variant(x).startswith("OBJECT")
+        return F.struct(F.when(is_object, x).alias("raw_data"), F.when(~is_object, F.to_json(x)).alias("value"))
+
+    whole = F.array(F.struct(F.lit(None).cast("variant").alias("raw_data"), F.col("value").alias("value")))
+    return text.select(F.inline(F.coalesce(F.transform(elements, record), whole)), "_file_name", "_path")
+
 
+def _piece(name: str) -> Column:
+    """The records of a piece of an array without the brackets around all of them.
 
-def _indented_record(name: str) -> Column:
-    """A record cut out at the separator, with its closing brace put back."""
+    The separator takes the closing brace of the record before it along; that is
+    put back unless the piece ends the file.
+    """
     body = F.regexp_replace(F.col(name), r"^\s*\[", "")
-    last = F.col(name).rlike(r"(^\s*\[\s*|\n)\]\s*$")
-    return F.when(last, F.regexp_replace(body, r"\]\s*$", "")).otherwise(F.concat(body, F.lit("\n  }")))
+    opens, closes = F.col(name).rlike(r"^\s*\["), F.col(name).rlike(r"\]\s*$")
+    one = F.col(name).rlike(r"^\s*\{") & F.col(name).rlike(r"\}\s*$")
+    ended = F.when(closes, F.regexp_replace(body, r"\]\s*$", "")).when(one & ~opens, body)
+    return F.coalesce(ended, F.concat(body, F.lit("\n  }")))
 
 
 class RawStore:
@@ -102,7 +134,7 @@ class RawStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def read(self, entity: str) -> DataFrame | None:
-        """All records ever loaded for the entity, or None if there are none yet."""
+        """All records ever loaded for the entity, or None if no load was ever tried."""
         return read_if_exists(self.spark, f"{self.root}/raw/{entity}", RAW_SCHEMA)
 
     def quarantine(self, entity: str) -> DataFrame | None:
@@ -117,7 +149,7 @@ class RawStore:
         entity: str,
         load_date: str,
         loaded_at: str | None = None,
-        layout: str = "lines",
+        layout: str = "array",
         pattern: str = "*.json",
     ) -> LoadResult:
         """Append the records of files not loaded before.
@@ -125,10 +157,12 @@ class RawStore:
         A file counts as loaded if its path, length and change time are in the
         manifest; a rewritten file is loaded again. The manifest is written
         last: a job that dies before loads the files again, and keeping the
-        latest record per key absorbs the repeats. Without files nothing
-        happens.
+        latest record per key absorbs the repeats. Without files the RAW table
+        is only created, with no rows.
         """
         spark = self.spark
+        if not path_exists(spark, f"{self.root}/raw/{entity}"):
+            self._append(spark.createDataFrame([], RAW_SCHEMA), "raw", entity)
         files = list_files(spark, f"{landing}/{entity}/load_date={load_date}", pattern)
         if files is None:
             return LoadResult(entity, 0, 0, 0)
@@ -175,7 +209,7 @@ class RawStore:
         entities: Iterable[str],
         load_date: str,
         loaded_at: str | None = None,
-        layout: str = "lines",
+        layout: str = "array",
     ) -> list[LoadResult]:
         """The same load for each entity; one without files does not stop the others."""
         steps = {e: partial(self.load, landing, e, load_date, loaded_at, layout) for e in entities}

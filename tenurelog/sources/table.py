@@ -2,98 +2,121 @@
 
 Plain parquet has no MERGE, and a table cannot be overwritten while it is
 read. Rows are therefore stored in hash buckets of the key; a change writes
-new copies of the touched buckets into a new folder and then appends one row
-to a log that says which folder is current for each bucket. Readers use the
-newest log row, so they see a change whole or not at all. A job that dies
-before the log row leaves unused files and an unchanged table.
-
-One writer at a time is assumed. Old folders are left in place.
+the touched buckets into a new folder and then one file to a log that says
+which folder is current for each bucket. Readers use the newest log file, so
+they see a change whole or not at all. A job that dies before that leaves
+unused files and an unchanged table.
+
+Each log file is created under the next version number and never overwritten:
+of two writers that change the table at the same time the second fails. Old
+folders are left in place. Where the catalog offers MERGE INTO, use that.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import create_file, drop_path, file_names, path_exists
+
 BUCKET = "_bucket"
-LOG = "version long, watermark string, writer string, batch_id long, columns string, folders map<int,string>"
+BUCKETS = 64
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
+
+
+class CommitLog:
+    """Versions of a table, one small JSON file each."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _versions(self) -> list[str]:
+        return sorted(n for n in file_names(self.spark, self.folder) if n.endswith(".json"))
+
+    def last(self) -> dict | None:
+        """The newest entry; one that a writer did not finish does not count."""
+        for name in reversed(self._versions()):
+            text = self.spark.read.text(f"{self.folder}/{name}", wholetext=True).first()
+            try:
+                return json.loads(text[0]) | {"file": name} if text else None
+            except ValueError:
+                continue
+        return None
+
+    def append(self, entry: dict, after: dict | None) -> None:
+        """Add the entry; fails if another writer has added one after ``after``."""
+        names = self._versions()
+        if names and (after is None or names[-1] > after["file"]):
+            last = self.last()
+            if last is not None and (after is None or last["file"] != after["file"]):
+                raise RuntimeError(f"{self.folder}: changed by another writer meanwhile")
+        number = 1 + (int(names[-1].partition(".")[0]) if names else -1)
+        create_file(self.spark, f"{self.folder}/{number:010d}.json", json.dumps(entry))
 
 
 class RebuiltTable:
     """A table that is written whole each time; readers keep the last complete one."""
 
-    LOG = "version long, folder string, columns string"
-
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-
-    def _last(self):
-        log = read_if_exists(self.spark, f"{self.path}/log", self.LOG)
-        return None if log is None else log.orderBy(F.desc("version")).first()
+        self.log = CommitLog(spark, f"{self.path}/log")
 
     def read(self) -> DataFrame | None:
-        last = self._last()
+        last = self.log.last()
         if last is None:
             return None
-        schema = StructType.fromJson(json.loads(last["columns"]))
+        schema = StructType.fromJson(last["columns"])
         return self.spark.read.schema(schema).parquet(f"{self.path}/data/{last['folder']}")
 
     def write(self, df: DataFrame) -> DataFrame:
-        last = self._last()
-        version = 0 if last is None else last["version"] + 1
-        folder = f"c{version:08d}-{uuid.uuid4().hex[:8]}"
+        last, folder = self.log.last(), f"c-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/data/{folder}")
-        row = [(version, folder, df.schema.json())]
-        self.spark.createDataFrame(row, self.LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        self.log.append({"folder": folder, "columns": df.schema.jsonValue()}, last)
         return self.read()
 
 
 @dataclass(frozen=True)
 class State:
-    version: int
-    watermark: str | None
-    writer: str | None
-    batch_id: int | None
     schema: StructType
+    buckets: int
     folders: dict[int, str]
+    watermark: str | None = None
+    batches: dict[str, int] = field(default_factory=dict)  # last batch merged, by stream
+    file: str = ""
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
+    """``buckets`` counts for a table that does not exist yet; after that the stored number does."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = BUCKETS):
         self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+        self.log = CommitLog(spark, f"{self.path}/log")
 
     # -- reading ---------------------------------------------------------
 
     def state(self) -> State | None:
-        log = read_if_exists(self.spark, f"{self.path}/log", LOG)
-        row = None if log is None else log.orderBy(F.desc("version")).first()
-        if row is None:
+        last = self.log.last()
+        if last is None:
             return None
-        schema = StructType.fromJson(json.loads(row["columns"]))
-        return State(row["version"], row["watermark"], row["writer"], row["batch_id"], schema, row["folders"])
+        folders = {int(b): f for b, f in last["folders"].items()}
+        schema = StructType.fromJson(last["columns"])
+        return State(schema, last["buckets"], folders, last["watermark"], last["batches"], last["file"])
 
     def read(self, state: State | None = None) -> DataFrame | None:
         """The current rows, or None if nothing was ever written."""
         state = state or self.state()
         return None if state is None else self._read(state, state.folders)
 
-    def _read(self, state: State, buckets: Sequence[int]) -> DataFrame:
+    def _read(self, state: State, buckets: Iterable[int]) -> DataFrame:
         paths = [f"{self.path}/data/{state.folders[b]}/{BUCKET}={b}" for b in sorted(buckets)]
         if not paths:
             return self.spark.createDataFrame([], state.schema)
@@ -101,8 +124,8 @@ class KeyedTable:
 
     # -- writing ---------------------------------------------------------
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
 
     def replace(
         self,
@@ -112,69 +135,94 @@ class KeyedTable:
         watermark: str | None = None,
         writer: str | None = None,
         batch_id: int | None = None,
-    ) -> bool:
+    ) -> DataFrame | None:
         """Drop all rows whose key occurs in ``keys`` and add the rows of ``fresh``.
 
         Without ``keys`` those of ``fresh`` are used, which makes it an upsert.
         A NULL key matches nothing: such rows are only ever added. Columns
-        follow ``fresh``: new ones are NULL in older rows, missing ones go.
-        ``watermark`` names a column whose largest value is kept in the log.
-        Returns False if there was nothing to do.
+        follow ``fresh``: new ones are NULL in older rows, missing ones go, and
+        a changed type is cast; a value that does not fit fails the job and
+        leaves the table as it was. ``watermark`` names a column whose largest
+        value is kept in the log, ``writer`` and ``batch_id`` what a stream has
+        merged. Returns the rows of ``fresh`` as written, None if there was
+        nothing to do.
+
+        New rows are written once, to their final folder; the rows that stay
+        follow into the same folder.
         """
         state = self.state()
-        commit = f"c{0 if state is None else state.version + 1:08d}-{uuid.uuid4().hex[:8]}"
+        buckets = state.buckets if state else self.buckets
+        commit = f"c-{uuid.uuid4().hex}"
         mark = F.max(watermark).cast("string") if watermark else F.lit(None).cast("string")
-        fresh = fresh.withColumn(BUCKET, self._bucket())
-
-        schema = StructType([f for f in fresh.schema.fields if f.name != BUCKET])
-
-        if state is None:
-            _, done = self._write(fresh, f"data/{commit}", mark, split=True)
-            seen, folders = done, {}
-            if not done["buckets"]:
-                return False
-        else:
-            # `fresh` is needed more than once below; written out it is the
-            # same each time and survives lost executors.
-            none = F.lit(None).cast("string")
-            staged, seen = self._write(fresh, f"stage/{commit}", mark, split=False)
-            touched = set(seen["buckets"])
-            gone = (keys if keys is not None else staged).select(self.key).where(F.col(self.key).isNotNull())
+        schema = fresh.schema
+
+        seen = self._write(fresh.withColumn(BUCKET, self._bucket(buckets)).hint("rebalance", BUCKET), commit, mark)
+        added, touched = set(seen["buckets"]), set(seen["buckets"])
+        written = self.spark.createDataFrame([], schema)
+        if added:
+            written = self.spark.read.schema(schema).parquet(*[f"{self.path}/data/{commit}/{BUCKET}={b}" for b in sorted(added)])
+        folders, kept_in = {}, set()
+        if state is not None:
+            gone, staged_keys = written.select(self.key), None
             if keys is not None:
-                gone = gone.distinct().withColumn(BUCKET, self._bucket())
-                gone, hit = self._write(gone, f"stage/{commit}-keys", none, split=False)
-                touched |= set(hit["buckets"])
+                staged_keys = f"{self.path}/stage/{commit}"
+                gone = keys.select(self.key).where(F.col(self.key).isNotNull()).distinct()
+                touched |= set(self._write(gone.withColumn(BUCKET, self._bucket(buckets)), None, F.lit(None), staged_keys)["buckets"])
+                gone = self.spark.read.schema(gone.schema).parquet(staged_keys)
             if not touched:
-                return False
-            folders = dict(state.folders)
+                return None
             if self._rewrite_all(state.schema, schema):
-                touched |= set(folders)
-            old = self._read(state, [b for b in touched if b in folders])
-            # NULL keys cannot match; kept out of the join they do not all
-            # meet in one task.
-            kept = (
-                old.where(F.col(self.key).isNotNull())
-                .join(gone.select(self.key), self.key, "left_anti")
-                .unionByName(old.where(F.col(self.key).isNull()))
-                .withColumn(BUCKET, self._bucket())
-            )
-            out = kept.unionByName(staged, allowMissingColumns=True).select(*staged.columns)
-            _, done = self._write(out, f"data/{commit}", none, split=True)
-            for b in touched:
-                folders.pop(b, None)
-        folders.update({b: commit for b in done["buckets"]})
+                touched |= set(state.folders)
+            old = [b for b in touched if b in state.folders]
+            if old:
+                rows = self._as(self._read(state, old), schema).withColumn(BUCKET, self._bucket(buckets))
+                kept = self._kept(rows, gone, buckets, unique=keys is None)
+                kept_in = set(self._write(kept, commit, F.lit(None))["buckets"])
+            if staged_keys:
+                drop_path(self.spark, staged_keys)
+            folders = {b: f for b, f in state.folders.items() if b not in touched}
+        elif not touched:
+            return None
+        folders |= {b: commit for b in added | kept_in}
 
         marks = [m for m in (seen["mark"], state.watermark if state else None) if m is not None]
-        row = (
-            0 if state is None else state.version + 1,
-            max(marks, key=_as_time) if marks else None,
-            writer,
-            batch_id,
-            schema.json(),
-            folders,
+        batches = dict(state.batches) if state else {}
+        if writer is not None:
+            batches[writer] = batch_id
+        entry = {
+            "folders": folders,
+            "buckets": buckets,
+            "columns": schema.jsonValue(),
+            "watermark": max(marks, key=_as_time) if marks else None,
+            "batches": batches,
+        }
+        self.log.append(entry, None if state is None else {"file": state.file})
+        return written
+
+    def _kept(self, rows: DataFrame, gone: DataFrame, buckets: int, unique: bool) -> DataFrame:
+        """The old rows whose key is not in ``gone``; NULL keys match nothing and need no shuffle."""
+        known, unknown = rows.where(F.col(self.key).isNotNull()), rows.where(F.col(self.key).isNull())
+        gone = gone.where(F.col(self.key).isNotNull())
+        if not unique:
+            # A key may have very many rows: a join that adaptive execution can split.
+            return known.join(gone, self.key, "left_anti").hint("rebalance", BUCKET).unionByName(unknown)
+        # One exchange, by bucket, serves both the match and the write.
+        marks = gone.withColumn(BUCKET, self._bucket(buckets))
+        both = known.withColumn("_gone", F.lit(False)).unionByName(marks.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
+        hit = F.max("_gone").over(Window.partitionBy(BUCKET, self.key))
+        survivors = both.repartition(F.col(BUCKET)).withColumn("_hit", hit).where("NOT _hit").drop("_gone", "_hit")
+        return survivors.unionByName(unknown)
+
+    @staticmethod
+    def _as(rows: DataFrame, schema: StructType) -> DataFrame:
+        """Old rows with the new columns and types."""
+        have = set(rows.columns)
+        out = rows.select(
+            *[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
         )
-        self.spark.createDataFrame([row], LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
-        return True
+        if [(f.name, f.dataType) for f in out.schema.fields] != [(f.name, f.dataType) for f in schema.fields]:
+            raise TypeError("old rows cannot take the new schema")
+        return out
 
     @staticmethod
     def _rewrite_all(old: StructType, new: StructType) -> bool:
@@ -182,16 +230,15 @@ class KeyedTable:
         types = {f.name: f.dataType for f in new.fields}
         return any(types.get(f.name) != f.dataType for f in old.fields)
 
-    def _write(self, df: DataFrame, name: str, mark: Column, split: bool) -> tuple[DataFrame, dict]:
-        """Write once and learn the buckets (at most ``self.buckets``) on the way."""
-        path, seen = f"{self.path}/{name}", Observation()
-        if split:
-            # Rows of a bucket go together; an oversized bucket is split up again.
-            df = df.hint("rebalance", BUCKET)
-        observed = df.observe(seen, F.collect_set(BUCKET).alias("buckets"), mark.alias("mark"))
-        writer = observed.write.partitionBy(BUCKET) if split else observed.write
-        writer.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), seen.get
+    def _write(self, df: DataFrame, commit: str | None, mark: Column, path: str | None = None) -> dict:
+        """Write once, by bucket unless a path is given, and learn the buckets on the way."""
+        seen = Observation()
+        observed = df.observe(seen, F.collect_set(BUCKET).alias("buckets"), mark.cast("string").alias("mark"))
+        if path:
+            observed.write.parquet(path)
+        else:
+            observed.write.mode("append").partitionBy(BUCKET).parquet(f"{self.path}/data/{commit}")
+        return seen.get
 
 
 def _as_time(text: str) -> tuple[str, str]:

@@ -1,3 +1,3 @@
-from .upsert import refresh_history, stream_upsert
+from .upsert import merge_batch, refresh_history, stream_upsert
 
-__all__ = ["refresh_history", "stream_upsert"]
+__all__ = ["merge_batch", "refresh_history", "stream_upsert"]

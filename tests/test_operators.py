@@ -12,6 +12,7 @@ from tenurelog.operators import (
     date_spine,
     interval_snapshot,
     page,
+    page_after,
     run_checks,
     spine_bounds,
     status_counts,
@@ -82,10 +83,12 @@ def test_snapshot_never_multiplies_intervals_by_days(spark):
 
 def test_spine(spark):
     assert spine_bounds(None, HI) is None and spine_bounds(HI, LO) is None
-    assert spine_bounds(date(2000, 1, 1), HI)[1] == date(2004, 2, 8)
+    assert spine_bounds(date(2000, 1, 1), HI, 1500)[1] == date(2004, 2, 8)
+    assert spine_bounds(date(2000, 1, 1), HI)[1] == HI
     assert date_spine(spark, LO, HI).count() == 18
     assert date_spine(spark, HI, LO).count() == 0
-    assert date_spine(spark, date(2000, 1, 1), HI).count() == 1500
+    assert date_spine(spark, date(2000, 1, 1), HI, 1500).count() == 1500
+    assert date_spine(spark, date(2000, 1, 1), HI).count() == (HI - date(2000, 1, 1)).days + 1
 
 
 def test_updated_since(spark):
@@ -118,15 +121,41 @@ def test_page(spark):
     rows = sorted(df.collect(), key=lambda r: r.id)
     rows.sort(key=lambda r: r["at"], reverse=True)
     for offset, limit in ((0, 20), (20, 20), (75, 20), (80, 20), (94, 1), (200, 5)):
-        for deep in (100_000, 10, 3):
-            got = page(df, newest="at", key="id", offset=offset, limit=limit, deep=deep)
-            assert [r.id for r in got.data.collect()] == [r.id for r in rows[offset : offset + limit]]
-            assert (got.total, got.has_more) == (95, offset + limit < 95)
+        got = page(df, newest="at", key="id", offset=offset, limit=limit)
+        assert [r.id for r in got.data.collect()] == [r.id for r in rows[offset : offset + limit]]
+        assert (got.total, got.has_more) == (95, offset + limit < 95)
     for bad in ({"offset": -1}, {"limit": 0}, {"limit": 101}):
         with pytest.raises(ValueError):
             page(df, newest="at", key="id", **bad)
 
 
+def test_page_reads_the_days_of_the_page_only(spark, tmp_path):
+    at = F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz")
+    spark.range(2000).select("id", at.alias("at")).write.parquet(str(tmp_path / "p"))
+    got = page(spark.read.parquet(str(tmp_path / "p")), newest="at", key="id", offset=1000, limit=10)
+    assert [r.id for r in got.data.collect()] == list(range(999, 989, -1))
+    pushed = got.data._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
+    assert "GreaterThanOrEqual(at" in pushed and "LessThan(at" in pushed
+
+
+def test_pages_one_after_another(spark):
+    df = spark.range(57).select("id", F.when(F.col("id") % 9 != 0, F.timestamp_seconds(F.col("id") % 5).cast("timestamp_ntz")).alias("at"))
+    want = [r.id for r in page(df, newest="at", key="id", limit=57).data.collect()]
+    got, after = [], None
+    while rows := page_after(df, newest="at", key="id", after=after, limit=10).collect():
+        got += [r.id for r in rows]
+        after = (rows[-1]["at"], rows[-1].id)
+    assert got == want
+
+
+def test_round_once(spark):
+    from tenurelog.functions import round_half_up
+
+    values = [0.284999999996, 0.285, -0.285, 2.5, 1234567890123456.0, 0.1 + 0.2, float("nan"), None]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(round_half_up(F.col("v"), 2)).collect()]
+    assert got[:6] == [0.28, 0.29, -0.29, 2.5, 1234567890123456.0, 0.3] and got[6] != got[6] and got[7] is None
+
+
 def test_status_counts(spark):
     df = spark.createDataFrame([("Active",), ("Terminated",), (None,)], "s string")
     assert tuple(status_counts(df, status="s").first()) == (3, 1)

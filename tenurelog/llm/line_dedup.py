@@ -1,73 +1,107 @@
-"""Removal of repeated lines across documents, by the digest of each line.
-
-A unit is a line. Units are compared after normalising: letters A-Z to lower
-case, runs of white space to one blank, none at the ends. Of the units with one
-digest the earliest stays, in the order of document id and line number; all
-others are removed. Units of fewer than ``min_words`` words are left alone: they
-repeat by chance.
+"""Removal of repeated lines and sentences across documents, by the digest of each.
+
+A unit is a line, and also each sentence of a line, that is a stretch up to and
+with the next ``.``, ``!`` or ``?``. So a passage is found where it fills lines, and
+also where it stands inside one. Units are compared after normalising: letters A-Z
+to lower case, runs of white space to one blank, none at the ends. Of the lines with
+one digest the earliest stays, in the order of document id and place, and likewise
+of the sentences; all others are removed. A line goes whole if it is repeated, or
+if none of its sentences stays. Units of fewer than ``min_words`` words are left
+alone: they repeat by chance. The earliest occurrence of a sentence never lies in a
+line that goes, as the line would have occurred before it too.
 
 Only digests are shuffled. The earliest occurrence per digest is a minimum with
 partial minima before the shuffle, so a line that stands in a third of all
 documents is one row per task there. The occurrences that go are found by a join
 with the digests that occur more than once, in which adaptive execution splits a
-frequent digest; then the line numbers meet the documents once.
+frequent digest; then their places meet the documents once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from functools import partial
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
-from .workspace import ID, TEXT, digest, texts
+from .workspace import ID, TEXT, texts
 
 MIN_WORDS = 8
+SENTENCE = re.compile(r"[^.!?]+[.!?]*|[.!?]+")
 _LOWER = bytes(tk.LOWER.tolist())
 
 
+def units_of(text: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
+    """Start, end and normalised form of each unit that is long enough."""
+    at = 0
+    for line in text.split("\n"):
+        words = line.encode().translate(_LOWER).split()
+        if len(words) >= min_words:
+            yield at, at + len(line), b"L " + b" ".join(words)
+            for m in SENTENCE.finditer(line):
+                words = m[0].encode().translate(_LOWER).split()
+                if len(words) >= min_words:
+                    yield at + m.start(), at + m.end(), b"S " + b" ".join(words)
+        at += len(line) + 1
+
+
+def without(text: str, spans: Iterable[tuple[int, int]]) -> tuple[str, list[dict]]:
+    """The text without the spans, and the spans that lie in no other, in order."""
+    outer: list[dict] = []
+    for start, end in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if not outer or end > outer[-1]["end"]:
+            outer.append({"start": start, "end": end})
+    kept, at, number = [], 0, 0
+    for line in text.split("\n"):
+        left, done = "", at
+        hit = False
+        while number < len(outer) and outer[number]["start"] <= at + len(line):
+            left += text[done : outer[number]["start"]]
+            done, hit, number = outer[number]["end"], True, number + 1
+        left += text[done : at + len(line)]
+        if left or not hit:
+            kept.append(left)
+        at += len(line) + 1
+    return "\n".join(kept), outer
+
+
 def _units(min_words: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in tk.slices(batches, TEXT):
-        row, line, start, end, name = [], [], [], [], []
+        row, start, end, name = [], [], [], []
         for i, text in enumerate(batch.column(TEXT).to_pylist()):
-            at = 0
-            for number, unit in enumerate(text.split("\n") if text else ()):
-                words = unit.encode().translate(_LOWER).split()
-                if len(words) >= min_words:
-                    row.append(i)
-                    line.append(number)
-                    start.append(at)
-                    end.append(at + len(unit))
-                    name.append(hashlib.md5(b" ".join(words)).digest())
-                at += len(unit) + 1
+            for a, b, plain in units_of(text, min_words) if text else ():
+                row.append(i)
+                start.append(a)
+                end.append(b)
+                name.append(hashlib.md5(plain).digest())
         same = batch.take(pa.array(row, pa.int64()))
-        ints = [pa.array(x, pa.int32()) for x in (line, start, end)]
+        halves = np.frombuffer(b"".join(name), np.int64).reshape(-1, 2)
+        places = [pa.array(x, pa.int32()) for x in (start, end)]
         yield pa.RecordBatch.from_arrays(
-            [same.column(ID), same.column("node"), *ints, pa.array(name, pa.binary())], [ID, "node", "line", "start", "end", "digest"]
+            [same.column(ID), same.column("twin"), *places, pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+            [ID, "twin", "start", "end", "d1", "d2"],
         )
 
 
-def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
-    """The texts without the lines of the given numbers."""
-
-    def cut(t, lines):
-        drop = set(lines)
-        return "\n".join(x for i, x in enumerate(t.split("\n")) if i not in drop)
-
-    return pd.Series([None if t is None else cut(t, g) for t, g in zip(text, gone)], dtype=object)
+def _cut(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+    done = [(None, None) if t is None else without(t, zip(a, b)) for t, a, b in zip(text, starts, ends)]
+    return pd.DataFrame({"text": [t for t, _ in done], "removed": [r for _, r in done]}, dtype=object)
 
 
 def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per document: all columns of ``docs``, the text without its repeated lines, and more.
+    """One row per document: all columns of ``docs``, the text without its repeated units, and more.
 
-    ``_n_lines``, ``_n_removed`` and ``_removed``: the removed lines as spans
+    ``_n_lines``, ``_n_removed`` and ``_removed``: the removed units as spans
     ``[start, end)`` in characters of the original text, in order, without the
-    line end. Kept lines are joined by line feeds.
+    line end; of a removed line only its own span. Kept lines are joined by line
+    feeds.
 
     A NULL text stays NULL and has no lines; an empty text has one empty line.
     Within one document a later repeat goes too. NULL ids count as smallest.
@@ -75,33 +109,30 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Other columns are returned as they are, whatever their names; an empty table
     gives an empty result.
     """
-    base = texts(docs, id_col, text_col).withColumn("node", digest())
+    # id and a hash of the text name a document, so that rows with one id and different texts stay apart
+    base = texts(docs, id_col, text_col).withColumn("twin", F.xxhash64(TEXT))
     kind = base.schema[ID].dataType.simpleString()
-    units = base.mapInArrow(
-        partial(_units, min_words), f"{ID} {kind}, node binary, line int, start int, end int, digest binary"
-    )
-    place = F.struct(ID, "node", "line")
-    first = units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
+    units = base.mapInArrow(partial(_units, min_words), f"{ID} {kind}, twin bigint, start int, end int, d1 bigint, d2 bigint")
+    place = F.struct(ID, "twin", "start")
+    first = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = (
-        units.join(first.select("digest", "first"), "digest")
+        units.join(first.drop("n"), ["d1", "d2"])
         .where(place != F.col("first"))
-        .groupBy(F.col("node").alias("_gone_node"), F.col(ID).alias("_gone_id"))
-        .agg(F.sort_array(F.collect_set(F.struct("line", "start", "end"))).alias("_gone"))
+        .groupBy(F.col("twin").alias("_gone_twin"), F.col(ID).alias("_gone_id"))
+        .agg(F.collect_set(F.struct("start", "end")).alias("_gone"))
     )
     # The columns travel as one struct, so none of their names can clash.
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumns(
         {ID: F.col(f"_row.`{id_col}`"), TEXT: F.col(f"_row.`{text_col}`").cast("string")}
     )
-    same = (F.col("_node") == F.col("_gone_node")) & F.col(ID).eqNullSafe(F.col("_gone_id"))
-    joined = whole.withColumn("_node", digest()).join(gone, same, "left")
+    same = (F.xxhash64(TEXT) == F.col("_gone_twin")) & F.col(ID).eqNullSafe(F.col("_gone_id"))
     hit, text = F.col("_gone").isNotNull(), F.col(TEXT)
-    without = F.pandas_udf(_without, "string")
+    cut = F.pandas_udf(_cut, "text string, removed array<struct<start:int,end:int>>")
+    joined = whole.join(gone, same, "left").withColumn("_cut", cut(F.when(hit, text), F.col("_gone.start"), F.col("_gone.end")))
     lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
-    spans = F.transform("_gone", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
-    cleaned = F.when(hit, without(F.when(hit, text), F.col("_gone.line"))).otherwise(text)
     return joined.select(
-        *[cleaned.alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns],
+        *[F.when(hit, F.col("_cut.text")).otherwise(text).alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(lines).alias("_n_lines"),
-        F.when(hit, F.size("_gone")).otherwise(0).alias("_n_removed"),
-        F.when(hit, spans).otherwise(F.array().cast("array<struct<start:int,end:int>>")).alias("_removed"),
+        F.when(hit, F.size("_cut.removed")).otherwise(0).alias("_n_removed"),
+        F.when(hit, F.col("_cut.removed")).otherwise(F.array().cast("array<struct<start:int,end:int>>")).alias("_removed"),
     )

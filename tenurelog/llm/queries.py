@@ -202,24 +202,38 @@ FROM named LEFT JOIN ruled USING (page_id) LEFT JOIN posterior USING (name)
 _OP1 = _OP1.replace("{s0}", _STRENGTH.format(m="m0", units="suffix0"))
 _OP1 = _OP1.replace("{s1}", _STRENGTH.format(m="m1", units="domain0")).replace("{s2}", _STRENGTH.format(m="m2", units="host0"))
 
-# For the removed spans of a line, its start is the length of all lines before it, with their line feeds.
+# A line starts behind all lines before it and their line feeds, a sentence behind those before it in its line.
 _OP10 = r"""
-WITH unit AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS unit, generate_subscripts(string_split(text, chr(10)), 1) AS line
+WITH line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS unit, generate_subscripts(string_split(text, chr(10)), 1) AS line
   FROM documents WHERE text IS NOT NULL
 ), plain AS (
   SELECT *, trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\x0B\f\r]+', ' ', 'g')) AS plain,
     coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM unit
+  FROM line
+), line_ranked AS (
+  SELECT *, length(plain) - length(replace(plain, ' ', '')) >= 7 AS long, row_number() OVER (PARTITION BY plain ORDER BY doc_id, line) > 1 AS again FROM plain
+), sentence AS (
+  SELECT doc_id, line, start, unit AS whole, long AND again AS line_gone, long,
+    unnest(part) AS unit, generate_subscripts(part, 1) AS s
+  FROM (SELECT *, CASE WHEN unit = '' THEN [''] ELSE regexp_extract_all(unit, '[^.!?]+[.!?]*|[.!?]+') END AS part FROM line_ranked)
+), sentence_plain AS (
+  SELECT * EXCLUDE (start), trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\x0B\f\r]+', ' ', 'g')) AS plain,
+    start, start + coalesce(sum(length(unit)) OVER (PARTITION BY doc_id, line ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins
+  FROM sentence
 ), ranked AS (
-  SELECT *, plain <> '' AND length(plain) - length(replace(plain, ' ', '')) >= 7
-    AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, line) > 1 AS gone
-  FROM plain
+  SELECT *, long AND length(plain) - length(replace(plain, ' ', '')) >= 7
+    AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, line, s) > 1 AS gone FROM sentence_plain
+), lines AS (
+  SELECT doc_id, line, any_value(line_gone) AS line_gone, any_value(start) AS start, any_value(length(whole)) AS size,
+    string_agg(unit, '' ORDER BY s) FILTER (WHERE NOT gone) AS kept, count(*) FILTER (WHERE gone) AS n_gone,
+    string_agg(begins || '-' || (begins + length(unit)), ',' ORDER BY s) FILTER (WHERE gone) AS spans
+  FROM ranked GROUP BY doc_id, line
 ), cleaned AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
-    string_agg(unit, chr(10) ORDER BY line) FILTER (WHERE NOT gone) AS text,
-    string_agg(start || '-' || (start + length(unit)), ',' ORDER BY line) FILTER (WHERE gone) AS removed
-  FROM ranked GROUP BY doc_id
+  SELECT doc_id, count(*) AS n_lines, sum(CASE WHEN line_gone THEN 1 ELSE n_gone END)::BIGINT AS n_removed,
+    string_agg(kept, chr(10) ORDER BY line) FILTER (WHERE NOT line_gone AND kept IS NOT NULL) AS text,
+    string_agg(CASE WHEN line_gone THEN start || '-' || (start + size) ELSE spans END, ',' ORDER BY line) FILTER (WHERE line_gone OR n_gone > 0) AS removed
+  FROM lines GROUP BY doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(c.text, '') END AS text,
   coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed

@@ -69,18 +69,29 @@ def benchmark_hits(text, items, window=10):
 
 
 def without_repeats(texts, min_words=8):
-    """Texts in order, each without lines that occurred before, and the removed spans."""
-    seen, out = set(), []
+    """Texts in order, each without lines and sentences that occurred before, and the removed spans."""
+    lines, sentences, out = set(), set(), []
     for text in texts:
         kept, spans, at = [], [], 0
         for line in (text or "").split("\n"):
-            plain = tuple(low(line).split())
-            if len(plain) >= min_words and plain in seen:
+            whole, left = tuple(low(line).split()), ""
+            gone = len(whole) >= min_words and whole in lines
+            if len(whole) >= min_words:
+                lines.add(whole)
+            if gone:
                 spans.append((at, at + len(line)))
-            else:
-                kept.append(line)
+            start = at
+            for part in re.findall(r"[^.!?]+[.!?]*|[.!?]+", line):
+                plain = tuple(low(part).split())
+                again = len(plain) >= min_words and plain in sentences
                 if len(plain) >= min_words:
-                    seen.add(plain)
+                    sentences.add(plain)
+                if again and not gone:
+                    spans.append((start, start + len(part)))
+                left += "" if again else part
+                start += len(part)
+            if not gone and (left or not line):
+                kept.append(left)
             at += len(line) + 1
         out.append((None if text is None else "\n".join(kept), spans))
     return out

@@ -149,6 +149,12 @@ def test_repeated_lines_edges(spark, odd, empty):
     got = {(r["doc_id"], r["text"], r["_n_removed"]) for r in remove_repeated_lines(frame).collect()}
     # NULL counts as smallest, so that document keeps the line
     assert got == {(1, "x", 2), (2, "", 1), (None, line, 0), (3, None, 0), (3, "", 0), (4, "", 5000)}
+    passage = "here stand some words that are the same. and these words too stand in both of them!"
+    inside = [(1, f"first text {passage} goes on here"), (2, f"{passage}\nnext"), (3, f"more words before it. {passage} Rest of the third.")]
+    found = remove_repeated_lines(spark.createDataFrame(inside, "doc_id long, text string")).collect()
+    want = without_repeats(t for _, t in inside)
+    assert {r["doc_id"]: (r["text"], [(s["start"], s["end"]) for s in r["_removed"]]) for r in found} == dict(zip((1, 2, 3), want))
+    assert want[2][0] == "more words before it. Rest of the third."
     assert remove_repeated_lines(odd).count() == len(ODD_TEXTS)
     assert remove_repeated_lines(empty).count() == 0
     assert remove_repeated_lines(odd).columns[: len(odd.columns)] == odd.columns

@@ -10,13 +10,21 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
+_own: dict[str, str] = {}
+
+
+def scratch_when_unset(folder: str) -> None:
+    """The folder for sessions without ``spark.checkpoint.dir``; for one machine only."""
+    _own["folder"] = folder
+
+
 def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
     It lies under the session's ``spark.checkpoint.dir``, which must be set: a
     machine-local folder would lose data with its executor.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own.get("folder")
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/tenurelog/{name}-{uuid.uuid4().hex}"

@@ -6,6 +6,21 @@ import re
 import zlib
 from itertools import combinations
 
+ODD_TEXTS = [
+    (9001, None),
+    (9002, ""),
+    (9003, " \n\t "),
+    (9004, "!!! ??"),
+    (9005, "one"),
+    (9006, "ünï cödé 漢字 😀 <|endoftext|> it's 1234 a  b\r\n\r\nx" * 3),
+    (9007, "same words again and again " * 20_000),
+    (9008, "a very plain text of exactly these few words"),
+    (9008, "a very plain text of exactly these few words"),
+    (9009, "a very plain text of exactly these few words"),
+    (None, "a very plain text of exactly these few words"),
+    (9010, "x" * 70_000),
+]
+
 LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 VISIBLE = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -95,3 +110,7 @@ def without_repeats(texts, min_words=8):
             at += len(line) + 1
         out.append((None if text is None else "\n".join(kept), spans))
     return out
+
+
+def rows_of(df, key="doc_id"):
+    return {r[key]: r for r in df.collect()}

@@ -3,26 +3,11 @@ from __future__ import annotations
 import os
 
 import pytest
+from brute import ODD_TEXTS
 from pyspark.sql import functions as F
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
-ODD_TEXTS = [
-    (9001, None),
-    (9002, ""),
-    (9003, " \n\t "),
-    (9004, "!!! ??"),
-    (9005, "one"),
-    (9006, "ünï cödé 漢字 😀 <|endoftext|> it's 1234 a  b\r\n\r\nx" * 3),
-    (9007, "same words again and again " * 20_000),
-    (9008, "a very plain text of exactly these few words"),
-    (9008, "a very plain text of exactly these few words"),
-    (9009, "a very plain text of exactly these few words"),
-    (None, "a very plain text of exactly these few words"),
-    (9010, "x" * 70_000),
-]
-
-
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF
@@ -44,7 +29,3 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def empty(odd):
     return odd.limit(0)
-
-
-def rows_of(df, key="doc_id"):
-    return {r[key]: r for r in df.collect()}

@@ -9,8 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from brute import fold, near_classes
-from conftest import ODD_TEXTS, rows_of
+from brute import ODD_TEXTS, benchmark_hits, fold, near_classes, rows_of, without_repeats
 from pyspark.sql import functions as F
 
 from tenurelog.llm import imatch, language, quality, queries
@@ -289,7 +288,8 @@ def test_fingerprint_edges(odd, empty):
 
 
 def test_pipeline_stages_take_effect(spark, sf_dir, tmp_path):
-    pipeline = pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as pipeline
+
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     assert [name for name, _ in pipeline.STAGES] == ["quality", "near_dedup", "line_dedup", "decontaminate", "encode"]
@@ -306,8 +306,6 @@ def test_pipeline_stages_take_effect(spark, sf_dir, tmp_path):
     assert set(first) == {i for i, p in scores.items() if p}
     classes = near_classes({i: r["text"] for i, r in first.items()})
     assert set(near) == set(classes.values())
-    from brute import benchmark_hits, without_repeats
-
     want = without_repeats(near[i]["text"] for i in sorted(near))
     assert {i: r["text"] for i, r in lines.items()} == {i: t for i, (t, _) in zip(sorted(near), want)}
     assert all(r["n_chars"] == len(r["text"]) for r in lines.values())
@@ -318,7 +316,8 @@ def test_pipeline_stages_take_effect(spark, sf_dir, tmp_path):
 
 
 def test_pipeline_edges(spark, odd, empty, sf_dir):
-    pipeline = pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as pipeline
+
     for name, stage in pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
         rows = stage(spark, odd, sf_dir).collect()

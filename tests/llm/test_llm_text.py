@@ -9,8 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from brute import benchmark_hits, fold, lm_tokens, without_repeats
-from conftest import ODD_TEXTS
+from brute import ODD_TEXTS, benchmark_hits, fold, lm_tokens, without_repeats
 from pyspark.sql import functions as F
 
 from tenurelog.llm import queries

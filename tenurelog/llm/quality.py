@@ -33,6 +33,8 @@ from .workspace import ID, TEXT, kept_schema, restored, texts
 SAMPLE = 2000
 BUCKET_BITS = 15
 SIZE, ONES, REACH = 64, 6, 2
+PART_BYTES = 1 << 20
+STRETCH = 1 << 15  # tokens whose vectors are laid out at once
 HIDDEN, EPOCHS, BATCH, RATE = 24, 60, 64, 0.01
 
 U64 = np.uint64
@@ -66,17 +68,28 @@ def _bucket(token: np.ndarray) -> np.ndarray:
     return (tk.mix(token + U64(11)) >> U64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def word_vectors(token: np.ndarray, text: np.ndarray) -> np.ndarray:
+Part = tuple[np.ndarray, np.ndarray, int]  # token, text number, number of texts
+
+
+def token_parts(texts_: list[str]) -> Iterator[Part]:
+    """The tokens of a list of texts, a few MB at a time, so that what is made of them stays small."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts_, pa.string())], [TEXT])
+    for part in tk.slices([batch], TEXT, PART_BYTES):
+        yield (*tokens_of(*tk.bytes_of(part.column(0))), part.num_rows)
+
+
+def word_vectors(parts: Iterable[Part]) -> np.ndarray:
     """Unit word vectors of all buckets from the tokens of a corpus."""
-    row = _bucket(token)
     flat = np.zeros((1 << BUCKET_BITS) * SIZE)
-    for one in range(ONES):
-        draw = tk.mix(token ^ U64(0x9E3779B97F4A7C15 * (one + 1) & 0xFFFFFFFFFFFFFFFF))
-        place, sign = (draw >> U64(8)).astype(np.int64) % SIZE, 1.0 - 2.0 * (draw & U64(1)).astype(float)
-        for step in range(1, REACH + 1):
-            same = text[step:] == text[:-step]
-            for word, near in ((slice(step, None), slice(None, -step)), (slice(None, -step), slice(step, None))):
-                flat += np.bincount(row[word][same] * SIZE + place[near][same], sign[near][same], minlength=len(flat))
+    for token, text, _ in parts:
+        row = _bucket(token)
+        for one in range(ONES):
+            draw = tk.mix(token ^ U64(0x9E3779B97F4A7C15 * (one + 1) & 0xFFFFFFFFFFFFFFFF))
+            place, sign = (draw >> U64(8)).astype(np.int64) % SIZE, 1.0 - 2.0 * (draw & U64(1)).astype(float)
+            for step in range(1, REACH + 1):
+                same = text[step:] == text[:-step]
+                for word, near in ((slice(step, None), slice(None, -step)), (slice(None, -step), slice(step, None))):
+                    flat += np.bincount(row[word][same] * SIZE + place[near][same], sign[near][same], minlength=len(flat))
     table = flat.reshape(-1, SIZE)
     long = np.linalg.norm(table, axis=1, keepdims=True)
     return (table / np.maximum(long, 1e-9)).astype(np.float32)
@@ -89,11 +102,12 @@ def pooled(vectors: np.ndarray, token: np.ndarray, text: np.ndarray, count: int)
     pair = np.unique(text * len(vectors) + row)
     for at, (rows, home) in enumerate(((row, text), (pair % len(vectors), pair // len(vectors)))):
         number = np.bincount(home, minlength=count)
-        begin = np.concatenate([[0], np.cumsum(number)])[:-1]
-        has = number > 0
-        if has.any():
-            sums = np.add.reduceat(vectors[rows], begin[has], axis=0)
-            out[has, at * SIZE : (at + 1) * SIZE] = sums / number[has, None]
+        sums = np.zeros((count, SIZE))
+        for first in range(0, len(rows), STRETCH):
+            near, own = rows[first : first + STRETCH], home[first : first + STRETCH]
+            begin = np.flatnonzero(np.diff(own, prepend=-1))
+            sums[own[begin]] += np.add.reduceat(vectors[near], begin, axis=0)
+        out[:, at * SIZE : (at + 1) * SIZE] = sums / np.maximum(number, 1)[:, None]
     out[:, -1] = np.log1p(np.bincount(text, minlength=count)) / 8
     return out
 
@@ -160,12 +174,11 @@ class QualityNet:
 
 def train(sample: list[tuple[str, int]]) -> QualityNet:
     """A network from (text, label) pairs; without both labels it says their share everywhere."""
-    data, offsets = tk.bytes_of(pa.array([t for t, _ in sample], pa.string()))
-    token, text = tokens_of(data, offsets)
-    net = QualityNet(word_vectors(token, text))
+    texts_ = [t for t, _ in sample]
+    net = QualityNet(word_vectors(token_parts(texts_)))
     y = np.array([q for _, q in sample], float)
     if len(set(y.tolist())) == 2:
-        net.fit(pooled(net.vectors, token, text, len(sample)), y)
+        net.fit(np.concatenate([pooled(net.vectors, *part) for part in token_parts(texts_)]), y)
     else:
         for name in ("out", "in"):
             net.w[name][:] = 0

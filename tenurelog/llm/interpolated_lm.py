@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
-from .workspace import ID, TEXT, Workspace, ship
+from .workspace import ID, TEXT, Workspace, ship, small_batches
 
 BLOCK = 6 << 20
 SHARD_BYTES = 16 << 20  # text per shard
@@ -50,14 +50,23 @@ START, END = U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)  # marks, not hash
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    first = TaskContext.get().partitionId() << 32
-    for number, batch in enumerate(tk.slices(batches, TEXT, BLOCK)):
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    part, held, size = TaskContext.get().partitionId() << 32, [], 0
+    for batch in tk.slices(batches, TEXT, BLOCK // 8):
+        held.append(batch)
+        size += batch.column(TEXT).nbytes
+        if size >= BLOCK:
+            yield _packed(part, held)
+            part, held, size = part + 1, [], 0
+    if held:
+        yield _packed(part, held)
+
+
+def _packed(part: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        for batch in batches:
             out.write_batch(batch)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([first + number]), pa.array([sink.getvalue().to_pybytes()], pa.large_binary()).cast(pa.binary())], ["part", "block"]
-        )
+    return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["part", "block"])
 
 
 def _open(block: bytes) -> pa.RecordBatch:
@@ -293,6 +302,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     """
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     work = Workspace(spark, "lm")
     base = docs.select(
         F.col(f"`{id_col}`").alias(ID), F.col(f"`{text_col}`").cast("string").alias(TEXT), F.coalesce(train, F.lit(False)).alias("train")

@@ -22,12 +22,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
 from .nets import Adam, sigmoid, softmax
-from .workspace import ID, TEXT, texts
+from .workspace import ID, TEXT, sample_of_each, texts
 
 SAMPLE = 400
 WINDOWS = 20_000
@@ -241,8 +241,8 @@ def identify_language(
     known = labelled.select(
         F.col(f"`{id_col}`").alias(ID), F.col(f"`{text_col}`").cast("string").alias(TEXT), F.col(f"`{lang_col}`").cast("string").alias("_lang")
     )
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64(ID), F.xxhash64(TEXT))
-    chosen = known.where(f"_lang IS NOT NULL AND {TEXT} IS NOT NULL").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample)
+    known = known.where(f"_lang IS NOT NULL AND {TEXT} IS NOT NULL")
+    chosen = sample_of_each(known, "_lang", ID, sample)
     rows = sorted((r[0], r[1]) for r in chosen.select(TEXT, "_lang").collect())  # ``sample`` per language
     net = train(rows)
     base = texts(docs, id_col, text_col)

@@ -23,12 +23,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
 from .nets import Adam, sigmoid
-from .workspace import ID, TEXT, kept_schema, restored, texts
+from .workspace import ID, TEXT, kept_schema, restored, sample_of_each, texts
 
 SAMPLE = 2000
 BUCKET_BITS = 15
@@ -200,8 +200,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     """A classifier from ``labels`` (id and 0 or 1) and the texts of ``docs``; NULLs are left out."""
     known = labels.select(F.col(f"`{id_col}`").alias("_label_id"), F.col(f"`{label_col}`").cast("int").alias("_label"))
     known = known.where("_label_id IS NOT NULL AND _label IN (0, 1)")
-    order = Window.partitionBy("_label").orderBy(F.xxhash64("_label_id"), "_label_id")
-    chosen = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample).drop("_n")
+    chosen = sample_of_each(known, "_label", "_label_id", sample)
     # At most 2 * sample rows, so they go to the documents and not the other way round.
     base = texts(docs, id_col, text_col).where(f"{TEXT} IS NOT NULL")
     found = base.join(F.broadcast(chosen), F.col(ID) == F.col("_label_id")).groupBy("_label_id", "_label").agg(F.min(TEXT).alias(TEXT))

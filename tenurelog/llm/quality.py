@@ -2,31 +2,36 @@
 
 Random indexing: every token has a sparse random index vector that its hash
 determines, and its word vector is the sum of the index vectors of the tokens up
-to ``REACH`` places around its occurrences. Word vectors are kept for
-``2**BUCKET_BITS`` hash buckets of tokens, a fixed size. A document is the mean of the
-word vectors of all its tokens, the mean of those of its distinct tokens, and its
-length. A network with one hidden layer gives the odds, and one temperature, fitted
-on texts that the network has not seen, turns them into probabilities.
+to ``REACH`` places around its occurrences in all documents, labelled or not. Word
+vectors are kept for ``2**BUCKET_BITS`` hash buckets of tokens, a fixed size; they are
+whole numbers until they get unit length, so the order of the sums does not matter. A
+document is the mean of the word vectors of all its tokens, the mean of those of its
+distinct tokens, and its length. A network with one hidden layer gives the odds, and
+one temperature, fitted on texts that the network has not seen, turns them into
+probabilities.
 
 Tokens are words of letters and digits in lower case, runs of other visible
 characters, and marks that stand for words in capitals, for numbers and for a
 token that repeats the one before it.
 
-Vectors and network are fitted on at most ``SAMPLE`` labelled documents per label,
-those with the smallest hash of their id.
+The network is fitted on at most ``SAMPLE`` labelled documents per label, those with
+the smallest hash of their id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
+from .interpolated_lm import pack, unpack
 from .nets import Adam, sigmoid
 from .workspace import ID, TEXT, kept_schema, restored, sample_of_each, texts
 
@@ -34,6 +39,7 @@ SAMPLE = 2000
 BUCKET_BITS = 15
 SIZE, ONES, REACH = 64, 6, 2
 PART_BYTES = 1 << 20
+SUM_BLOCK = 1 << 17  # numbers of the table that travel together
 STRETCH = 1 << 15  # tokens whose vectors are laid out at once
 HIDDEN, EPOCHS, BATCH, RATE = 24, 60, 64, 0.01
 
@@ -78,19 +84,66 @@ def token_parts(texts_: list[str]) -> Iterator[Part]:
         yield (*tokens_of(*tk.bytes_of(part.column(0))), part.num_rows)
 
 
-def word_vectors(parts: Iterable[Part]) -> np.ndarray:
-    """Unit word vectors of all buckets from the tokens of a corpus."""
-    flat = np.zeros((1 << BUCKET_BITS) * SIZE)
-    for token, text, _ in parts:
-        row = _bucket(token)
+def add_neighbours(total: np.ndarray, token: np.ndarray, text: np.ndarray) -> None:
+    """Add the index vectors around each token to the sums of its bucket; ``total`` has all buckets end to end."""
+    for first in range(0, len(token), STRETCH):
+        here, home = token[first : first + STRETCH + REACH], text[first : first + STRETCH + REACH]
+        row, pairs = _bucket(here) * SIZE, []
+        for step in range(1, REACH + 1):
+            left = np.flatnonzero(home[step:] == home[:-step])
+            left = left[left < STRETCH]  # later ones belong to the next stretch
+            pairs += [(row[left + step], left), (row[left], left + step)]
         for one in range(ONES):
-            draw = tk.mix(token ^ U64(0x9E3779B97F4A7C15 * (one + 1) & 0xFFFFFFFFFFFFFFFF))
-            place, sign = (draw >> U64(8)).astype(np.int64) % SIZE, 1.0 - 2.0 * (draw & U64(1)).astype(float)
-            for step in range(1, REACH + 1):
-                same = text[step:] == text[:-step]
-                for word, near in ((slice(step, None), slice(None, -step)), (slice(None, -step), slice(step, None))):
-                    flat += np.bincount(row[word][same] * SIZE + place[near][same], sign[near][same], minlength=len(flat))
-    table = flat.reshape(-1, SIZE)
+            draw = tk.mix(here ^ U64(0x9E3779B97F4A7C15 * (one + 1) & 0xFFFFFFFFFFFFFFFF))
+            place, sign = (draw >> U64(8)).astype(np.int64) % SIZE, 1 - 2 * (draw & U64(1)).astype(np.int64)
+            for word, near in pairs:
+                np.add.at(total, word + place[near], sign[near])
+
+
+def _sums_of_partition(fan_in: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SIZE << BUCKET_BITS, np.int64)
+    for batch in tk.slices(batches, TEXT, PART_BYTES):
+        add_neighbours(total, *tokens_of(*tk.bytes_of(batch.column(TEXT))))
+    group = TaskContext.get().partitionId() // fan_in
+    for block in range(0, len(total), SUM_BLOCK):
+        part = total[block : block + SUM_BLOCK]
+        if part.any():
+            columns = [pa.array([block // SUM_BLOCK]), pa.array([group]), pa.array([_packed(part)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "part", "sums"])
+
+
+def _packed(sums: np.ndarray) -> bytes:
+    return pack((sums << 1) ^ (sums >> 63))  # the sign as the last bit, so that high bytes are 0
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    folded = unpack(packed, SUM_BLOCK, np.int64)
+    return (folded >> 1) ^ -(folded & 1)
+
+
+def _sum_blocks(key: tuple, table: pa.Table) -> pa.Table:
+    total = np.zeros(SUM_BLOCK, np.int64)
+    for packed in table.column("sums"):
+        total += _unpacked(packed.as_py())
+    columns = {"block": pa.array([key[0].as_py()], pa.int64()), "part": pa.array([0], pa.int64())}
+    return pa.table({**columns, "sums": pa.array([_packed(total)], pa.binary())})
+
+
+def word_vectors(base: DataFrame) -> np.ndarray:
+    """Unit word vectors of all buckets from all texts of a corpus.
+
+    Partial sums are added in two steps of the square root of the number of
+    partitions; the result has a fixed size.
+    """
+    schema = "block bigint, part bigint, sums binary"
+    fan_in = ceil(sqrt(base.rdd.getNumPartitions() or 1))
+    sums = base.select(TEXT).mapInArrow(partial(_sums_of_partition, fan_in), schema)
+    for keys in (("block", "part"), ("block",)):
+        sums = sums.groupBy(*keys).applyInArrow(_sum_blocks, schema)
+    flat = np.zeros(SIZE << BUCKET_BITS, np.int64)
+    for row in sums.select("block", "sums").collect():  # a constant number of constant size
+        flat[row[0] * SUM_BLOCK : (row[0] + 1) * SUM_BLOCK] = _unpacked(bytes(row[1]))
+    table = flat.reshape(-1, SIZE).astype(float)
     long = np.linalg.norm(table, axis=1, keepdims=True)
     return (table / np.maximum(long, 1e-9)).astype(np.float32)
 
@@ -172,10 +225,10 @@ class QualityNet:
         return min(np.geomspace(0.25, 8, 141), key=loss)
 
 
-def train(sample: list[tuple[str, int]]) -> QualityNet:
-    """A network from (text, label) pairs; without both labels it says their share everywhere."""
+def train(vectors: np.ndarray, sample: list[tuple[str, int]]) -> QualityNet:
+    """A network from word vectors and (text, label) pairs; without both labels it says their share everywhere."""
     texts_ = [t for t, _ in sample]
-    net = QualityNet(word_vectors(token_parts(texts_)))
+    net = QualityNet(vectors)
     y = np.array([q for _, q in sample], float)
     if len(set(y.tolist())) == 2:
         net.fit(np.concatenate([pooled(net.vectors, *part) for part in token_parts(texts_)]), y)
@@ -197,14 +250,17 @@ def _score(net_of, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> QualityNet:
-    """A classifier from ``labels`` (id and 0 or 1) and the texts of ``docs``; NULLs are left out."""
+    """A classifier from ``labels`` (id and 0 or 1) and the texts of ``docs``; NULLs are left out.
+
+    The word vectors are those of all ``docs``; of the labelled ones at most ``sample`` per label train the network.
+    """
     known = labels.select(F.col(f"`{id_col}`").alias("_label_id"), F.col(f"`{label_col}`").cast("int").alias("_label"))
     known = known.where("_label_id IS NOT NULL AND _label IN (0, 1)")
     chosen = sample_of_each(known, "_label", "_label_id", sample)
     # At most 2 * sample rows, so they go to the documents and not the other way round.
     base = texts(docs, id_col, text_col).where(f"{TEXT} IS NOT NULL")
     found = base.join(F.broadcast(chosen), F.col(ID) == F.col("_label_id")).groupBy("_label_id", "_label").agg(F.min(TEXT).alias(TEXT))
-    return train(sorted((r[0], r[1]) for r in found.select(TEXT, "_label").collect()))
+    return train(word_vectors(base), sorted((r[0], r[1]) for r in found.select(TEXT, "_label").collect()))
 
 
 def score_quality(docs: DataFrame, net: QualityNet, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:

@@ -13,6 +13,7 @@ from brute import ODD_TEXTS, benchmark_hits, fold, near_classes, rows_of, withou
 from pyspark.sql import functions as F
 
 from tenurelog.llm import imatch, language, quality, queries
+from tenurelog.llm import tokens as tk
 from tenurelog.llm import weighted_minhash as wm
 from tenurelog.llm.byte_shards import byte_shards
 from tenurelog.llm.components import components
@@ -202,6 +203,28 @@ def test_quality_edges(spark, docs, odd, empty):
     assert all(r["score"] == 0.5 for r in quality.score_quality(odd, blank).collect())
 
 
+def test_word_vectors_of_all_texts(spark):
+    """Words of unlabelled texts have vectors too, the same however the rows are dealt out."""
+    rows = [(0, "good plain words"), (1, "bad plain words")] + [(10 + i, f"rare{i} plain unseen{i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    nets = [quality.fit_quality(docs.repartition(n), labels) for n in (1, 9)]
+    assert np.array_equal(nets[0].vectors, nets[1].vectors)
+    token, text = quality.tokens_of(*tk.bytes_of(pa.array([t for _, t in rows])))
+    assert np.linalg.norm(nets[0].vectors[quality._bucket(token)], axis=1).min() > 0.99
+    near = np.zeros(quality.SIZE << quality.BUCKET_BITS, np.int64)
+    quality.add_neighbours(near, token, text)
+    want = near.reshape(-1, quality.SIZE)
+    assert nets[0].vectors == pytest.approx(want / np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9), abs=1e-6)
+    # one text longer than a stretch: a word's sum has every neighbour within reach
+    token = np.random.default_rng(1).integers(0, 1 << 62, quality.STRETCH + 9).astype(np.uint64)
+    total = np.zeros_like(near)
+    quality.add_neighbours(total, token, np.zeros(len(token), np.int64))
+    signs = sum((1 - 2 * (tk.mix(token ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) & (1 << 64) - 1)) & np.uint64(1)).astype(int)) for k in range(quality.ONES))
+    ends = np.array([2, 3, *[4] * (len(token) - 4), 3, 2])
+    assert total.sum() == (signs * ends).sum()
+
+
 def test_temperature_improves_calibration():
     rng = np.random.default_rng(2)
     odds = rng.normal(0, 2, 4000)

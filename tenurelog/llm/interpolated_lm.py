@@ -2,8 +2,8 @@
 
 ``P(w | v) = l2 c(vw) / c(v) + l1 c(w) / N + l0 / (V + 1)``; the three weights
 depend on the bucket ``1 + floor(log2 c(v))`` of the context (0 if it is unseen, then l2
-is 0) and are learned by expectation-maximisation on held-out counts: those of
-training documents with the document itself deleted from all counts. The context
+is 0) and are learned by expectation-maximisation on held-out counts: those of all
+training documents, each with the document itself deleted from all counts. The context
 of a first word is a mark that is counted once per training document.
 
 How the counts meet the texts. Documents are packed into blocks of a few MB, which
@@ -36,7 +36,6 @@ from .workspace import ID, TEXT, Workspace, ship, small_batches
 BLOCK = 6 << 20
 SHARD_BYTES = 16 << 20  # text per shard
 PAIR_BITS = 52
-TUNED = 10  # one block in so many serves to learn the weights
 BUCKETS = 48
 GRID = 4  # steps per octave in the held-out counts
 ZERO = 255  # a probability of 0 in them
@@ -317,11 +316,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     tokens, distinct, ends = int(tokens or 0), int(distinct or 0), int(ends or 0)
     answers = answers.where("part >= 0")
 
-    # One block in TUNED, at least one, the same whatever the order of the input files.
-    parts = blocks.select("part")
-    some = parts.orderBy(F.xxhash64("part")).limit(-(-parts.count() // TUNED))
-    chosen, replies = (t.join(some, "part", "left_semi").groupBy("part") for t in (blocks, answers))
-    cells = chosen.cogroup(replies).applyInArrow(partial(_held_out, tokens, ends), "cell bigint, n bigint")
+    cells = blocks.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(partial(_held_out, tokens, ends), "cell bigint, n bigint")
     # At most BUCKETS * 256 * 256 cells, however large the corpus.
     weights = learn_weights({r[0]: r[1] for r in cells.groupBy("cell").agg(F.sum("n")).collect()}, distinct)
 

@@ -185,6 +185,14 @@ def test_language_model_counts_and_base(docs):
     assert sum(g["score"] for g, _ in held) / tokens > sum(w[3] for _, w in held) / tokens
 
 
+def test_language_model_weights_come_from_all_blocks(spark):
+    """The same scores from one block and from many with different texts."""
+    rows = [(i, f"one two three four w{i % 7}" if i < 60 else " ".join(f"x{i * j % 91}" for j in range(1, 30))) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = ({r["doc_id"]: r["score"] for r in score_texts(d, F.lit(True)).collect()} for d in (frame.coalesce(1), frame.repartitionByRange(12, "doc_id")))
+    assert many == pytest.approx(one, rel=1e-9)
+
+
 def test_language_model_is_a_distribution(spark):
     """The probabilities of all continuations of a context sum to one, the unseen word included."""
     train = [(i, t) for i, t in enumerate(["a b a b", "a c", "b a", "c c c"] * 3)]

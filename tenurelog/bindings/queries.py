@@ -13,6 +13,7 @@ from ..operators import (
     change_over_previous,
     date_spine,
     duplicate_values,
+    export_pages,
     flatten,
     incremental_upsert,
     interval_snapshot,
@@ -285,6 +286,13 @@ def page_seek(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as pages of 1,000, newest first: row number and page of each."""
+    orders = r.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    order = [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc_nulls_last()]
+    return export_pages(orders, order, scratch_dir(spark, "export"), 1000)
+
+
 def changed_or_created(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records without an update time count by their creation time; with neither they are left out."""
     events = r.table(spark, sf_dir, "events").select(
@@ -595,6 +603,7 @@ QUERIES: dict[str, Query] = {
     "page_deep": page_deep,
     "page_meta": page_meta,
     "page_seek": page_seek,
+    "export_pages": all_pages,
     "changed_or_created": changed_or_created,
     "flatten_lenient": flatten_lenient,
     "active_count": active_count,

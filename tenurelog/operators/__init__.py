@@ -3,6 +3,7 @@ from .change import change_over_previous
 from .flatten import flatten
 from .history import scd2_from_changes
 from .latest import latest_by_key
+from .numbering import export_pages, number_rows
 from .quality import (
     Check,
     DataTestFailure,
@@ -23,11 +24,13 @@ __all__ = [
     "change_over_previous",
     "date_spine",
     "duplicate_values",
+    "export_pages",
     "flatten",
     "incremental_upsert",
     "interval_snapshot",
     "latest_by_key",
     "newer_than",
+    "number_rows",
     "page",
     "page_after",
     "require_clean",

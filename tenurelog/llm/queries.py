@@ -12,6 +12,7 @@ from .imatch import edited_fingerprints
 from .interpolated_lm import score_texts
 from .language import identify_language
 from .line_dedup import remove_repeated_lines
+from .merkle import fold_proof, leaf_digest, merkle_proofs, proof_text
 from .quality import fit_quality, score_quality
 from .url_reputation import judge_urls, url_path
 from .weighted_minhash import near_duplicates
@@ -131,6 +132,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The columns that make a document's leaf, in this order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tampered text loses its line feeds; its leaf, with the siblings of the true one, no longer folds to the root."""
+    docs = table(spark, sf_dir, "documents")
+    bare = F.when(F.col("text").contains("\n"), F.replace("text", F.lit("\n"), F.lit("")))
+    tampered = F.when((fold("doc_id", 2) == 0) & bare.isNotNull(), leaf_digest(*[F.col(c) for c in LEAF[:-1]], bare))
+    found = merkle_proofs(docs.withColumn("tampered", tampered), LEAF, "source", "doc_id", keep=["doc_id", "tampered"])
+    folded = found.withColumn("folded_root", fold_proof(F.coalesce("tampered", "leaf"), "proof"))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(proof_text("proof"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -144,6 +167,7 @@ QUERIES = {
         op8_byte_shards,
         op9_imatch,
         op10_line_dedup,
+        op12_merkle_manifest,
     )
 }
 
@@ -266,4 +290,57 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLE = {"op1_url_reputation": _OP1, "op7_decontaminate": _OP7, "op10_line_dedup": _OP10}
+# The checksum CRC-32 of a number's digits, bit by bit: -1 stands for a shift by one bit.
+_CRC = """xor(list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda d: [ord(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END, 4294967295::BIGINT), 4294967295)"""
+
+# Level 0 are the leaves; a source that is down to one node stops, and so does the tree over the sources.
+_OP12 = r"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rank,
+    (octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id) || coalesce(octet_length(encode(source)) || ':' || source, '-')
+      || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM documents
+), hashed AS (
+  SELECT *, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(octet_length(encode(shown)) || ':' || shown, '-')) AS tampered
+  FROM (SELECT *, CASE WHEN {crc} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS shown FROM leaf)
+), node(level, source, rank, h, n) AS (
+  SELECT 0, source, rank, leaf, count(*) OVER (PARTITION BY source) FROM hashed
+  UNION ALL
+  SELECT any_value(level) + 1, source, rank // 3, sha256(string_agg(h, '' ORDER BY rank)), any_value((n + 2) // 3)
+  FROM node WHERE n > 1 GROUP BY source, rank // 3
+), head AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM node WHERE n = 1
+), over_node(level, rank, h, n) AS (
+  SELECT 0, rank, subroot, n FROM head
+  UNION ALL
+  SELECT any_value(level) + 1, rank // 3, sha256(string_agg(h, '' ORDER BY rank)), any_value((n + 2) // 3) FROM over_node WHERE n > 1 GROUP BY rank // 3
+), step AS (
+  SELECT doc_id, level, string_agg(s.h, '' ORDER BY s.rank) FILTER (WHERE s.rank < spot) AS before, string_agg(s.h, '' ORDER BY s.rank) FILTER (WHERE s.rank > spot) AS after
+  FROM (SELECT doc_id, l.source, level, l.rank // (3 ** level)::BIGINT AS spot FROM hashed l JOIN (SELECT DISTINCT source, level FROM node WHERE n > 1) v ON l.source IS NOT DISTINCT FROM v.source)
+    p JOIN node s USING (level) WHERE s.source IS NOT DISTINCT FROM p.source AND s.rank // 3 = spot // 3 GROUP BY doc_id, level
+), over_step AS (
+  SELECT source, 100 + level AS level, string_agg(s.h, '' ORDER BY s.rank) FILTER (WHERE s.rank < spot) AS before, string_agg(s.h, '' ORDER BY s.rank) FILTER (WHERE s.rank > spot) AS after
+  FROM (SELECT source, level, rank // (3 ** level)::BIGINT AS spot FROM head, (SELECT DISTINCT level FROM over_node WHERE n > 1))
+    p JOIN over_node s USING (level) WHERE s.rank // 3 = spot // 3 GROUP BY source, level
+), proof AS (
+  SELECT doc_id, list({before: coalesce(before, ''), after: coalesce(after, '')} ORDER BY level) AS steps FROM (
+    SELECT * FROM step UNION ALL SELECT doc_id, level, before, after FROM over_step o JOIN hashed l ON l.source IS NOT DISTINCT FROM o.source
+  ) GROUP BY doc_id
+), folded(doc_id, spot, h) AS (
+  SELECT doc_id, 1, tampered FROM hashed
+  UNION ALL
+  SELECT doc_id, spot + 1, sha256(steps[spot].before || h || steps[spot].after) FROM folded JOIN proof USING (doc_id) WHERE spot <= len(steps)
+), done AS (
+  SELECT doc_id, max_by(h, spot) AS folded_root FROM folded GROUP BY doc_id
+)
+SELECT l.doc_id, l.leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(steps, lambda s: s.before || s.after), ''), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM hashed l JOIN head ON l.source IS NOT DISTINCT FROM head.source JOIN done USING (doc_id) LEFT JOIN proof USING (doc_id),
+  (SELECT h AS root FROM over_node WHERE n = 1)
+"""
+
+_OP12 = _OP12.replace("{crc}", _CRC)
+
+ORACLE = {"op1_url_reputation": _OP1, "op7_decontaminate": _OP7, "op10_line_dedup": _OP10, "op12_merkle_manifest": _OP12}

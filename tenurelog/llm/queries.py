@@ -16,6 +16,7 @@ from .merkle import fold_proof, leaf_digest, merkle_proofs, proof_text
 from .quality import fit_quality, score_quality
 from .url_reputation import judge_urls, url_path
 from .weighted_minhash import near_duplicates
+from .whitening import fit_whitening, whiten
 
 # The rules of the URL query.
 RULES = (
@@ -154,6 +155,20 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    model = fit_whitening(rows)
+    return whiten(rows, model).select(
+        "vec_id",
+        "component",
+        F.lit(model.n if model else None).cast("long").alias("n"),
+        F.col("deviation").cast("long").alias("deviation"),
+        "whitened",
+        "explained",
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -168,6 +183,7 @@ QUERIES = {
         op9_imatch,
         op10_line_dedup,
         op12_merkle_manifest,
+        op13_refined_whitening,
     )
 }
 

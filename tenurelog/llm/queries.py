@@ -13,6 +13,7 @@ from .interpolated_lm import score_texts
 from .language import identify_language
 from .line_dedup import remove_repeated_lines
 from .merkle import fold_proof, leaf_digest, merkle_proofs, proof_text
+from .packing import pack, token_pieces
 from .quality import fit_quality, score_quality
 from .url_reputation import judge_urls, url_path
 from .weighted_minhash import near_duplicates
@@ -133,6 +134,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+END_ID = 2  # fixed value: what ends a document in a packed sequence
+
+
+def op11_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    slim = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(slim).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 # The columns that make a document's leaf, in this order.
 LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
 
@@ -182,6 +195,7 @@ QUERIES = {
         op8_byte_shards,
         op9_imatch,
         op10_line_dedup,
+        op11_bin_completion,
         op12_merkle_manifest,
         op13_refined_whitening,
     )

@@ -35,7 +35,7 @@ from .bpe_words import encoder_of, require_byte_level
 from .workspace import TEXT, Workspace, kept_schema, restored, ship, small_batches, texts
 
 CAPACITY = 1024
-NODES = 20_000
+NODES = 3_000
 WIDEST = 64  # undominated fillings that one node remembers to compare the next ones with
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), longest first

@@ -3,11 +3,10 @@
 Landing: ``{landing}/{entity}/load_date=YYYY-MM-DD/*.json`` in one of two
 layouts:
 
-* ``array``: one array of records (or one record) per file, whatever its indent
-  and line ends. A file indented by two blanks, as a plain JSON dump writes it, has
-  a fixed text between records; there it is split and read in parallel, and a bad
-  record costs only itself. If a piece of a file does not parse, that file is
-  parsed whole, by one task; only if that fails too are its bad pieces set aside.
+* ``array``: one array of records (or one record) per file, whatever its indent and
+  line ends. It is cut between records by the depth of its brackets, all parts of
+  a file in parallel, see :mod:`.arrays`; a bad record costs only itself. An array
+  written on one line is one text.
 * ``lines``: one record, or one array of records, per line. What :func:`land`
   writes.
 
@@ -15,27 +14,32 @@ A text counts as parsed only if all of it was consumed, and only objects are
 records. Everything else is set aside, so nothing is lost without a trace.
 
 RAW: ``raw_data VARIANT, _loaded_at, _file_name, _source`` plus ``_load_day``,
-the date of ``_loaded_at``, as partition column.
+the date of ``_loaded_at``, as partition column. Each load writes a folder of its
+own, records and what is set aside in one job and the manifest beside them, and
+becomes visible with one entry in the entity's log. A job that dies before that
+leaves an unused folder, so loading again gives each record once.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..session import path_exists, side_by_side
-from .table import read_if_exists
+from .arrays import pieces, read_lines, with_places
+from .table import CommitLog
 
 RAW_SCHEMA = "raw_data variant, _loaded_at timestamp_ntz, _file_name string, _source string, _load_day date"
 BAD_SCHEMA = "value string, _loaded_at timestamp_ntz, _file_name string, _source string, _load_day date"
 SEEN_SCHEMA = "path string, length long, modificationTime timestamp, _loaded_at timestamp_ntz, load_date date"
+STORED_SCHEMA = "raw_data variant, value string, _loaded_at timestamp_ntz, _file_name string, _source string, _commit string, _kind string, _load_day date"
 LAYOUTS = ("array", "lines")
-BETWEEN = "\n  },\n"  # fixed value: what stands between the records of a dump indented by two
 
 
 @dataclass(frozen=True)
@@ -67,64 +71,43 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> Dat
 
 def read_records(spark: SparkSession, paths: list[str], layout: str = "array") -> DataFrame:
     """One row per record: raw_data (NULL if it is none), value (the text if so), _file_name."""
+    return records_of(read_lines(spark, paths), layout)
+
+
+def records_of(lines: DataFrame, layout: str = "array") -> DataFrame:
+    """The records of lines read by :func:`.arrays.with_places`."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if layout == "lines":
-        return _records(_texts(spark, paths), F.col("value"), nested=True)
-    pieces = _records(_texts(spark, paths, lineSep=BETWEEN), _piece("value"), nested=False)
-    # One row per file that has a bad piece; the paths are among those given.
-    suspect = [r[0] for r in pieces.where("raw_data IS NULL").select("_path").distinct().collect()]
-    if not suspect:
-        return pieces.drop("_path")
-    clean = pieces.where(~F.col("_path").isin(suspect))
-    files = _records(_texts(spark, suspect, wholetext=True), F.col("value"), nested=True)
-    broken = [r[0] for r in files.where("raw_data IS NULL").select("_path").distinct().collect()]
-    whole = files.where(~F.col("_path").isin(broken))
-    return clean.unionByName(whole).unionByName(pieces.where(F.col("_path").isin(broken))).drop("_path")
-
-
-def _texts(spark: SparkSession, paths: list[str], **options) -> DataFrame:
-    text = spark.read.text(paths, **options).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("value"),
-        F.col("_metadata.file_name").alias("_file_name"),
-        F.col("_metadata.file_path").alias("_path"),
-    )
-    return text.where(~F.col("value").rlike(r"^\s*$"))
+        return _records(lines.withColumn("whole", F.lit(True)))
+    return _records(pieces(lines))
 
 
-def _records(text: DataFrame, body: Column, nested: bool) -> DataFrame:
-    """The elements of ``[body]``; with ``nested`` those of arrays among them instead of the arrays.
+def _records(text: DataFrame) -> DataFrame:
+    """The elements of ``[value]``; where ``whole``, those of arrays among them instead of the arrays.
 
     The parser takes the first value of a text and leaves the rest unread. Here a
     member behind the records, under a name that no text can know, shows that the
     parser came through.
     """
     end = f"end{uuid.uuid4().hex}"
-    parsed = F.try_parse_json(F.concat(F.lit('{"r":['), body, F.lit(f'],"{end}":1}}')))
+    parsed = F.try_parse_json(F.concat(F.lit('{"r":['), "value", F.lit(f'],"{end}":1}}')))
     elements = F.when(F.try_variant_get(parsed, f"$.{end}", "int") == 1, F.try_variant_get(parsed, "$.r", "array<variant>"))
-    if nested:
-        inner = F.transform(elements, lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x)))
-        elements = F.flatten(inner)
+    inner = F.transform(elements, lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x)))
+    elements = F.when(F.col("whole"), F.flatten(inner)).otherwise(elements)
 
     def record(x: Column) -> Column:
         is_object = F.schema_of_variant(x).startswith("OBJECT")
         return F.struct(F.when(is_object, x).alias("raw_data"), F.when(~is_object, F.to_json(x)).alias("value"))
 
-    whole = F.array(F.struct(F.lit(None).cast("variant").alias("raw_data"), F.col("value").alias("value")))
-    return text.select(F.inline(F.coalesce(F.transform(elements, record), whole)), "_file_name", "_path")
+    set_aside = F.array(F.struct(F.lit(None).cast("variant").alias("raw_data"), F.col("value").alias("value")))
+    return text.select(F.inline(F.coalesce(F.transform(elements, record), set_aside)), "_file_name")
 
 
-def _piece(name: str) -> Column:
-    """The records of a piece of an array without the brackets around all of them.
-
-    The separator takes the closing brace of the record before it along; that is
-    put back unless the piece ends the file.
-    """
-    body = F.regexp_replace(F.col(name), r"^\s*\[", "")
-    opens, closes = F.col(name).rlike(r"^\s*\["), F.col(name).rlike(r"\]\s*$")
-    one = F.col(name).rlike(r"^\s*\{") & F.col(name).rlike(r"\}\s*$")
-    ended = F.when(closes, F.regexp_replace(body, r"\]\s*$", "")).when(one & ~opens, body)
-    return F.coalesce(ended, F.concat(body, F.lit("\n  }")))
+def _plain_path(file_path: Column) -> Column:
+    """A file's location in Spark's metadata, which is URL-encoded, as a listing gives it."""
+    plain = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
 
 
 class RawStore:
@@ -133,15 +116,38 @@ class RawStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _log(self, entity: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/raw/{entity}/log")
+
+    def _stored(self, entity: str) -> DataFrame | None:
+        last = self._log(entity).last()
+        if last is None:
+            return None
+        data = f"{self.root}/raw/{entity}/data"
+        if not last["commits"]:
+            return self.spark.createDataFrame([], STORED_SCHEMA)
+        # The folders of the loads in the log; one that did not come so far is not among them.
+        return self.spark.read.schema(STORED_SCHEMA).option("basePath", data).parquet(*[f"{data}/_commit={c}" for c in last["commits"]])
+
     def read(self, entity: str) -> DataFrame | None:
         """All records ever loaded for the entity, or None if no load was ever tried."""
-        return read_if_exists(self.spark, f"{self.root}/raw/{entity}", RAW_SCHEMA)
+        stored = self._stored(entity)
+        return None if stored is None else stored.where("_kind = 'good'").select(*_names(RAW_SCHEMA))
 
     def quarantine(self, entity: str) -> DataFrame | None:
-        return read_if_exists(self.spark, f"{self.root}/quarantine/{entity}", BAD_SCHEMA)
+        """The texts set aside, or None if there never were any."""
+        last = self._log(entity).last()
+        if last is None or not last["bad"]:
+            return None
+        return self._stored(entity).where("_kind = 'bad'").select(*_names(BAD_SCHEMA))
 
     def manifest(self, entity: str) -> DataFrame | None:
-        return read_if_exists(self.spark, f"{self.root}/manifest/{entity}", SEEN_SCHEMA)
+        """The files loaded, or None if there never were any."""
+        last = self._log(entity).last()
+        if last is None or not last["commits"]:
+            return None
+        folders = [f"{self.root}/raw/{entity}/manifest/{c}" for c in last["commits"]]
+        return self.spark.read.schema(SEEN_SCHEMA).parquet(*folders)
 
     def load(
         self,
@@ -155,53 +161,67 @@ class RawStore:
         """Append the records of files not loaded before.
 
         A file counts as loaded if its path, length and change time are in the
-        manifest; a rewritten file is loaded again. The manifest is written
-        last: a job that dies before loads the files again, and keeping the
-        latest record per key absorbs the repeats. Without files the RAW table
-        is only created, with no rows.
+        manifest; a rewritten file is loaded again. Records, manifest and texts set
+        aside become visible at once. Without files the RAW table is only created,
+        with no rows. Of two loads of an entity at the same time the later one fails.
         """
-        spark = self.spark
-        if not path_exists(spark, f"{self.root}/raw/{entity}"):
-            self._append(spark.createDataFrame([], RAW_SCHEMA), "raw", entity)
-        files = list_files(spark, f"{landing}/{entity}/load_date={load_date}", pattern)
+        log = self._log(entity)
+        if log.last() is None:
+            log.append({"commits": [], "batches": {}, "bad": False}, None)
+        files = list_files(self.spark, f"{landing}/{entity}/load_date={load_date}", pattern)
         if files is None:
             return LoadResult(entity, 0, 0, 0)
-        now = F.lit(loaded_at).cast("timestamp_ntz")
-        if loaded_at is None:
-            # one time for the whole load, not one per query
-            now = F.lit(str(spark.sql("SELECT cast(current_timestamp() AS timestamp_ntz)").first()[0])).cast("timestamp_ntz")
-        seen = self.manifest(entity)
-        if seen is not None:
-            seen = seen.where(F.col("load_date") == F.lit(load_date).cast("date"))
-            files = files.join(seen, ["path", "length", "modificationTime"], "left_anti")
+        files = self._unseen(entity, files, load_date)
         new = files.collect()  # the file index of a read lies on the driver anyway
         if not new:
             return LoadResult(entity, 0, 0, 0)
+        records = read_records(self.spark, [r["path"] for r in new], layout)
+        files = self.spark.createDataFrame(new, "path string, length long, modificationTime timestamp")
+        good, bad = self._commit(entity, records, files, load_date, loaded_at)
+        return LoadResult(entity, len(new), good, bad)
 
-        def lineage(df: DataFrame, payload: str) -> DataFrame:
-            return df.select(
-                payload,
-                now.alias("_loaded_at"),
-                "_file_name",
-                F.lit(entity).alias("_source"),
-                now.cast("date").alias("_load_day"),
-            )
-
-        records = read_records(spark, [r["path"] for r in new], layout)
-        good, bad = F.col("raw_data").isNotNull(), F.col("raw_data").isNull()
-        counts = Observation()
-        observed = records.observe(
-            counts, F.count_if(good).alias("good"), F.count_if(bad).alias("bad")
-        )
-        self._append(lineage(observed.where(good), "raw_data"), "raw", entity)
-        seen_counts = counts.get
-        if seen_counts["bad"]:
-            self._append(lineage(records.where(bad), "value"), "quarantine", entity)
-        manifest = spark.createDataFrame(new, "path string, length long, modificationTime timestamp").select(
-            "*", now.alias("_loaded_at"), F.lit(load_date).cast("date").alias("load_date")
-        )
-        manifest.write.mode("append").partitionBy("load_date").parquet(f"{self.root}/manifest/{entity}")
-        return LoadResult(entity, len(new), seen_counts["good"], seen_counts["bad"])
+    def _unseen(self, entity: str, files: DataFrame, load_date: str | None) -> DataFrame:
+        seen = self.manifest(entity)
+        if seen is None:
+            return files
+        if load_date is not None:
+            seen = seen.where(F.col("load_date") == F.lit(load_date).cast("date"))
+        return files.join(seen.select("path", "length", "modificationTime"), ["path", "length", "modificationTime"], "left_anti")
+
+    def _commit(
+        self, entity: str, records: DataFrame, files: DataFrame, load_date: str | Column, loaded_at: str | None, writer: str | None = None, batch_id: int | None = None
+    ) -> tuple[int, int]:
+        """Write one load and enter it in the log; each record is parsed once."""
+        log = self._log(entity)
+        last = log.last()
+        now = F.lit(loaded_at).cast("timestamp_ntz")
+        if loaded_at is None:
+            # one time for the whole load, not one per query
+            now = F.lit(str(self.spark.sql("SELECT cast(current_timestamp() AS timestamp_ntz)").first()[0])).cast("timestamp_ntz")
+        good = F.col("raw_data").isNotNull()
+        seen = Observation()
+        stored = records.select(
+            "raw_data",
+            "value",
+            now.alias("_loaded_at"),
+            "_file_name",
+            F.lit(entity).alias("_source"),
+            F.when(good, "good").otherwise("bad").alias("_kind"),
+            now.cast("date").alias("_load_day"),
+        ).observe(seen, F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+        commit = f"c-{uuid.uuid4().hex}"
+        folder = f"{self.root}/raw/{entity}"
+        stored.write.partitionBy("_kind", "_load_day").parquet(f"{folder}/data/_commit={commit}")
+        day = F.lit(load_date).cast("date") if isinstance(load_date, str) else load_date
+        files.select("path", "length", "modificationTime", now.alias("_loaded_at"), day.alias("load_date")).write.parquet(f"{folder}/manifest/{commit}")
+        counts = seen.get
+        entry = {k: last[k] for k in ("commits", "batches", "bad")} if last else {"commits": [], "batches": {}, "bad": False}
+        entry["commits"] = [*entry["commits"], commit]
+        entry["bad"] = entry["bad"] or counts["bad"] > 0
+        if writer is not None:
+            entry["batches"] = {**entry["batches"], writer: batch_id}
+        log.append(entry, last)
+        return counts["good"], counts["bad"]
 
     def load_all(
         self,
@@ -215,5 +235,46 @@ class RawStore:
         steps = {e: partial(self.load, landing, e, load_date, loaded_at, layout) for e in entities}
         return list(side_by_side(self.spark, steps).values())
 
-    def _append(self, df: DataFrame, kind: str, entity: str) -> None:
-        df.write.mode("append").partitionBy("_load_day").parquet(f"{self.root}/{kind}/{entity}")
+    def stream(
+        self,
+        landing: str,
+        entity: str,
+        checkpoint: str,
+        layout: str = "array",
+        pattern: str = "*.json",
+        files_per_batch: int | None = None,
+        loaded_at: Callable[[int], str] | None = None,
+    ) -> StreamingQuery:
+        """Load all files that have arrived under any load date, as a stream, and stop.
+
+        The next run with the same checkpoint goes on from there. A batch's records,
+        manifest and number become visible with one log entry, so a batch that is
+        replayed after a failure is recognised. Files in the manifest, also those
+        that :meth:`load` took, are left out. The stream looks at a path once: a file rewritten
+        later is for :meth:`load`. ``loaded_at`` gives the load time for a batch number.
+        """
+        where = f"{landing}/{entity}"
+        reader = self.spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+        if files_per_batch is not None:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        meta = [F.col("_metadata.file_size").alias("_size"), F.col("_metadata.file_modification_time").alias("_changed")]
+        lines = reader.schema("value string").text(where).select("value", "_metadata", *meta)
+        writer = f"stream:{checkpoint.rstrip('/')}"
+
+        def take(batch: DataFrame, batch_id: int) -> None:
+            last = self._log(entity).last()
+            if last is not None and last["batches"].get(writer, -1) >= batch_id:
+                return
+            placed = with_places(batch).select("*")
+            sized = batch.select(_plain_path(F.col("_metadata.file_path")).alias("path"), "_size", "_changed")
+            files = sized.select("path", F.col("_size").alias("length"), F.col("_changed").alias("modificationTime")).distinct()
+            new = self._unseen(entity, files, None)
+            taken = placed.join(F.broadcast(new.select("path")), _plain_path(F.col("_path")) == F.col("path"), "left_semi")
+            day = F.regexp_extract("path", r"/load_date=([0-9-]+)/", 1)
+            self._commit(entity, records_of(taken, layout), new, F.try_to_date(day), loaded_at(batch_id) if loaded_at else None, writer, batch_id)
+
+        return lines.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _names(schema: str) -> list[str]:
+    return [f.strip().split(" ")[0] for f in schema.split(",")]

@@ -18,6 +18,7 @@ import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from ..session import create_file, drop_path, file_names, path_exists
 
 BUCKET = "_bucket"
 BUCKETS = 64
+SLOT = "_slot"
+SLOTS_PER_TASK = 8  # so many that hardly a task has none
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame | None:
@@ -176,7 +179,7 @@ class KeyedTable:
             old = [b for b in touched if b in state.folders]
             if old:
                 rows = self._as(self._read(state, old), schema).withColumn(BUCKET, self._bucket(buckets))
-                kept = self._kept(rows, gone, buckets, unique=keys is None)
+                kept = self._kept(rows, gone, buckets, unique=keys is None, touched=len(old))
                 kept_in = set(self._write(kept, commit, F.lit(None))["buckets"])
             if staged_keys:
                 drop_path(self.spark, staged_keys)
@@ -199,18 +202,54 @@ class KeyedTable:
         self.log.append(entry, None if state is None else {"file": state.file})
         return written
 
-    def _kept(self, rows: DataFrame, gone: DataFrame, buckets: int, unique: bool) -> DataFrame:
+    def _slot(self, touched: int) -> Column:
+        """A part of a bucket, so that the rows of few buckets keep all tasks busy.
+
+        There are some slots per task, however many buckets are touched. The hash is
+        another one than the bucket's, whose rows it must divide.
+        """
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return F.pmod(F.xxhash64(F.lit(SLOT), self.key), F.lit(max(1, ceil(SLOTS_PER_TASK * tasks / touched)))).cast("int")
+
+    def rebucket(self, buckets: int) -> bool:
+        """Write the whole table anew in another number of buckets; False if it has that number or no rows were ever written.
+
+        For a table that has outgrown the number chosen at its creation. Rows,
+        columns, watermark and what streams have merged stay as they are; readers see the old
+        table until the new one is complete, and of a merge that runs meanwhile
+        and this the later one fails.
+        """
+        if buckets < 1:
+            raise ValueError("a table has at least one bucket")
+        state = self.state()
+        if state is None or state.buckets == buckets:
+            return False
+        commit = f"c-{uuid.uuid4().hex}"
+        rows = self.read(state).withColumn(BUCKET, self._bucket(buckets))
+        written = self._write(rows.hint("rebalance", BUCKET), commit, F.lit(None))["buckets"]
+        entry = {
+            "folders": {b: commit for b in written},
+            "buckets": buckets,
+            "columns": state.schema.jsonValue(),
+            "watermark": state.watermark,
+            "batches": state.batches,
+        }
+        self.log.append(entry, {"file": state.file})
+        return True
+
+    def _kept(self, rows: DataFrame, gone: DataFrame, buckets: int, unique: bool, touched: int | None = None) -> DataFrame:
         """The old rows whose key is not in ``gone``; NULL keys match nothing and need no shuffle."""
         known, unknown = rows.where(F.col(self.key).isNotNull()), rows.where(F.col(self.key).isNull())
         gone = gone.where(F.col(self.key).isNotNull())
         if not unique:
             # A key may have very many rows: a join that adaptive execution can split.
             return known.join(gone, self.key, "left_anti").hint("rebalance", BUCKET).unionByName(unknown)
-        # One exchange, by bucket, serves both the match and the write.
+        # One exchange, by bucket and slot, serves both the match and the write.
         marks = gone.withColumn(BUCKET, self._bucket(buckets))
         both = known.withColumn("_gone", F.lit(False)).unionByName(marks.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
-        hit = F.max("_gone").over(Window.partitionBy(BUCKET, self.key))
-        survivors = both.repartition(F.col(BUCKET)).withColumn("_hit", hit).where("NOT _hit").drop("_gone", "_hit")
+        both = both.withColumn(SLOT, self._slot(touched or buckets))
+        hit = F.max("_gone").over(Window.partitionBy(BUCKET, SLOT, self.key))
+        survivors = both.repartition(BUCKET, SLOT).withColumn("_hit", hit).where("NOT _hit").drop("_gone", "_hit", SLOT)
         return survivors.unionByName(unknown)
 
     @staticmethod

@@ -250,6 +250,46 @@ def test_upsert_shuffles_old_rows_once(spark, tmp_path):
     assert kept.count() == 49
 
 
+def test_few_buckets_keep_all_tasks_busy(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=2)
+    table.replace(spark.range(4000).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v")))
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows_ = table.read().withColumn("_bucket", table._bucket(2))
+        kept = table._kept(rows_, spark.createDataFrame([(3,)], "k int"), 2, unique=True, touched=2)
+        sizes = [r["count"] for r in kept.where("k IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()]
+        table.replace(spark.createDataFrame([(3, "new")], "k int, v string"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and sum(sizes) == 3999 and max(sizes) < 3 * min(sizes)
+    assert {(r.v, r["count"]) for r in table.read().groupBy("v").count().collect()} == {("a", 3999), ("new", 1)}
+
+
+def test_rebucket_changes_the_number_and_nothing_else(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=2)
+    assert not table.rebucket(5)
+    rows_ = spark.range(300).select(F.col("id").cast("int").alias("k"), F.lit("2024-01-01").alias("v"))
+    table.replace(rows_.unionByName(spark.createDataFrame([(None, "n")], "k int, v string")), watermark="v", writer="w", batch_id=3)
+    old, content = table.state(), rows(table.read().na.fill(-1))
+    assert table.rebucket(7) and not table.rebucket(7)
+    new = table.state()
+    assert (new.buckets, new.watermark, new.batches, new.schema) == (7, old.watermark, {"w": 3}, old.schema)
+    assert len(new.folders) == 7 and rows(table.read().na.fill(-1)) == content
+    table.replace(spark.createDataFrame([(5, "z")], "k int, v string"))
+    assert table.read().count() == 301 and rows(table.read().where("k = 5")) == [(5, "z")]
+    with pytest.raises(ValueError):
+        table.rebucket(0)
+    rival = keyed(spark, tmp_path)
+    state = rival.state()
+    table.rebucket(3)
+    with pytest.raises(RuntimeError, match="another writer"):
+        rival.log.append({}, {"file": state.file})
+
+
 def test_rows_of_a_key_can_go(spark, tmp_path):
     table = keyed(spark, tmp_path)
     table.replace(spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     Check,
+    as_of_join,
     change_over_previous,
     date_spine,
     duplicate_values,
@@ -33,6 +34,7 @@ from ..plans.models import ENTITIES
 from ..session import scratch_dir, side_by_side
 from ..sources import KeyedTable, RawStore, RebuiltTable, land
 from ..streaming import refresh_history, stream_upsert
+from ..streaming.upsert import merge_batch
 from . import records as r
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +204,34 @@ def comp_current_worker_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.fct_compensation(pay, dim_worker(spark, sf_dir), max_rows=HOT)
 
 
+def _as_of(pay: DataFrame, changes: DataFrame, **options) -> DataFrame:
+    """Each payment, moved to a day in January 2024, with the change that was valid then."""
+    day = F.date_add(F.lit("2023-12-28").cast("date"), (F.substring_index("compensation_id", "-", -1).cast("long") % 45).cast("int"))
+    return as_of_join(
+        pay.select("compensation_id", "worker_id", day.alias("paid_on")),
+        _history(changes),
+        key="worker_id",
+        at="paid_on",
+        start="effective_from",
+        end="effective_to",
+        carry=["change_id", "change_type", "effective_from"],
+        **options,
+    )
+
+
+def as_of_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_of(r.compensation(spark, sf_dir), r.job_changes(spark, sf_dir))
+
+
+def as_of_worker_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pay, changes = (t.withColumn("worker_id", crowd()) for t in (r.compensation(spark, sf_dir), r.job_changes(spark, sf_dir)))
+    return _as_of(pay, changes, max_rows=HOT)
+
+
+def as_of_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_of(r.compensation(spark, sf_dir), r.job_changes(spark, sf_dir), inner=True)
+
+
 def turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.fct_turnover(dim_worker(spark, sf_dir), r.AS_OF, disjoint=True)
 
@@ -328,6 +358,17 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def upsert_rebucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with two buckets, rewritten into nine between the runs."""
+    target = KeyedTable(spark, scratch_dir(spark, "rebucket"), "change_id", buckets=2)
+    raw = r.raw_job_changes(spark, sf_dir)
+    first = raw.where(F.col("_loaded_at") <= F.lit(r.FIRST_LOAD).cast("timestamp_ntz"))
+    incremental_upsert(target, first, refined.stg_job_changes)
+    target.rebucket(9)
+    incremental_upsert(target, raw, refined.stg_job_changes)
+    return target.read()
+
+
 def schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second run drops one column, adds another and touches half of the keys."""
     target = KeyedTable(spark, scratch_dir(spark, "schema"), "o_orderkey", buckets=8)
@@ -417,20 +458,29 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.withColumn("status", F.lit("loaded")).unionByName(bad.withColumn("status", F.lit("quarantined")))
 
 
-def _dump(records: DataFrame, folder: str, files: int, indent: int, crlf: bool = False) -> None:
-    """Records as the source dumps them: one indented array per file."""
+PER_FILE = 2000
+
+
+def _dump(records: DataFrame, key: str, folder: str, indent: int, *, nested: str | None = None, crlf: bool = False, cut: bool = False) -> None:
+    """Records as the source dumps them: one indented array per ``PER_FILE`` of them, each in the order of ``key``.
+
+    A record ends with an object or an array if ``nested`` says so. ``cut`` takes the
+    end off each file, in the middle of its last record.
+    """
     text = F.to_json(F.struct(*records.columns))
-    pad, inner = " " * indent, " " * (2 * indent)
-    body = F.concat(F.lit(f"{pad}{{\n{inner}\"record\": "), text, F.lit(f",\n{inner}\"kind\": \"x\"\n{pad}}}"))
-    rows = records.select(body.alias("one"), F.pmod(F.xxhash64(text), F.lit(files)).alias("file"))
-    whole = F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("one")), F.lit("\n]"))
+    pad, inner, deep = (" " * (indent * n) for n in (1, 2, 3))
+    last = {None: '"kind": "x"', "object": f'"kind": {{\n{deep}"name": "x] }} [{{"\n{inner}}}', "array": f'"kind": [\n{deep}"x",\n{deep}"y}}"\n{inner}]'}[nested]
+    body = F.concat(F.lit(f"{pad}{{\n{inner}\"record\": "), text, F.lit(f",\n{inner}{last}\n{pad}}}"))
+    rows = records.select(F.struct(F.col(key), body.alias("one")).alias("row"), F.expr(f"{key} div {PER_FILE}").alias("file"))
+    ones = F.transform(F.array_sort(F.collect_list("row")), lambda x: x["one"])
+    whole = F.concat(F.lit("[\n"), F.concat_ws(",\n", ones), F.lit("\n]"))
     dumped = rows.groupBy("file").agg(whole.alias("value")).select("value")
+    if cut:
+        dumped = dumped.select(F.expr("left(value, length(value) - 12)").alias("value"))
     if crlf:
         dumped = dumped.select(F.regexp_replace("value", "\n", "\r\n").alias("value"))
     # one row per file, so that each part is one array
-    dumped.repartition(files, F.xxhash64("value")).write.option("lineSep", " ").option("compression", "none").option(
-        "maxRecordsPerFile", 1
-    ).mode("append").text(folder)
+    dumped.write.option("lineSep", " ").option("compression", "none").option("maxRecordsPerFile", 1).mode("append").text(folder)
 
 
 def raw_ingest_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,12 +489,83 @@ def raw_ingest_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, folder = RawStore(spark, f"{root}/warehouse"), f"{root}/landing/job_changes/load_date=2024-02-01"
     events = r.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
     for number, (indent, crlf) in enumerate(((2, False), (4, False), (2, True))):
-        _dump(events.where(F.col("event_id") % 3 == number), folder, 3, indent, crlf)
+        _dump(events.where(F.col("event_id") % 3 == number), "event_id", folder, indent, crlf=crlf)
     store.load(f"{root}/landing", "job_changes", "2024-02-01", r.SECOND_LOAD, pattern="*.txt")
     fields = [("record.event_id", "long", "event_id"), ("record.user_id", "long", "user_id"), ("record.event_type", "string", "event_type"), ("record.props", "string", "props"), ("kind", "string", "kind")]
     return flatten(store.read("job_changes"), fields, keep=["_loaded_at", F.col("_file_name").endswith(".txt").alias("from_file")])
 
 
+def ingest_array_any_indent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of every indent whose records end in an object or an array, in a folder with a blank; some files cut off."""
+    root = scratch_dir(spark, "any indent")
+    store, folder = RawStore(spark, f"{root}/warehouse"), f"{root}/two landings/job_changes/load_date=2024-02-01"
+    events = r.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    kinds = [(0, "object"), (1, "array"), (2, "object"), (2, "array"), (4, "object")]
+    for number, (indent, nested) in enumerate(kinds):
+        _dump(events.where(F.col("event_id") % 6 == number), "event_id", folder, indent, nested=nested, crlf=number == 3)
+    _dump(events.where(F.col("event_id") % 6 == 5), "event_id", folder, 2, nested="array", cut=True)
+    done = store.load(f"{root}/two landings", "job_changes", "2024-02-01", r.SECOND_LOAD, pattern="*.txt")
+    good = flatten(store.read("job_changes"), [("record.event_id", "long", "event_id"), ("record.props", "string", "props")])
+    bad = store.quarantine("job_changes").select(F.regexp_extract("value", r'"event_id":(\d+)', 1).cast("long").alias("event_id"), F.lit(None).cast("string").alias("props"))
+    both = good.withColumn("status", F.lit("loaded")).unionByName(bad.withColumn("status", F.lit("quarantined")))
+    return both.withColumn("n", F.lit(done.records + done.bad_records).cast("long"))
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops loaded as a stream, the stream started anew before the last; one file was loaded before by hand."""
+    root = scratch_dir(spark, "stream-in")
+    store, landing = RawStore(spark, f"{root}/warehouse"), f"{root}/landing"
+    events = r.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    for number, day in enumerate(("2024-02-01", "2024-02-02", "2024-02-03")):
+        drop = events.where(F.col("event_id") % 3 == number)
+        _dump(drop, "event_id", f"{landing}/job_changes/load_date={day}", number, nested="array")
+        if number == 0:
+            store.load(landing, "job_changes", day, r.FIRST_LOAD, pattern="*.txt")
+        else:  # the second run finds one new drop, and the first drop too, which is in the manifest
+            at = f"2024-02-0{number + 1} 06:00:00"
+            store.stream(landing, "job_changes", f"{root}/checkpoint", pattern="*.txt", files_per_batch=1000, loaded_at=lambda batch, at=at: at).awaitTermination()
+    return flatten(store.read("job_changes"), [("record.event_id", "long", "event_id"), ("record.event_type", "string", "event_type")], keep=["_loaded_at"])
+
+
+class _DyingStore(RawStore):
+    """A store whose job dies when all is written and nothing is entered in the log."""
+
+    def _log(self, entity: str):
+        log = super()._log(entity)
+
+        def die(*_) -> None:
+            raise InterruptedError(entity)
+
+        log.append = die
+        return log
+
+
+def ingest_crash_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that dies behind its last file and is tried again: each record once."""
+    root = scratch_dir(spark, "crash")
+    store, dying = RawStore(spark, f"{root}/warehouse"), _DyingStore(spark, f"{root}/warehouse")
+    changes = r.change_records(spark, sf_dir)
+    store.load(f"{root}/landing", "job_changes", "2024-02-01", "2024-02-01 05:00:00", "lines")
+    land(changes.where("change_type = 'New Hire'"), f"{root}/landing", "job_changes", "2024-02-01")
+    for _ in range(2):
+        try:
+            dying.load(f"{root}/landing", "job_changes", "2024-02-01", "2024-02-01 06:00:00", "lines")
+        except InterruptedError:
+            pass
+    store.load(f"{root}/landing", "job_changes", "2024-02-01", "2024-02-01 07:00:00", "lines")
+    store.load(f"{root}/landing", "job_changes", "2024-02-01", "2024-02-01 08:00:00", "lines")
+    return flatten(store.read("job_changes"), [("change_id", "string", "change_id")], keep=["_loaded_at"])
+
+
+def land_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date landed again replaces that date only."""
+    folder = scratch_dir(spark, "landing")
+    events = r.table(spark, sf_dir, "events").select("event_id", "event_type")
+    for day, kept in (("2024-02-01", "event_id % 2 = 0"), ("2024-02-02", "event_id % 2 = 1"), ("2024-02-02", "event_id % 4 = 1")):
+        land(events.where(kept), folder, "events", day)
+    return spark.read.schema("event_id long, event_type string, load_date date").json(f"{folder}/events")
+
+
 def ingest_trailing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a second record behind the first, text behind it, or no object are set aside whole."""
     root = scratch_dir(spark, "trailing")
@@ -553,6 +674,21 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that is replayed after another writer's merge, with old contents, changes nothing."""
+    target = KeyedTable(spark, scratch_dir(spark, "replay"), "user_id", buckets=8)
+    events = r.table(spark, sf_dir, "events")
+
+    def build(batch: DataFrame) -> DataFrame:
+        return latest_by_key(batch, ["user_id"], ["ts", "event_id"])
+
+    early, late = events.where(F.dayofmonth("ts") <= 15), events
+    merge_batch(early, 0, target, build, "one")
+    merge_batch(late, 0, target, build, "two")
+    merge_batch(early, 0, target, build, "one")
+    return target.read()
+
+
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events arrive in four drops and are merged as a stream."""
     root = scratch_dir(spark, "stream")
@@ -593,6 +729,9 @@ QUERIES: dict[str, Query] = {
     "pct_change_zero": pct_change_zero,
     "comp_current_worker": comp_current_worker,
     "comp_current_worker_hot": comp_current_worker_hot,
+    "as_of_worker": as_of_worker,
+    "as_of_worker_hot": as_of_worker_hot,
+    "as_of_inner": as_of_inner,
     "turnover": turnover,
     "dq_unique": dq_unique,
     "dq_not_null": dq_not_null,
@@ -608,15 +747,21 @@ QUERIES: dict[str, Query] = {
     "flatten_lenient": flatten_lenient,
     "active_count": active_count,
     "incremental_upsert": upsert,
+    "upsert_rebucketed": upsert_rebucketed,
     "schema_sync": schema_sync,
     "schema_sync_retype": schema_sync_retype,
     "raw_ingest": raw_ingest,
     "ingest_manifest": ingest_manifest,
     "ingest_quarantine": ingest_quarantine,
     "raw_ingest_array": raw_ingest_array,
+    "ingest_array_any_indent": ingest_array_any_indent,
+    "stream_ingest": stream_ingest,
+    "ingest_crash_retry": ingest_crash_retry,
+    "land_overwrite": land_overwrite,
     "ingest_trailing_text": ingest_trailing_text,
     "refresh_all": refresh_all,
     "scd2_incremental": scd2_incremental,
     "scd2_reassigned": scd2_reassigned,
     "stream_upsert": stream_latest,
+    "stream_replay": stream_replay,
 }

@@ -1,4 +1,5 @@
 from .access import Page, page, page_after, status_counts, updated_since
+from .asof import as_of_join
 from .change import change_over_previous
 from .flatten import flatten
 from .history import scd2_from_changes
@@ -21,6 +22,7 @@ __all__ = [
     "DataTestFailure",
     "KeySplit",
     "Page",
+    "as_of_join",
     "change_over_previous",
     "date_spine",
     "duplicate_values",

@@ -1,16 +1,23 @@
 """Removal of repeated lines and sentences across documents, by the digest of each.
 
-A unit is a line, and also each sentence of a line, that is a stretch up to and
-with the next ``.``, ``!`` or ``?``. So a passage is found where it fills lines, and
-also where it stands inside one. Units are compared after normalising: letters A-Z
-to lower case, runs of white space to one blank, none at the ends. Of the lines with
-one digest the earliest stays, in the order of document id and place, and likewise
-of the sentences; all others are removed. A line goes whole if it is repeated, or
-if none of its sentences stays. Units of fewer than ``min_words`` words are left
-alone: they repeat by chance. The earliest occurrence of a sentence never lies in a
-line that goes, as the line would have occurred before it too.
-
-Only digests are shuffled. The earliest occurrence per digest is a minimum with
+A unit is a sentence of a line: a stretch up to and with the next ``.``, ``!``, ``?``
+or one of ``。！？``; a line without any of them is one unit. So a passage is found
+where it fills lines, and also where it stands inside one. Units are compared after
+normalising: letters A-Z to lower case, runs of white space to one blank, none at
+the ends.
+
+* A unit of at least ``min_words`` words goes if it occurred before, in the order of
+  document id and place.
+* A shorter one may repeat by chance. It goes if it occurred before together with
+  the unit behind it, or the one before it, in its line: the digest is that of both.
+  So runs of short units go whole, and one that stands alone stays.
+* A line all of whose units go, goes whole.
+
+Every unit that goes is left standing somewhere before: the earliest occurrence of
+its digest holds it, or gave way to a still earlier one.
+
+Units are found and hashed by Spark's own functions and written once. Only digests
+and places are shuffled. The earliest occurrence per digest is a minimum with
 partial minima before the shuffle, so a line that stands in a third of all
 documents is one row per task there. The occurrences that go are found by a join
 with the digests that occur more than once, in which adaptive execution splits a
@@ -19,79 +26,79 @@ frequent digest; then their places meet the documents once.
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterable, Iterator
-from functools import partial
 
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import tokens as tk
-from .workspace import ID, TEXT, texts
+from .workspace import ID, TEXT, Workspace, digest, texts
 
 MIN_WORDS = 8
-SENTENCE = re.compile(r"[^.!?]+[.!?]*|[.!?]+")
-_LOWER = bytes(tk.LOWER.tolist())
-
-
-def units_of(text: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
-    """Start, end and normalised form of each unit that is long enough."""
-    at = 0
-    for line in text.split("\n"):
-        words = line.encode().translate(_LOWER).split()
-        if len(words) >= min_words:
-            yield at, at + len(line), b"L " + b" ".join(words)
-            for m in SENTENCE.finditer(line):
-                words = m[0].encode().translate(_LOWER).split()
-                if len(words) >= min_words:
-                    yield at + m.start(), at + m.end(), b"S " + b" ".join(words)
-        at += len(line) + 1
+# What ends a sentence, and white space inside a line.
+SENTENCE = r"[^.!?。！？]+[.!?。！？]*|[.!?。！？]+"
+BLANKS = r"[ \t\x0B\f\r]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SENTENCE = re.compile(SENTENCE)
+
+SPANS = "array<struct<start:int,end:int>>"
+
+
+def _plain(unit: Column) -> Column:
+    return F.trim(F.regexp_replace(F.translate(unit, UPPER, LOWER), BLANKS, " "))
+
+
+def _n_words(plain: Column) -> Column:
+    return F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.translate(plain, " ", "")) + 1)
+
 
+def unit_digests(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, twin, line, s, which, digest) of the units of each text, and of pairs with a short unit.
 
-def without(text: str, spans: Iterable[tuple[int, int]]) -> tuple[str, list[dict]]:
-    """The text without the spans, and the spans that lie in no other, in order."""
-    outer: list[dict] = []
-    for start, end in sorted(spans, key=lambda s: (s[0], -s[1])):
-        if not outer or end > outer[-1]["end"]:
-            outer.append({"start": start, "end": end})
-    kept, at, number = [], 0, 0
-    for line in text.split("\n"):
-        left, done = "", at
-        hit = False
-        while number < len(outer) and outer[number]["start"] <= at + len(line):
-            left += text[done : outer[number]["start"]]
-            done, hit, number = outer[number]["end"], True, number + 1
-        left += text[done : at + len(line)]
-        if left or not hit:
-            kept.append(left)
+    ``which`` says what goes when the digest occurred before: 0 the unit at ``s`` by
+    itself, of a pair 1 the unit at ``s``, 2 the next one, 3 both.
+    """
+    lines = base.select(ID, "twin", F.posexplode(F.split(TEXT, "\n")).alias("line", "text"))
+    found = F.transform(F.regexp_extract_all("text", F.lit(SENTENCE), 0), _plain)
+    cut = lines.select(ID, "twin", "line", found.alias("units")).select(ID, "twin", "line", "units", F.posexplode("units").alias("s", "one"))
+    two = F.coalesce(F.try_element_at("units", F.col("s") + 2), F.lit(""))
+    units = cut.where("one != ''").select(ID, "twin", "line", "s", "one", two.alias("two"), _n_words(F.col("one")).alias("n1"))
+    units = units.withColumn("n2", _n_words(F.col("two")))
+    short1, short2 = F.col("n1") < min_words, F.col("n2") < min_words
+    own = F.when(~short1, F.struct(F.lit(0).alias("which"), digest("one").alias("digest")))
+    which = F.when(short1 & short2, 3).when(short1, 1).otherwise(2)
+    pair = F.when((F.col("n2") > 0) & (short1 | short2), F.struct(which.alias("which"), digest(F.concat("one", F.lit("\n"), "two")).alias("digest")))
+    return units.select(ID, "twin", "line", "s", F.explode(F.array(own, pair)).alias("u")).where("u IS NOT NULL").select(
+        ID, "twin", "line", "s", F.col("u.which").alias("which"), F.col("u.digest").alias("digest")
+    )
+
+
+def without(text: str, gone: set[tuple[int, int]]) -> tuple[str, list[dict]]:
+    """The text without the units at these places (line, number in it), and the removed spans in order."""
+    kept, spans, at = [], [], 0
+    hit = {line for line, _ in gone}
+    for number, line in enumerate(text.split("\n")):
+        if number not in hit:
+            kept.append(line)
+            at += len(line) + 1
+            continue
+        parts = _SENTENCE.findall(line)
+        out = [(number, s) in gone for s in range(len(parts))]
+        if all(o or not part.strip(" \t\x0b\f\r") for o, part in zip(out, parts)):
+            spans.append({"start": at, "end": at + len(line)})
+        else:
+            start = at
+            for o, part in zip(out, parts):
+                if o:
+                    spans.append({"start": start, "end": start + len(part)})
+                start += len(part)
+            kept.append("".join(part for o, part in zip(out, parts) if not o))
         at += len(line) + 1
-    return "\n".join(kept), outer
-
-
-def _units(min_words: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in tk.slices(batches, TEXT):
-        row, start, end, name = [], [], [], []
-        for i, text in enumerate(batch.column(TEXT).to_pylist()):
-            for a, b, plain in units_of(text, min_words) if text else ():
-                row.append(i)
-                start.append(a)
-                end.append(b)
-                name.append(hashlib.md5(plain).digest())
-        same = batch.take(pa.array(row, pa.int64()))
-        halves = np.frombuffer(b"".join(name), np.int64).reshape(-1, 2)
-        places = [pa.array(x, pa.int32()) for x in (start, end)]
-        yield pa.RecordBatch.from_arrays(
-            [same.column(ID), same.column("twin"), *places, pa.array(halves[:, 0]), pa.array(halves[:, 1])],
-            [ID, "twin", "start", "end", "d1", "d2"],
-        )
-
-
-def _cut(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
-    done = [(None, None) if t is None else without(t, zip(a, b)) for t, a, b in zip(text, starts, ends)]
+    return "\n".join(kept), spans
+
+
+def _cut(text: pd.Series, lines: pd.Series, units: pd.Series) -> pd.DataFrame:
+    done = [(None, None) if t is None else without(t, set(zip(a.tolist(), b.tolist()))) for t, a, b in zip(text, lines, units)]
     return pd.DataFrame({"text": [t for t, _ in done], "removed": [r for _, r in done]}, dtype=object)
 
 
@@ -110,16 +117,18 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     gives an empty result.
     """
     # id and a hash of the text name a document, so that rows with one id and different texts stay apart
+    work = Workspace(docs.sparkSession, "lines")
     base = texts(docs, id_col, text_col).withColumn("twin", F.xxhash64(TEXT))
-    kind = base.schema[ID].dataType.simpleString()
-    units = base.mapInArrow(partial(_units, min_words), f"{ID} {kind}, twin bigint, start int, end int, d1 bigint, d2 bigint")
-    place = F.struct(ID, "twin", "start")
-    first = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    units = work.write(unit_digests(base, min_words), "units")
+    place = F.struct(ID, "twin", "line", "s")
+    first = units.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = units.join(first.drop("n"), "digest").where(place != F.col("first"))
+    one, next_ = (F.struct("line", (F.col("s") + step).alias("s")) for step in (0, 1))
+    places = F.when(F.col("which") == 2, F.array(next_)).when(F.col("which") == 3, F.array(one, next_)).otherwise(F.array(one))
     gone = (
-        units.join(first.drop("n"), ["d1", "d2"])
-        .where(place != F.col("first"))
-        .groupBy(F.col("twin").alias("_gone_twin"), F.col(ID).alias("_gone_id"))
-        .agg(F.collect_set(F.struct("start", "end")).alias("_gone"))
+        again.select(F.col("twin").alias("_gone_twin"), F.col(ID).alias("_gone_id"), F.explode(places).alias("place"))
+        .groupBy("_gone_twin", "_gone_id")
+        .agg(F.collect_set("place").alias("_gone"))
     )
     # The columns travel as one struct, so none of their names can clash.
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumns(
@@ -127,12 +136,12 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     )
     same = (F.xxhash64(TEXT) == F.col("_gone_twin")) & F.col(ID).eqNullSafe(F.col("_gone_id"))
     hit, text = F.col("_gone").isNotNull(), F.col(TEXT)
-    cut = F.pandas_udf(_cut, "text string, removed array<struct<start:int,end:int>>")
-    joined = whole.join(gone, same, "left").withColumn("_cut", cut(F.when(hit, text), F.col("_gone.start"), F.col("_gone.end")))
+    cut = F.pandas_udf(_cut, f"text string, removed {SPANS}")
+    joined = whole.join(gone, same, "left").withColumn("_cut", cut(F.when(hit, text), F.col("_gone.line"), F.col("_gone.s")))
     lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
     return joined.select(
         *[F.when(hit, F.col("_cut.text")).otherwise(text).alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(lines).alias("_n_lines"),
         F.when(hit, F.size("_cut.removed")).otherwise(0).alias("_n_removed"),
-        F.when(hit, F.col("_cut.removed")).otherwise(F.array().cast("array<struct<start:int,end:int>>")).alias("_removed"),
+        F.when(hit, F.col("_cut.removed")).otherwise(F.array().cast(SPANS)).alias("_removed"),
     )

@@ -257,42 +257,45 @@ _OP1 = _OP1.replace("{s0}", _STRENGTH.format(m="m0", units="suffix0"))
 _OP1 = _OP1.replace("{s1}", _STRENGTH.format(m="m1", units="domain0")).replace("{s2}", _STRENGTH.format(m="m2", units="host0"))
 
 # A line starts behind all lines before it and their line feeds, a sentence behind those before it in its line.
+_PLAIN = r"""trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\x0B\f\r]+', ' ', 'g'))"""
 _OP10 = r"""
 WITH line AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS unit, generate_subscripts(string_split(text, chr(10)), 1) AS line
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS whole, generate_subscripts(string_split(text, chr(10)), 1) AS line
   FROM documents WHERE text IS NOT NULL
-), plain AS (
-  SELECT *, trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\x0B\f\r]+', ' ', 'g')) AS plain,
-    coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM line
-), line_ranked AS (
-  SELECT *, length(plain) - length(replace(plain, ' ', '')) >= 7 AS long, row_number() OVER (PARTITION BY plain ORDER BY doc_id, line) > 1 AS again FROM plain
+), placed AS (
+  SELECT *, coalesce(sum(length(whole) + 1) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+    CASE WHEN whole = '' THEN [''] ELSE regexp_extract_all(whole, '[^.!?。！？]+[.!?。！？]*|[.!?。！？]+') END AS part FROM line
 ), sentence AS (
-  SELECT doc_id, line, start, unit AS whole, long AND again AS line_gone, long,
-    unnest(part) AS unit, generate_subscripts(part, 1) AS s
-  FROM (SELECT *, CASE WHEN unit = '' THEN [''] ELSE regexp_extract_all(unit, '[^.!?]+[.!?]*|[.!?]+') END AS part FROM line_ranked)
-), sentence_plain AS (
-  SELECT * EXCLUDE (start), trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\x0B\f\r]+', ' ', 'g')) AS plain,
-    start, start + coalesce(sum(length(unit)) OVER (PARTITION BY doc_id, line ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins
-  FROM sentence
+  SELECT doc_id, line, start, whole, unnest(part) AS unit, generate_subscripts(part, 1) AS s FROM placed
+), plain AS (
+  SELECT *, {plain} AS plain,
+    start + coalesce(sum(length(unit)) OVER (PARTITION BY doc_id, line ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins FROM sentence
+), counted AS (
+  SELECT *, CASE WHEN plain = '' THEN 0 ELSE length(plain) - length(replace(plain, ' ', '')) + 1 END AS n,
+    coalesce(lead(plain) OVER (PARTITION BY doc_id, line ORDER BY s), '') AS after FROM plain
+), paired AS (
+  SELECT *, n > 0 AND after <> '' AND (n < 8 OR length(after) - length(replace(after, ' ', '')) < 7) AS pair FROM counted
 ), ranked AS (
-  SELECT *, long AND length(plain) - length(replace(plain, ' ', '')) >= 7
-    AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, line, s) > 1 AS gone FROM sentence_plain
+  SELECT *, n >= 8 AND row_number() OVER (PARTITION BY n >= 8, plain ORDER BY doc_id, line, s) > 1 AS long_again,
+    pair AND row_number() OVER (PARTITION BY pair, plain, after ORDER BY doc_id, line, s) > 1 AS pair_again FROM paired
+), judged AS (
+  SELECT *, CASE WHEN n >= 8 THEN long_again
+    ELSE n > 0 AND (pair_again OR coalesce(lag(pair_again) OVER (PARTITION BY doc_id, line ORDER BY s), FALSE)) END AS gone FROM ranked
 ), lines AS (
-  SELECT doc_id, line, any_value(line_gone) AS line_gone, any_value(start) AS start, any_value(length(whole)) AS size,
+  SELECT doc_id, line, coalesce(bool_and(gone) FILTER (WHERE n > 0), FALSE) AS line_gone, any_value(start) AS start, any_value(length(whole)) AS size,
     string_agg(unit, '' ORDER BY s) FILTER (WHERE NOT gone) AS kept, count(*) FILTER (WHERE gone) AS n_gone,
     string_agg(begins || '-' || (begins + length(unit)), ',' ORDER BY s) FILTER (WHERE gone) AS spans
-  FROM ranked GROUP BY doc_id, line
+  FROM judged GROUP BY doc_id, line
 ), cleaned AS (
   SELECT doc_id, count(*) AS n_lines, sum(CASE WHEN line_gone THEN 1 ELSE n_gone END)::BIGINT AS n_removed,
-    string_agg(kept, chr(10) ORDER BY line) FILTER (WHERE NOT line_gone AND kept IS NOT NULL) AS text,
+    string_agg(kept, chr(10) ORDER BY line) FILTER (WHERE NOT line_gone) AS text,
     string_agg(CASE WHEN line_gone THEN start || '-' || (start + size) ELSE spans END, ',' ORDER BY line) FILTER (WHERE line_gone OR n_gone > 0) AS removed
   FROM lines GROUP BY doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(c.text, '') END AS text,
   coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
 FROM documents d LEFT JOIN cleaned c USING (doc_id)
-"""
+""".replace("{plain}", _PLAIN)
 
 _OP7 = r"""
 WITH doc AS (

@@ -84,29 +84,30 @@ def benchmark_hits(text, items, window=10):
 
 
 def without_repeats(texts, min_words=8):
-    """Texts in order, each without lines and sentences that occurred before, and the removed spans."""
-    lines, sentences, out = set(), set(), []
+    """Texts in order, each without units that occurred before, short ones with a neighbour, and the removed spans."""
+    seen, out = set(), []
     for text in texts:
         kept, spans, at = [], [], 0
         for line in (text or "").split("\n"):
-            whole, left = tuple(low(line).split()), ""
-            gone = len(whole) >= min_words and whole in lines
-            if len(whole) >= min_words:
-                lines.add(whole)
-            if gone:
+            parts = re.findall(r"[^.!?。！？]+[.!?。！？]*|[.!?。！？]+", line)
+            plain = [tuple(low(p).split()) for p in parts]
+            gone = [False] * len(parts)
+            for i, own in enumerate(plain):
+                if len(own) >= min_words:
+                    gone[i] = gone[i] or own in seen
+                    seen.add(own)
+                pair = (own, plain[i + 1]) if i + 1 < len(plain) else ((), ())
+                if all(pair) and min(map(len, pair)) < min_words:
+                    for j in (i, i + 1):
+                        gone[j] = gone[j] or (pair in seen and len(plain[j]) < min_words)
+                    seen.add(pair)
+            real = [g for g, p in zip(gone, plain) if p]
+            if real and all(real):
                 spans.append((at, at + len(line)))
-            start = at
-            for part in re.findall(r"[^.!?]+[.!?]*|[.!?]+", line):
-                plain = tuple(low(part).split())
-                again = len(plain) >= min_words and plain in sentences
-                if len(plain) >= min_words:
-                    sentences.add(plain)
-                if again and not gone:
-                    spans.append((start, start + len(part)))
-                left += "" if again else part
-                start += len(part)
-            if not gone and (left or not line):
-                kept.append(left)
+            else:
+                ends = [at + sum(map(len, parts[: i + 1])) for i in range(len(parts))]
+                spans += [(e - len(p), e) for e, p, g in zip(ends, parts, gone) if g]
+                kept.append("".join(p for p, g in zip(parts, gone) if not g))
             at += len(line) + 1
         out.append((None if text is None else "\n".join(kept), spans))
     return out

@@ -154,6 +154,13 @@ def test_repeated_lines_edges(spark, odd, empty):
     want = without_repeats(t for _, t in inside)
     assert {r["doc_id"]: (r["text"], [(s["start"], s["end"]) for s in r["_removed"]]) for r in found} == dict(zip((1, 2, 3), want))
     assert want[2][0] == "more words before it. Rest of the third."
+    short = "One of us. Two went on. Then three came. Nobody knew why! But who asked? It was so. 这是一句。那是两句！ "
+    passage = (short * 4).strip()  # over 60 words, none of its sentences long
+    runs = [(1, f"before it all {passage} and more"), (2, f"Quite another text here. {passage} Its end."), (3, "One of us. And others."), (4, "Nobody knew why!")]
+    found = remove_repeated_lines(spark.createDataFrame(runs, "doc_id long, text string")).collect()
+    want = without_repeats(t for _, t in runs)
+    assert {r["doc_id"]: (r["text"], [(s["start"], s["end"]) for s in r["_removed"]]) for r in found} == dict(zip((1, 2, 3, 4), want))
+    assert want[1][0] == "Quite another text here. Its end." and [want[i][0] for i in (2, 3)] == [runs[2][1], runs[3][1]]
     assert remove_repeated_lines(odd).count() == len(ODD_TEXTS)
     assert remove_repeated_lines(empty).count() == 0
     assert remove_repeated_lines(odd).columns[: len(odd.columns)] == odd.columns

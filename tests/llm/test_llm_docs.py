@@ -44,6 +44,61 @@ def test_large_group_of_near_copies(spark):
     assert all(got[1000 + i] == 1000 + i for i in range(100))
 
 
+def weighted_classes(rows):
+    """Smallest id of the component of each id, by weighted similarity over all pairs, and the similar pairs."""
+    found = [(i, t) for i, t in rows if t]
+    column = pa.array([t for _, t in found])
+    text, shingle, _ = wm.shingle_counts(column)
+    df = np.bincount(wm._bucket(shingle), minlength=1 << wm.DF_BITS)
+    idf = wm.to_levels(df, len(rows))
+    pairs, parent = [], {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(found) - 1):
+        left = pa.array([found[i][1]] * (len(found) - i - 1))
+        like = wm.similarity(left, column[i + 1 :], idf)
+        for j in np.flatnonzero((like >= wm.THRESHOLD - 1e-9) | np.array([found[i][1] == t for _, t in found[i + 1 :]])):
+            a, b = found[i][0], found[i + 1 + j][0]
+            pairs.append((a, b))
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i in parent}, pairs
+
+
+def test_near_duplicates_equal_all_pairs_of_the_weighted_similarity(docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want, pairs = weighted_classes(rows)
+    got = {r["doc_id"]: r["class_id"] for r in wm.near_duplicates(docs).collect()}
+    assert sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
+    assert all(want[i] == want[c] for i, c in got.items()), "nothing is joined that is not similar"
+
+
+def test_edits_that_are_not_similar_do_not_hide_similar_ones(spark, monkeypatch):
+    """Many texts share half of their shingles with one another and their buckets; a few pairs among them are similar."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in rng.integers(0, 5000, 120)]
+    rows = []
+    for i in range(200):
+        own = base[:96] + [f"z{x}" for x in rng.integers(0, 10**9, 24)]
+        rows.append((i, " ".join(own)))
+        if i % 20 == 0:
+            rows.append((1000 + i, " ".join([*own[:-2], "other", "end"])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want, pairs = weighted_classes(rows)
+    assert len(pairs) >= 10
+    widest = []
+    compare = wm._Links.compare
+    monkeypatch.setattr(wm._Links, "compare", lambda self, p, sketched=True: (widest.append(p.count()), compare(self, p, sketched))[1])
+    got = {r["doc_id"]: r["class_id"] for r in wm.near_duplicates(frame).collect()}
+    assert got == want
+    assert max(widest) < 210 * 16 * wm.LEADERS, "pairs must stay linear in the number of texts"
+    assert {r["doc_id"]: r["class_id"] for r in wm.near_duplicates(frame, exact=True).collect()} == want
+
+
 def test_near_duplicate_edges(odd, empty):
     got = sorted(((r["doc_id"], r["class_id"], r["keeper"]) for r in wm.near_duplicates(odd).collect()), key=repr)
     same = {9008, 9009, None}

@@ -91,6 +91,7 @@ def _member(hashed: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return maybe[wanted[np.minimum(at, len(wanted) - 1)] == hashed[maybe]]
 
 
+@tk.freed
 def _count(wanted_of, sizes: list[int], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of this partition hold each wanted shingle."""
     wanted = wanted_of.value
@@ -146,6 +147,7 @@ def _place(win: Windows, data, starts, ends, text, word, rows: int) -> tuple[np.
 SPAN = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
 
+@tk.freed
 def _join(block, keep_text: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     win: Windows = block.value
     for batch in tk.slices(batches, TEXT):

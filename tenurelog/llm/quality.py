@@ -100,6 +100,7 @@ def add_neighbours(total: np.ndarray, token: np.ndarray, text: np.ndarray) -> No
                 np.add.at(total, word + place[near], sign[near])
 
 
+@tk.freed
 def _sums_of_partition(fan_in: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SIZE << BUCKET_BITS, np.int64)
     for batch in tk.slices(batches, TEXT, PART_BYTES):
@@ -239,6 +240,7 @@ def train(vectors: np.ndarray, sample: list[tuple[str, int]]) -> QualityNet:
     return net
 
 
+@tk.freed
 def _score(net_of, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     net: QualityNet = net_of.value
     for batch in tk.slices(batches, TEXT):

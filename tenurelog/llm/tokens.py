@@ -5,7 +5,9 @@ All functions work on the UTF-8 bytes of a batch of texts laid end to end.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,42 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
 
+_caches: list[Callable[[], None]] = []
+
+
+def on_release(clear: Callable[[], None]) -> Callable[[], None]:
+    """Register what empties a cache of this worker."""
+    _caches.append(clear)
+    return clear
+
+
+def freed(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``run`` over a partition; behind it the worker's caches are emptied and free memory goes back to the system.
+
+    Spark keeps workers for the tasks of later stages. What they hold on to would
+    add up over the stages of a pipeline.
+    """
+
+    @wraps(run)
+    def whole(*args, **named):
+        try:
+            yield from run(*args, **named)
+        finally:
+            for clear in _caches:
+                clear()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
+@on_release
+def _forget_powers() -> None:
+    _powers[:] = [np.ones(1, U64), np.ones(1, U64)]
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = MAX_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows again in batches of about ``max_bytes`` of text; a longer text comes alone."""
     for batch in batches:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import ID, TEXT, Workspace, digest, texts
+from .workspace import ID, TEXT, Workspace, texts
 
 MIN_WORDS = 8
 # What ends a sentence, and white space inside a line.
@@ -53,10 +53,11 @@ def _n_words(plain: Column) -> Column:
 
 
 def unit_digests(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, twin, line, s, which, digest) of the units of each text, and of pairs with a short unit.
+    """(id, twin, at, d1, d2) of the units of each text, and of pairs with a short unit.
 
-    ``which`` says what goes when the digest occurred before: 0 the unit at ``s`` by
-    itself, of a pair 1 the unit at ``s``, 2 the next one, 3 both.
+    ``at`` is the place: the line in the upper half, then the unit in it, and in the last
+    two bits what goes when the digest occurred before: 0 the unit by itself, of
+    a pair 1 the unit, 2 the next one, 3 both. ``d1`` and ``d2`` are the digest.
     """
     lines = base.select(ID, "twin", F.posexplode(F.split(TEXT, "\n")).alias("line", "text"))
     found = F.transform(F.regexp_extract_all("text", F.lit(SENTENCE), 0), _plain)
@@ -65,25 +66,26 @@ def unit_digests(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     units = cut.where("one != ''").select(ID, "twin", "line", "s", "one", two.alias("two"), _n_words(F.col("one")).alias("n1"))
     units = units.withColumn("n2", _n_words(F.col("two")))
     short1, short2 = F.col("n1") < min_words, F.col("n2") < min_words
-    own = F.when(~short1, F.struct(F.lit(0).alias("which"), digest("one").alias("digest")))
+    own = F.when(~short1, F.struct(F.lit(0).alias("which"), F.col("one").alias("shown")))
     which = F.when(short1 & short2, 3).when(short1, 1).otherwise(2)
-    pair = F.when((F.col("n2") > 0) & (short1 | short2), F.struct(which.alias("which"), digest(F.concat("one", F.lit("\n"), "two")).alias("digest")))
-    return units.select(ID, "twin", "line", "s", F.explode(F.array(own, pair)).alias("u")).where("u IS NOT NULL").select(
-        ID, "twin", "line", "s", F.col("u.which").alias("which"), F.col("u.digest").alias("digest")
-    )
+    pair = F.when((F.col("n2") > 0) & (short1 | short2), F.struct(which.alias("which"), F.concat("one", F.lit("\n"), "two").alias("shown")))
+    both = units.select(ID, "twin", "line", "s", F.explode(F.array(own, pair)).alias("u")).where("u IS NOT NULL")
+    at = F.shiftleft(F.col("line").cast("long"), 32) + F.shiftleft("s", 2) + F.col("u.which")
+    halves = [F.xxhash64(F.lit(seed), "u.shown").alias(f"d{seed}") for seed in (1, 2)]
+    return both.select(ID, "twin", at.alias("at"), *halves)
 
 
-def without(text: str, gone: set[tuple[int, int]]) -> tuple[str, list[dict]]:
-    """The text without the units at these places (line, number in it), and the removed spans in order."""
+def without(text: str, gone: set[int]) -> tuple[str, list[dict]]:
+    """The text without the units at these places (line << 30 | number in it), and the removed spans in order."""
     kept, spans, at = [], [], 0
-    hit = {line for line, _ in gone}
+    hit = {place >> 30 for place in gone}
     for number, line in enumerate(text.split("\n")):
         if number not in hit:
             kept.append(line)
             at += len(line) + 1
             continue
         parts = _SENTENCE.findall(line)
-        out = [(number, s) in gone for s in range(len(parts))]
+        out = [number << 30 | s in gone for s in range(len(parts))]
         if all(o or not part.strip(" \t\x0b\f\r") for o, part in zip(out, parts)):
             spans.append({"start": at, "end": at + len(line)})
         else:
@@ -97,8 +99,8 @@ def without(text: str, gone: set[tuple[int, int]]) -> tuple[str, list[dict]]:
     return "\n".join(kept), spans
 
 
-def _cut(text: pd.Series, lines: pd.Series, units: pd.Series) -> pd.DataFrame:
-    done = [(None, None) if t is None else without(t, set(zip(a.tolist(), b.tolist()))) for t, a, b in zip(text, lines, units)]
+def _cut(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
+    done = [(None, None) if t is None else without(t, set(g.tolist())) for t, g in zip(text, gone)]
     return pd.DataFrame({"text": [t for t, _ in done], "removed": [r for _, r in done]}, dtype=object)
 
 
@@ -120,24 +122,24 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     work = Workspace(docs.sparkSession, "lines")
     base = texts(docs, id_col, text_col).withColumn("twin", F.xxhash64(TEXT))
     units = work.write(unit_digests(base, min_words), "units")
-    place = F.struct(ID, "twin", "line", "s")
-    first = units.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = units.join(first.drop("n"), "digest").where(place != F.col("first"))
-    one, next_ = (F.struct("line", (F.col("s") + step).alias("s")) for step in (0, 1))
-    places = F.when(F.col("which") == 2, F.array(next_)).when(F.col("which") == 3, F.array(one, next_)).otherwise(F.array(one))
+    place = F.struct(ID, "twin", "at")
+    first = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = units.join(first.drop("n"), ["d1", "d2"]).where(place != F.col("first"))
+    # What goes in place of the unit itself: nothing but it, or the next one, or both.
+    which, unit = F.col("at").bitwiseAND(F.lit(3)), F.shiftright("at", 2)
+    places = F.when(which == 2, F.array(unit + 1)).when(which == 3, F.array(unit, unit + 1)).otherwise(F.array(unit))
     gone = (
         again.select(F.col("twin").alias("_gone_twin"), F.col(ID).alias("_gone_id"), F.explode(places).alias("place"))
         .groupBy("_gone_twin", "_gone_id")
         .agg(F.collect_set("place").alias("_gone"))
     )
-    # The columns travel as one struct, so none of their names can clash.
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumns(
-        {ID: F.col(f"_row.`{id_col}`"), TEXT: F.col(f"_row.`{text_col}`").cast("string")}
-    )
+    # The other columns travel as one struct, so none of their names can clash, and the text once.
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    whole = docs.select(F.struct(*others).alias("_row"), F.col(f"`{id_col}`").alias(ID), F.col(f"`{text_col}`").cast("string").alias(TEXT))
     same = (F.xxhash64(TEXT) == F.col("_gone_twin")) & F.col(ID).eqNullSafe(F.col("_gone_id"))
     hit, text = F.col("_gone").isNotNull(), F.col(TEXT)
     cut = F.pandas_udf(_cut, f"text string, removed {SPANS}")
-    joined = whole.join(gone, same, "left").withColumn("_cut", cut(F.when(hit, text), F.col("_gone.line"), F.col("_gone.s")))
+    joined = whole.join(gone, same, "left").withColumn("_cut", cut(F.when(hit, text), F.col("_gone")))
     lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
     return joined.select(
         *[F.when(hit, F.col("_cut.text")).otherwise(text).alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -32,7 +33,7 @@ from ..operators.snapshot import MAX_DAYS
 from ..plans import Warehouse, curated, refined
 from ..plans.models import ENTITIES
 from ..session import scratch_dir, side_by_side
-from ..sources import KeyedTable, RawStore, RebuiltTable, land
+from ..sources import CatalogLayers, KeyedTable, RawStore, RebuiltTable, land
 from ..streaming import refresh_history, stream_upsert
 from ..streaming.upsert import merge_batch
 from . import records as r
@@ -591,7 +592,18 @@ def ingest_trailing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run, twice: the second load brings changed, back-dated and re-owned records."""
     root = scratch_dir(spark, "refresh")
-    warehouse = Warehouse(spark, f"{root}/warehouse", buckets=8)
+    return _refresh_twice(spark, sf_dir, root, Warehouse(spark, f"{root}/warehouse", buckets=8))
+
+
+def refresh_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the layers in the session's catalog; the models are read from there by name."""
+    root = scratch_dir(spark, "refresh")
+    catalog = CatalogLayers(spark, f"run_{uuid.uuid4().hex[:12]}_")
+    _refresh_twice(spark, sf_dir, root, Warehouse(spark, f"{root}/warehouse", buckets=8, catalog=catalog))
+    return _shown({m: catalog.table("curated", m) for m in ("fct_headcount_daily", "fct_compensation", "fct_turnover")})
+
+
+def _refresh_twice(spark: SparkSession, sf_dir: str, root: str, warehouse: Warehouse) -> DataFrame:
     number = F.substring_index("change_id", "-", -1).cast("long")
     changes = r.change_records(spark, sf_dir)
     early = changes.where((F.col("effective_date") < "2024-01-16") & (number % 7 != 0))
@@ -618,9 +630,13 @@ def refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         done = warehouse.refresh(
             f"{root}/landing", day, r.AS_OF, loaded_at=f"{day} 06:00:00", layout="lines", strict_checks=False
         )
-    head = done.models["fct_headcount_daily"]
-    pay = done.models["fct_compensation"]
-    turnover_ = done.models["fct_turnover"]
+    return _shown(done.models)
+
+
+def _shown(models: dict[str, DataFrame]) -> DataFrame:
+    head = models["fct_headcount_daily"]
+    pay = models["fct_compensation"]
+    turnover_ = models["fct_turnover"]
     return (
         head.select(F.lit("headcount").alias("model"), F.col("report_date").cast("string").alias("item"), F.concat_ws("|", "organization_id", "job_family", "job_level", "work_location").alias("detail"), F.col("headcount").cast("double").alias("measure"))
         .unionByName(pay.select(F.lit("compensation").alias("model"), F.col("compensation_id").alias("item"), F.concat_ws("|", "worker_id", "job_level", "work_location").alias("detail"), F.col("salary_change_pct").alias("measure")))
@@ -760,6 +776,7 @@ QUERIES: dict[str, Query] = {
     "land_overwrite": land_overwrite,
     "ingest_trailing_text": ingest_trailing_text,
     "refresh_all": refresh_all,
+    "refresh_catalog": refresh_catalog,
     "scd2_incremental": scd2_incremental,
     "scd2_reassigned": scd2_reassigned,
     "stream_upsert": stream_latest,

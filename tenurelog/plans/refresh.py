@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.quality import require_clean, run_checks
 from ..operators.upsert import incremental_upsert
 from ..session import side_by_side
+from ..sources.catalog import CatalogLayers
 from ..sources.landing import LoadResult, RawStore
 from ..sources.table import BUCKETS, KeyedTable, RebuiltTable
 from . import curated, refined
@@ -25,10 +26,10 @@ class Refresh:
 
 
 class Warehouse:
-    """Folders of the three layers under one root."""
+    """Folders of the three layers under one root; with ``catalog`` all models are read and rebuilt there by name."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, catalog: CatalogLayers | None = None):
+        self.spark, self.root, self.catalog = spark, root.rstrip("/"), catalog
         self.raw = RawStore(spark, self.root)
         self.refined = {
             name: (KeyedTable(spark, f"{self.root}/refined/{name}", key, buckets), entity, build)
@@ -41,6 +42,8 @@ class Warehouse:
 
     def rebuild(self, name: str, df: DataFrame) -> DataFrame:
         """Write a curated table anew and return it as read back."""
+        if self.catalog is not None:
+            return self.catalog.save("curated", name, df)
         return RebuiltTable(self.spark, f"{self.root}/curated/{name}").write(df)
 
     def refresh(
@@ -62,7 +65,7 @@ class Warehouse:
         loads = self.raw.load_all(landing, ENTITIES, load_date, loaded_at, layout)
 
         models = side_by_side(self.spark, {name: partial(self._merge, name) for name in self.refined})
-        organizations = self.raw.read("organizations")
+        organizations = self._raw("organizations")
         models |= side_by_side(
             self.spark,
             {
@@ -88,14 +91,23 @@ class Warehouse:
                 ),
             },
         )
-        checks = RebuiltTable(self.spark, f"{self.root}/checks").write(run_checks(models, CHECKS))
+        checked = run_checks(models, CHECKS)
+        if self.catalog is not None:
+            checks = self.catalog.save("curated", "checks", checked)
+        else:
+            checks = RebuiltTable(self.spark, f"{self.root}/checks").write(checked)
         if strict_checks:
             require_clean(checks)
         return Refresh(loads, models, checks)
 
+    def _raw(self, entity: str) -> DataFrame:
+        return self.raw.read(entity) if self.catalog is None else self.catalog.publish_raw(entity, self.raw)
+
     def _merge(self, name: str) -> DataFrame:
         table, entity, build = self.refined[name]
-        raw = self.raw.read(entity)
+        raw = self._raw(entity)
         incremental_upsert(table, raw, build, day="_load_day")
+        if self.catalog is not None:
+            return self.catalog.publish_keyed(name, table, build(raw).schema)
         merged = table.read()
         return self.spark.createDataFrame([], build(raw).schema) if merged is None else merged

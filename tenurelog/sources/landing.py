@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import path_exists, side_by_side
+from ..session import file_names, path_exists, side_by_side
 from .arrays import pieces, read_lines, with_places
 from .table import CommitLog
 
@@ -129,17 +129,29 @@ class RawStore:
         # The folders of the loads in the log; one that did not come so far is not among them.
         return self.spark.read.schema(STORED_SCHEMA).option("basePath", data).parquet(*[f"{data}/_commit={c}" for c in last["commits"]])
 
+    def places(self, entity: str) -> tuple[str, list[tuple[str, str, str]]]:
+        """The folder of the records, and (commit, kind, load day) of each folder in it that the log knows."""
+        folder = f"{self.root}/raw/{entity}/data"
+        last = self._log(entity).last()
+        found = []
+        for commit in last["commits"] if last else []:
+            for kind in file_names(self.spark, f"{folder}/_commit={commit}"):
+                if kind.startswith("_kind="):
+                    days = file_names(self.spark, f"{folder}/_commit={commit}/{kind}")
+                    found += [(commit, kind.removeprefix("_kind="), d.removeprefix("_load_day=")) for d in days]
+        return folder, found
+
     def read(self, entity: str) -> DataFrame | None:
         """All records ever loaded for the entity, or None if no load was ever tried."""
         stored = self._stored(entity)
-        return None if stored is None else stored.where("_kind = 'good'").select(*_names(RAW_SCHEMA))
+        return None if stored is None else stored.where("_kind = 'good'").select(*names_of(RAW_SCHEMA))
 
     def quarantine(self, entity: str) -> DataFrame | None:
         """The texts set aside, or None if there never were any."""
         last = self._log(entity).last()
         if last is None or not last["bad"]:
             return None
-        return self._stored(entity).where("_kind = 'bad'").select(*_names(BAD_SCHEMA))
+        return self._stored(entity).where("_kind = 'bad'").select(*names_of(BAD_SCHEMA))
 
     def manifest(self, entity: str) -> DataFrame | None:
         """The files loaded, or None if there never were any."""
@@ -276,5 +288,5 @@ class RawStore:
         return lines.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _names(schema: str) -> list[str]:
+def names_of(schema: str) -> list[str]:
     return [f.strip().split(" ")[0] for f in schema.split(",")]

@@ -15,6 +15,7 @@ from .quality import (
 )
 from .skew import KeySplit, split_hot_keys, with_neighbour
 from .snapshot import date_spine, interval_snapshot, spine_bounds
+from .steps import StepTable
 from .upsert import incremental_upsert, newer_than
 
 __all__ = [
@@ -22,6 +23,7 @@ __all__ = [
     "DataTestFailure",
     "KeySplit",
     "Page",
+    "StepTable",
     "as_of_join",
     "change_over_previous",
     "date_spine",

@@ -1,4 +1,4 @@
-from .curated import dim_org, dim_worker, fct_compensation, fct_headcount_daily, fct_turnover
+from .curated import HeadcountSteps, dim_org, dim_worker, fct_compensation, fct_headcount_daily, fct_turnover
 from .models import CHECKS, ENTITIES
 from .refined import stg_compensation, stg_job_changes, stg_workers
 from .refresh import Refresh, Warehouse
@@ -6,6 +6,7 @@ from .refresh import Refresh, Warehouse
 __all__ = [
     "CHECKS",
     "ENTITIES",
+    "HeadcountSteps",
     "Refresh",
     "Warehouse",
     "dim_org",

@@ -12,7 +12,6 @@ import json
 import numpy as np
 
 from . import tokens as tk
-from .chunked_bpe import _gather, _token_bytes, firm_places
 
 CACHE = 1_000_000  # distinct pieces a worker remembers; beyond that it starts over
 
@@ -40,8 +39,48 @@ def require_byte_level(definition: str) -> dict:
     return parsed
 
 
-class WordEncoder:
-    """One vocabulary in one worker, with the pieces encoded so far."""
+def _gather(source: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The stretches ``source[at : at + n]`` one after another."""
+    total = int(n.sum())
+    shift = np.repeat(at - (np.cumsum(n) - n), n)
+    return source[np.arange(total) + shift]
+
+
+def _token_bytes(tokenizer, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes each id stands for, by the byte-to-character rule of byte-level BPE.
+
+    Printable Latin-1 characters stand for their own byte, the other bytes for
+    the characters from 256 on, in order.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+    special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
+    out = []
+    for i in range(size):
+        if i in special:
+            out.append(special[i].encode())
+        else:
+            out.append(bytes(byte_of[c] for c in tokenizer.id_to_token(i) or ""))
+    at = np.cumsum([0, *map(len, out)])
+    return np.frombuffer(b"".join(out), np.uint8), at
+
+
+def firm_places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each byte, whether the pre-tokenizer splits before it for certain."""
+    firm = np.zeros(len(data), bool)
+    if len(data) > 2:
+        visible = (data > 32) & (data < 127)
+        firm[1:-1] = (data[1:-1] == 32) & visible[:-2] & visible[2:]
+    for near in (0, -1):  # a neighbour in another text proves nothing
+        at = offsets[1:-1] + near
+        firm[at[(at >= 0) & (at < len(data))]] = False
+    firm[offsets[:-1][offsets[:-1] < len(data)]] = True
+    return firm
+
+
+class ByteBpe:
+    """One vocabulary in one worker."""
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
@@ -53,7 +92,6 @@ class WordEncoder:
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.bytes, self.byte_at = _token_bytes(self.library, size)
         self.fast = self._by_rank(parsed)
-        self.forget()
 
     def _by_rank(self, parsed: dict):
         """A faster encoder of the same ids, if the ids follow the order of the merges; else None."""
@@ -68,17 +106,29 @@ class WordEncoder:
         ranks = {data[at[i] : at[i + 1]]: i for i in range(256 + len(made))}
         return tiktoken.Encoding("definition", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
+    def encode_plain(self, text: str) -> list[int]:
+        if self.fast is None:
+            return self.library.encode(text, add_special_tokens=False).ids
+        return self.fast.encode(text, allowed_special="all")
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the ids, end to end."""
+        return _gather(self.bytes, self.byte_at[ids], self.byte_at[ids + 1] - self.byte_at[ids])
+
+
+class WordEncoder(ByteBpe):
+    """With the pieces encoded so far."""
+
+    def __init__(self, definition: str):
+        super().__init__(definition)
+        self.forget()
+
     def forget(self) -> None:
         self.key = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.n = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def encode_plain(self, text: str) -> list[int]:
-        if self.fast is None:
-            return self.library.encode(text, add_special_tokens=False).ids
-        return self.fast.encode(text, allowed_special="all")
-
     def _encode_new(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces end to end and their numbers.
 

@@ -1,22 +1,25 @@
 """Byte-level BPE with content-defined chunk reuse.
 
-A rolling hash over the last few bytes cuts every text into chunks. The cuts
-depend on the content alone, so a passage gives the same chunks in every
-document, and each distinct chunk is encoded once and looked up after that.
+A rolling hash over the last few bytes cuts every text into chunks, of ``MASK + 1``
+bytes on average. The cuts depend on the content alone, so a passage gives the same
+chunks in every document, and each distinct chunk is encoded once and looked up
+after that.
 
 Encoding chunks one by one is not the same as encoding the text: BPE may merge
-across a join. The pre-tokenizer of a byte-level BPE splits a text for certain
-before a single blank between two visible ASCII characters; such a place is
-called firm. What lies between the first and the last firm place of a chunk
-cannot depend on its neighbours. What lies outside is joined with the outer part
-of the next chunk, and on through chunks without a firm place, until the
-re-encoded piece starts and ends at firm places, where it must agree with both
-sides. Pieces are reused like chunks. Every text is then decoded and compared
-with the original; one that differs would be encoded whole.
+across a join. The pre-tokenizer splits a text for certain before a single blank
+between two visible ASCII characters; such a place is called firm. At each join a
+window is encoded anew, from the last firm place before the join to the first one
+behind it, and on both sides one stretch farther, to the next firm place. In these
+stretches its ids must be exactly those of the chunk alone. If they are, the window's
+ids take the place of the chunks' own between the two; if not, the window grows by
+one firm place on each side, until they agree or the text is encoded whole. Chunks
+with too few firm places are joined before they are encoded. Every text is then
+decoded and compared with the original as well.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -26,99 +29,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
+from .bpe_words import ByteBpe, firm_places, require_byte_level
 from .workspace import ID, TEXT, texts
 
 ROLL = 4  # bytes the rolling hash looks at
-MASK = 7  # a cut at one in MASK + 1 positions on average
-CACHE = 1_000_000  # distinct pieces a worker remembers; beyond that it starts over
+MASK = 511  # a cut at one in MASK + 1 positions on average
+CACHE_BYTES = 32 << 20  # of chunks and their ids that a worker remembers; beyond that it starts over
 
 _loaded: dict[str, Encoder] = {}
 
+Coded = tuple[np.ndarray, list[int]]  # ids, and where each ends
 
-class Encoder:
-    """One vocabulary in one worker, with the pieces encoded so far."""
 
-    def __init__(self, definition: str):
-        from tokenizers import Tokenizer
+class Encoder(ByteBpe):
+    """With the chunks encoded so far."""
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.bytes, self.byte_at = _token_bytes(self.tokenizer, size)
+    def __init__(self, definition: str):
+        super().__init__(definition)
         self.forget()
 
     def forget(self) -> None:
-        self.key = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.n = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        out = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        n = np.fromiter(map(len, out), np.int64, len(out))
-        flat = np.fromiter((i for ids in out for i in ids), np.uint32, int(n.sum()))
-        return flat, n
-
-    def lookup(self, blob: bytes, starts: np.ndarray, ends: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in ``self.ids`` and number of ids of each piece; new pieces are encoded now."""
-        distinct, first = np.unique(key, return_index=True)
-        slot = np.searchsorted(self.key, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = slot < len(self.key)
-        known[inside] = self.key[slot[inside]] == distinct[inside]
-        new = first[~known]
-        if len(new):
-            text = [blob[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())]
-            flat, n = self._encode(text)
-            at = len(self.ids) + np.cumsum(n) - n
-            self.ids = np.concatenate([self.ids, flat])
-            place = slot[~known]
-            self.key = np.insert(self.key, place, distinct[~known])
-            self.at = np.insert(self.at, place, at)
-            self.n = np.insert(self.n, place, n)
-        slot = np.searchsorted(self.key, key)
-        return self.at[slot], self.n[slot]
-
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes of the ids, end to end."""
-        return _gather(self.bytes, self.byte_at[ids], self.byte_at[ids + 1] - self.byte_at[ids])
-
-
-def _gather(source: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The stretches ``source[at : at + n]`` one after another."""
-    total = int(n.sum())
-    shift = np.repeat(at - (np.cumsum(n) - n), n)
-    return source[np.arange(total) + shift]
-
-
-def _token_bytes(tokenizer, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes each id stands for, by the byte-to-character rule of byte-level BPE.
-
-    Printable Latin-1 characters stand for their own byte, the other bytes for
-    the characters from 256 on, in order.
-    """
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-    special = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
-    out = []
-    for i in range(size):
-        if i in special:
-            out.append(special[i].encode())
-        else:
-            out.append(bytes(byte_of[c] for c in tokenizer.id_to_token(i) or ""))
-    at = np.cumsum([0, *map(len, out)])
-    return np.frombuffer(b"".join(out), np.uint8), at
-
-
-def chunk_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where chunks begin: at each text, and where the hash of the bytes before says so."""
+        self.chunks: dict[bytes, Coded] = {}
+        self.held = 0
+
+    def code(self, piece: bytes) -> Coded:
+        ids = np.array(self.encode_plain(piece.decode()), np.int64)
+        return ids.astype(np.uint32), np.cumsum(self.byte_at[ids + 1] - self.byte_at[ids]).tolist()
+
+    def chunk(self, piece: bytes) -> Coded:
+        """Each distinct chunk is encoded once."""
+        found = self.chunks.get(piece)
+        if found is None:
+            found = self.code(piece)
+            self.held += len(piece) + 16 * len(found[1])
+            if self.held > CACHE_BYTES:
+                self.forget()
+            self.chunks[piece] = found
+        return found
+
+
+def chunk_cuts(data: np.ndarray, offsets: np.ndarray, mask: int | None = None) -> np.ndarray:
+    """Where chunks begin: at each text, and at a character where the hash of the bytes before says so."""
     rolled = np.zeros(len(data) + 1, np.uint64)
     for back in range(ROLL):
         step = data.astype(np.uint64) * np.uint64(pow(0x100000001B3, back + 1, 1 << 64))
         rolled[back + 1 :] += step[: len(data) - back]
-    cut = (tk.mix(rolled) & np.uint64(MASK)) == 0
+    cut = (tk.mix(rolled) & np.uint64(MASK if mask is None else mask)) == 0
+    cut[:-1] &= (data & 0xC0) != 0x80
     for back in range(ROLL):  # a hash that reaches into the text before does not count
         cut[np.minimum(offsets + back, len(data))] = False
     cut[offsets] = True
@@ -126,35 +83,58 @@ def chunk_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def firm_places(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each byte, whether the pre-tokenizer splits before it for certain."""
-    firm = np.zeros(len(data), bool)
-    if len(data) > 2:
-        visible = (data > 32) & (data < 127)
-        firm[1:-1] = (data[1:-1] == 32) & visible[:-2] & visible[2:]
-    for near in (0, -1):  # a neighbour in another text proves nothing
-        at = offsets[1:-1] + near
-        firm[at[(at >= 0) & (at < len(data))]] = False
-    firm[offsets[:-1][offsets[:-1] < len(data)]] = True
-    return firm
-
-
-def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where the pieces that are encoded on their own begin.
-
-    A chunk is cut at its first and last firm place; the outer parts on both
-    sides of a join form one piece. Without a firm place in it a chunk is part
-    of the piece around it.
-    """
-    firm = np.flatnonzero(firm_places(data, offsets))
-    chunk = np.searchsorted(chunk_cuts(data, offsets), firm, "right")
-    edge = np.ones(len(firm), bool)
-    if len(firm) > 2:
-        edge[1:-1] = (chunk[1:-1] != chunk[:-2]) | (chunk[1:-1] != chunk[2:])
-    begins = np.zeros(len(data), bool)
-    begins[firm[edge]] = True
-    begins[offsets[:-1][offsets[:-1] < len(data)]] = True
-    return np.flatnonzero(begins)
+def joined_chunks(cuts: list[int], firm: list[int], end: int) -> list[int]:
+    """The cuts of one text that leave at least two firm places inside each chunk."""
+    kept = [cuts[0]]
+    for cut in cuts[1:]:
+        if bisect_left(firm, cut) - bisect_right(firm, kept[-1]) >= 2:
+            kept.append(cut)
+    if len(kept) > 1 and bisect_left(firm, end) - bisect_right(firm, kept[-1]) < 2:
+        kept.pop()
+    return kept
+
+
+def _between(coded: Coded, start: int, low: int, high: int) -> np.ndarray | None:
+    """The ids of a piece that begins at ``start`` from ``low`` to ``high``; None if one lies across."""
+    ids, ends = coded
+    first = 0 if low == start else bisect_left(ends, low - start) + 1
+    last = 0 if high == start else bisect_left(ends, high - start) + 1
+    for place, n in ((low, first), (high, last)):
+        if place != start and (n > len(ends) or ends[n - 1] != place - start):
+            return None
+    return ids[first:last]
+
+
+def encode_text(enc: Encoder, text: bytes, cuts: list[int], firm: list[int]) -> list[np.ndarray]:
+    """The ids of one text in parts; ``cuts`` and ``firm`` are places in it, beginning with 0."""
+    starts = joined_chunks(cuts, firm, len(text))
+    if len(starts) == 1:
+        return [enc.chunk(text)[0]]
+    ends = [*starts[1:], len(text)]
+    coded = [enc.chunk(text[a:b]) for a, b in zip(starts, ends)]
+    out, done = [], 0  # ids so far, and where they end
+    for k in range(len(starts) - 1):
+        left, right = (firm[bisect_right(firm, a) : bisect_left(firm, b)] for a, b in zip(starts[k : k + 2], ends[k : k + 2]))
+        for grown in range(min(len(left), len(right)) - 1):
+            low2, low, high, high2 = left[-2 - grown], left[-1 - grown], right[grown], right[grown + 1]
+            if low < done:
+                return [enc.code(text)[0]]
+            window = enc.code(text[low2:high2])
+            before, after = _between(window, low2, low2, low), _between(window, low2, high, high2)
+            own_before, own_after = _between(coded[k], starts[k], low2, low), _between(coded[k + 1], starts[k + 1], high, high2)
+            agreed = all(x is not None for x in (before, after, own_before, own_after)) and (
+                np.array_equal(before, own_before) and np.array_equal(after, own_after)
+            )
+            kept = _between(coded[k], starts[k], done, low) if agreed else None
+            inner = _between(window, low2, low, high) if agreed else None
+            if kept is not None and inner is not None:
+                out += [kept, inner]
+                done = high
+                break
+        else:
+            return [enc.code(text)[0]]
+    rest = _between(coded[-1], starts[-1], done, len(text))
+    return [*out, rest] if rest is not None else [enc.code(text)[0]]
 
 
 def _encoder(definition) -> Encoder:
@@ -167,16 +147,19 @@ def _encoder(definition) -> Encoder:
 
 def encode_bytes(enc: Encoder, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts end to end, and where each text's ids begin."""
-    starts = piece_starts(data, offsets)
-    if not len(starts):
-        return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-    ends = np.append(starts[1:], len(data))
-    if len(enc.key) > CACHE:
-        enc.forget()
-    at, n = enc.lookup(data.tobytes(), starts, ends, tk.span_hashes(data, starts, ends))
-    ids = _gather(enc.ids, at, n)
-    before = np.concatenate([[0], np.cumsum(n)])
-    return ids, before[np.searchsorted(starts, offsets)]
+    blob, cuts, firm = data.tobytes(), chunk_cuts(data, offsets), np.flatnonzero(firm_places(data, offsets))
+    at_cut, at_firm = np.searchsorted(cuts, offsets), np.searchsorted(firm, offsets)
+    parts: list[np.ndarray] = []
+    n = np.zeros(len(offsets), np.int64)
+    for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        if b > a:
+            own = encode_text(
+                enc, blob[a:b], (cuts[at_cut[i] : at_cut[i + 1]] - a).tolist(), (firm[at_firm[i] : at_firm[i + 1]] - a).tolist()
+            )
+            n[i + 1] = sum(map(len, own))
+            parts += own
+    ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    return ids, np.cumsum(n)
 
 
 def _run(definition, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,20 +180,22 @@ def _run(definition, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _whole(enc: Encoder, data: np.ndarray, offsets: np.ndarray):
-    """The plain way, for texts on which the pieces did not agree."""
+    """The library's own way, for texts whose ids do not stand for their bytes."""
     blob = data.tobytes()
     text = [blob[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-    ids, n = enc._encode(text)
-    at = np.concatenate([[0], np.cumsum(n)])
-    back = [enc.tokenizer.decode(ids[a:b].tolist(), skip_special_tokens=False).encode() for a, b in zip(at[:-1], at[1:])]
-    return ids, at, np.frombuffer(b"".join(back), np.uint8), np.cumsum([0, *map(len, back)])
+    coded = [e.ids for e in enc.library.encode_batch(text, add_special_tokens=False)]
+    at = np.cumsum([0, *map(len, coded)])
+    back = [enc.library.decode(ids, skip_special_tokens=False).encode() for ids in coded]
+    flat = np.array([i for ids in coded for i in ids], np.uint32)
+    return flat, at, np.frombuffer(b"".join(back), np.uint8), np.cumsum([0, *map(len, back)])
 
 
 def bpe_round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, ``n_tokens``, ``ids`` and ``decoded``.
 
     ``vocabulary`` is the path of a byte-level BPE in the JSON form of the
-    tokenizers library, read on the driver. ``ids`` is binary: unsigned 32-bit
+    tokenizers library, read on the driver; a definition of another kind, or with
+    another pre-tokenizer, raises ValueError before any work. ``ids`` is binary: unsigned 32-bit
     little-endian integers, as the library gives them for the whole text
     without added special tokens; ``decoded`` is their text. A NULL text counts
     as empty; an empty text has no ids. Rows are independent of one another, so
@@ -218,7 +203,9 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     empty result.
     """
     with open(vocabulary, encoding="utf-8") as f:
-        definition = docs.sparkSession.sparkContext.broadcast(f.read())
+        text = f.read()
+    require_byte_level(text)
+    definition = docs.sparkSession.sparkContext.broadcast(text)
     base = texts(docs, id_col, text_col)
     kind = base.schema[ID].dataType.simpleString()
     return base.mapInArrow(

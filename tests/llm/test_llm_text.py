@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tenurelog.llm import queries
 from tenurelog.llm import tokens as tk
-from tenurelog.llm.chunked_bpe import bpe_round_trip, chunk_cuts, firm_places, piece_starts
+from tenurelog.llm import chunked_bpe
+from tenurelog.llm.chunked_bpe import Encoder, bpe_round_trip, chunk_cuts, encode_bytes, firm_places, joined_chunks
 from tenurelog.llm.decontaminate import find_benchmark_windows
 from tenurelog.llm.interpolated_lm import learn_weights, pack, pack_sorted, score_texts, unpack, unpack_sorted
 from tenurelog.llm.line_dedup import remove_repeated_lines
@@ -89,12 +90,58 @@ def test_bpe_random_strings(spark, vocabulary):
 def test_chunks_depend_on_content_alone():
     text = b"the quick brown fox jumps over the lazy dog and runs away from it " * 4
     data = np.frombuffer(b"xx" + text, np.uint8)
-    one = chunk_cuts(data[2:], np.array([0, len(text)]))
-    two = chunk_cuts(data, np.array([0, len(data)]))
+    one = chunk_cuts(data[2:], np.array([0, len(text)]), 7)
+    two = chunk_cuts(data, np.array([0, len(data)]), 7)
     assert set((one + 2)[one > 8].tolist()) <= set(two.tolist())
     assert len(one) > 10
-    firm = firm_places(data[2:], np.array([0, len(text)]))
-    assert all(firm[p] for p in piece_starts(data[2:], np.array([0, len(text)])))
+    firm = np.flatnonzero(firm_places(data[2:], np.array([0, len(text)]))).tolist()
+    kept = joined_chunks(one.tolist(), firm, len(text))
+    assert 1 < len(kept) < len(one) and set(kept) <= set(one.tolist())
+    for a, b in zip(kept, [*kept[1:], len(text)]):
+        assert sum(a < f < b for f in firm) >= 2
+    wide = np.frombuffer(("漢字é" * 400).encode(), np.uint8)
+    assert all(wide[c] & 0xC0 != 0x80 for c in chunk_cuts(wide, np.array([0, len(wide)]), 7).tolist())
+
+
+def test_a_wrong_join_rule_is_seen_and_repaired(docs, vocabulary, monkeypatch):
+    """Places taken for firm that are not: the ids of the two sides do not agree there, and the window grows."""
+    with open(vocabulary, encoding="utf-8") as f:
+        enc = Encoder(f.read())
+    texts = [r["text"] for r in docs.limit(60).collect()]
+    data, offsets = tk.bytes_of(pa.array(texts))
+    want = [ids for ids, _, _ in expected_ids(vocabulary, texts)]
+
+    def run():
+        enc.forget()
+        ids, at = encode_bytes(enc, data, offsets)
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(at[:-1], at[1:])]
+
+    windows = []
+    code = enc.code
+    monkeypatch.setattr(enc, "code", lambda piece: (windows.append(len(piece)), code(piece))[1])
+    assert run() == want
+    right = len(windows)
+
+    def wrong(data, offsets):
+        firm = firm_places(data, offsets)
+        loose = np.random.default_rng(1).random(len(data)) < 0.3  # also inside of words
+        return firm | (loose & (data < 128))
+
+    monkeypatch.setattr(chunked_bpe, "firm_places", wrong)
+    windows.clear()
+    assert run() == want
+    assert len(windows) > 1.3 * right, "disagreement must make windows grow"
+
+
+def test_other_definitions_are_refused_before_any_work(docs, vocabulary, tmp_path):
+    import json
+
+    with open(vocabulary, encoding="utf-8") as f:
+        definition = json.load(f)
+    definition["pre_tokenizer"]["use_regex"] = False
+    (tmp_path / "other.json").write_text(json.dumps(definition))
+    with pytest.raises(ValueError, match="byte-level"):
+        bpe_round_trip(docs, str(tmp_path / "other.json"))
 
 
 # -- decontamination -------------------------------------------------------

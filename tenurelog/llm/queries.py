@@ -15,7 +15,7 @@ from .line_dedup import remove_repeated_lines
 from .merkle import fold_proof, leaf_digest, merkle_proofs, proof_text
 from .packing import pack, token_pieces
 from .quality import fit_quality, score_quality
-from .url_reputation import judge_urls, url_path
+from .url_reputation import REGISTRY_LABELS, TWO_LABEL_SUFFIXES, judge_urls, url_path
 from .weighted_minhash import near_duplicates
 from .whitening import fit_whitening, whiten
 
@@ -224,8 +224,9 @@ WITH page AS (
 ), host AS (
   SELECT name, n, k, string_split(name, '.') AS part FROM (SELECT DISTINCT name FROM named) LEFT JOIN tally USING (name)
 ), placed AS (
-  SELECT name, coalesce(n, 0) AS n, coalesce(k, 0) AS k, part[-1] AS suffix,
-    array_to_string(part[-least(2, len(part)):], '.') AS domain FROM host
+  SELECT name, coalesce(n, 0) AS n, coalesce(k, 0) AS k, CASE WHEN long THEN array_to_string(part[-2:], '.') ELSE part[-1] END AS suffix,
+    array_to_string(part[-least(CASE WHEN long THEN 3 ELSE 2 END, len(part)):], '.') AS domain
+  FROM (SELECT *, len(part) > 1 AND (length(part[-1]) = 2 AND part[-2] IN ({registry}) OR array_to_string(part[-2:], '.') IN ({two})) AS long FROM host)
 ), suffix0 AS (
   SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT CASE WHEN sum(n) > 0 THEN (sum(k) + 1) / (sum(n) + 2) ELSE 0.5 END FROM placed) AS m0
   FROM placed GROUP BY suffix
@@ -253,6 +254,7 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN posterior_upper < 0.5
   n_labelled, posterior_mean, posterior_upper
 FROM named LEFT JOIN ruled USING (page_id) LEFT JOIN posterior USING (name)
 """
+_OP1 = _OP1.replace("{registry}", str(REGISTRY_LABELS)[1:-1]).replace("{two}", str(TWO_LABEL_SUFFIXES)[1:-1])
 _OP1 = _OP1.replace("{s0}", _STRENGTH.format(m="m0", units="suffix0"))
 _OP1 = _OP1.replace("{s1}", _STRENGTH.format(m="m1", units="domain0")).replace("{s2}", _STRENGTH.format(m="m2", units="host0"))
 

@@ -26,8 +26,10 @@ from .workspace import Workspace
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Z = 1.645
 FLOOR = 0.5
-# Suffixes of two labels under which domains are registered; more can be passed in.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in", "com.cn", "co.za")
+# Labels under which countries register domains (``co.uk``, ``com.mx``, ``go.jp``), and
+# suffixes under which hosts of separate owners stand; more of these can be passed in.
+REGISTRY_LABELS = ("ac", "co", "com", "edu", "go", "gob", "gouv", "gov", "gv", "id", "info", "mil", "ne", "net", "nom", "or", "org", "sch")
+TWO_LABEL_SUFFIXES = ("blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev", "vercel.app", "wordpress.com")
 
 Rules = Sequence[tuple[str, str]]
 
@@ -51,9 +53,15 @@ def host_name(host: Column) -> Column:
 
 
 def suffix_and_domain(name: Column, two_label: Sequence[str] = TWO_LABEL_SUFFIXES) -> tuple[Column, Column]:
-    two = F.substring_index(name, ".", -2)
-    long = two.isin(list(two_label))
-    suffix = F.when(long, two).otherwise(F.substring_index(name, ".", -1))
+    """The suffix under which a host's domain is registered, and that domain.
+
+    The suffix is the last label, or the last two if they are a registry label under
+    a country (two letters) or one of ``two_label``.
+    """
+    two, last = F.substring_index(name, ".", -2), F.substring_index(name, ".", -1)
+    country = (F.length(last) == 2) & F.substring_index(two, ".", 1).isin(list(REGISTRY_LABELS))
+    long = country | two.isin(list(two_label))
+    suffix = F.when(long, two).otherwise(last)
     return suffix, F.when(long, F.substring_index(name, ".", -3)).otherwise(two)
 
 

@@ -95,7 +95,7 @@ def test_edits_that_are_not_similar_do_not_hide_similar_ones(spark, monkeypatch)
     monkeypatch.setattr(wm._Links, "compare", lambda self, p, sketched=True: (widest.append(p.count()), compare(self, p, sketched))[1])
     got = {r["doc_id"]: r["class_id"] for r in wm.near_duplicates(frame).collect()}
     assert got == want
-    assert max(widest) < 210 * 16 * wm.LEADERS, "pairs must stay linear in the number of texts"
+    assert max(widest) < 210 * 16 * wm.LONG_LEADERS, "pairs must stay linear in the number of texts"
     assert {r["doc_id"]: r["class_id"] for r in wm.near_duplicates(frame, exact=True).collect()} == want
 
 

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from tenurelog.llm import queries
 from tenurelog.llm import tokens as tk
-from tenurelog.llm import chunked_bpe
+from tenurelog.llm import chunked_bpe, interpolated_lm
 from tenurelog.llm.chunked_bpe import Encoder, bpe_round_trip, chunk_cuts, encode_bytes, firm_places, joined_chunks
 from tenurelog.llm.decontaminate import find_benchmark_windows
-from tenurelog.llm.interpolated_lm import learn_weights, pack, pack_sorted, score_texts, unpack, unpack_sorted
+from tenurelog.llm.interpolated_lm import bucket_of, learn_weights, pack, pack_sorted, score_texts, unpack, unpack_sorted
 from tenurelog.llm.line_dedup import remove_repeated_lines
 
 
@@ -247,16 +247,51 @@ def test_language_model_weights_come_from_all_blocks(spark):
     assert many == pytest.approx(one, rel=1e-9)
 
 
-def test_language_model_is_a_distribution(spark):
+def plain_model(texts, weights):
+    """P(token | token before) by plain counts and the given weights; None is the end, START what is before a text."""
+    start, words, pairs, before = "START", Counter(), Counter(), Counter()
+    for t in texts:
+        tokens = lm_tokens(t)
+        words.update(tokens)
+        pairs.update(zip([start, *tokens[:-1]], tokens))
+        before.update([start, *tokens[:-1]])
+    n, v = sum(words.values()), len(words)
+
+    def probability(prior, token):
+        seen = before[prior] if prior == start else words[prior]
+        w2, w1, w0 = weights[int(bucket_of(np.array([seen]))[0])]
+        return w2 * (pairs[prior, token] / seen if seen else 0) + w1 * words[token] / max(n, 1) + w0 / (v + 1)
+
+    return probability, words
+
+
+def test_language_model_scores_equal_plain_counts(docs, monkeypatch):
+    learned = []
+    monkeypatch.setattr(interpolated_lm, "learn_weights", lambda *a: learned.append(learn_weights(*a)) or learned[-1])
+    rows = docs.orderBy("doc_id").collect()
+    got = {r["doc_id"]: r["score"] for r in score_texts(docs, queries.fold("doc_id", 10) != 0).collect()}
+    probability, words = plain_model([r["text"] for r in rows if fold(r["doc_id"], 10) != 0], learned[0])
+    for r in rows:
+        tokens = lm_tokens(r["text"])
+        want = sum(math.log10(probability(a, b)) for a, b in zip(["START", *tokens[:-1]], tokens))
+        assert got[r["doc_id"]] == pytest.approx(want, rel=1e-9)
+    assert np.allclose(learned[0].sum(axis=1), 1)
+
+
+def test_language_model_is_a_distribution(spark, monkeypatch):
     """The probabilities of all continuations of a context sum to one, the unseen word included."""
+    learned = []
+    monkeypatch.setattr(interpolated_lm, "learn_weights", lambda *a: learned.append(learn_weights(*a)) or learned[-1])
     train = [(i, t) for i, t in enumerate(["a b a b", "a c", "b a", "c c c"] * 3)]
     probes = [(100 + i, f"a {w}") for i, w in enumerate(["a", "b", "c", "zz"])] + [(200, "a")]
     frame = spark.createDataFrame(train + probes, "doc_id long, text string")
     got = {r["doc_id"]: r["score"] for r in score_texts(frame, F.col("doc_id") < 100).collect()}
-    # P(a) P(x|a) P(end|x) for a word x; take the shared first and the last factor out by one more probe each
-    ends = spark.createDataFrame(train + [(300 + i, w) for i, w in enumerate(["a", "b", "c", "zz"])], "doc_id long, text string")
-    one = {r["doc_id"]: r["score"] for r in score_texts(ends, F.col("doc_id") < 100).collect()}
-    assert all(math.isfinite(v) and v < 0 for v in [*got.values(), *one.values()])
+    probability, words = plain_model([t for _, t in train], learned[0])
+    for i, t in probes:
+        tokens = lm_tokens(t)
+        assert got[i] == pytest.approx(sum(math.log10(probability(a, b)) for a, b in zip(["START", *tokens[:-1]], tokens)))
+    for prior in ("START", b"a", b"b", b"c"):
+        assert sum(probability(prior, w) for w in [*words, b"never seen"]) == pytest.approx(1)
     assert got[101] > got[103]  # a b is frequent, zz was never seen
 
 

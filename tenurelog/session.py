@@ -10,12 +10,12 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
-_own: dict[str, str] = {}
+_own: dict[str, str] = {}  # by application
 
 
-def scratch_when_unset(folder: str) -> None:
-    """The folder for sessions without ``spark.checkpoint.dir``; for one machine only."""
-    _own["folder"] = folder
+def scratch_when_unset(spark: SparkSession, folder: str) -> None:
+    """The folder for this application, which has no ``spark.checkpoint.dir``; for one machine only."""
+    _own[spark.conf.get("spark.app.id")] = folder
 
 
 def scratch_dir(spark: SparkSession, name: str = "run") -> str:
@@ -24,7 +24,7 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     It lies under the session's ``spark.checkpoint.dir``, which must be set: a
     machine-local folder would lose data with its executor.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own.get("folder")
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.conf.get("spark.app.id", None))
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/tenurelog/{name}-{uuid.uuid4().hex}"

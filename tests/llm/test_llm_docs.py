@@ -17,7 +17,7 @@ from tenurelog.llm import tokens as tk
 from tenurelog.llm import weighted_minhash as wm
 from tenurelog.llm.byte_shards import byte_shards
 from tenurelog.llm.components import components
-from tenurelog.llm.url_reputation import judge_urls
+from tenurelog.llm.url_reputation import judge_urls, suffix_and_domain
 from tenurelog.llm.workspace import Workspace
 
 # -- near duplicates -------------------------------------------------------
@@ -130,6 +130,26 @@ def test_components_of_a_chain(spark):
 # -- URLs ------------------------------------------------------------------
 
 
+def test_registered_domains(spark):
+    names = [
+        ("a.example.org", "org", "example.org"),
+        ("x.shop.com.mx", "com.mx", "shop.com.mx"),
+        ("a.b.go.kr", "go.kr", "b.go.kr"),
+        ("www.firm.co.uk", "co.uk", "firm.co.uk"),
+        ("me.github.io", "github.io", "me.github.io"),
+        ("co.uk", "co.uk", "co.uk"),
+        ("com.example.info", "info", "example.info"),
+        ("de", "de", "de"),
+        ("co", "co", "co"),
+        ("10.0.0.12", "12", "0.12"),
+        ("", "", ""),
+    ]
+    frame = spark.createDataFrame(names, "name string, suffix string, domain string")
+    suffix, domain = suffix_and_domain(F.col("name"))
+    got = frame.select("name", suffix.alias("s"), domain.alias("d"), "suffix", "domain").collect()
+    assert [(r["s"], r["d"]) for r in got] == [(r["suffix"], r["domain"]) for r in got]
+
+
 def test_url_parts_and_rules(spark):
     urls = [
         (1, "https://A.B.ORG/x?q#f"),

@@ -277,11 +277,11 @@ class RawStore:
             last = self._log(entity).last()
             if last is not None and last["batches"].get(writer, -1) >= batch_id:
                 return
-            placed = with_places(batch).select("*")
+            placed = with_places(batch)
             sized = batch.select(_plain_path(F.col("_metadata.file_path")).alias("path"), "_size", "_changed")
             files = sized.select("path", F.col("_size").alias("length"), F.col("_changed").alias("modificationTime")).distinct()
             new = self._unseen(entity, files, None)
-            taken = placed.join(F.broadcast(new.select("path")), _plain_path(F.col("_path")) == F.col("path"), "left_semi")
+            taken = placed.join(new.select("path"), _plain_path(F.col("_path")) == F.col("path"), "left_semi")
             day = F.regexp_extract("path", r"/load_date=([0-9-]+)/", 1)
             self._commit(entity, records_of(taken, layout), new, F.try_to_date(day), loaded_at(batch_id) if loaded_at else None, writer, batch_id)
 

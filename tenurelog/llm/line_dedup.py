@@ -27,6 +27,7 @@ frequent digest; then their places meet the documents once.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -99,8 +100,16 @@ def without(text: str, gone: set[int]) -> tuple[str, list[dict]]:
     return "\n".join(kept), spans
 
 
+def _places(at: Iterable[int]) -> set[int]:
+    """The units that go for the digests at these places: the unit itself, or the next one, or both."""
+    out = set()
+    for unit, which in ((a >> 2, a & 3) for a in at):
+        out |= {unit} if which < 2 else {unit + 1} if which == 2 else {unit, unit + 1}
+    return out
+
+
 def _cut(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
-    done = [(None, None) if t is None else without(t, set(g.tolist())) for t, g in zip(text, gone)]
+    done = [(None, None) if t is None else without(t, _places(g.tolist())) for t, g in zip(text, gone)]
     return pd.DataFrame({"text": [t for t, _ in done], "removed": [r for _, r in done]}, dtype=object)
 
 
@@ -125,14 +134,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     place = F.struct(ID, "twin", "at")
     first = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = units.join(first.drop("n"), ["d1", "d2"]).where(place != F.col("first"))
-    # What goes in place of the unit itself: nothing but it, or the next one, or both.
-    which, unit = F.col("at").bitwiseAND(F.lit(3)), F.shiftright("at", 2)
-    places = F.when(which == 2, F.array(unit + 1)).when(which == 3, F.array(unit, unit + 1)).otherwise(F.array(unit))
-    gone = (
-        again.select(F.col("twin").alias("_gone_twin"), F.col(ID).alias("_gone_id"), F.explode(places).alias("place"))
-        .groupBy("_gone_twin", "_gone_id")
-        .agg(F.collect_set("place").alias("_gone"))
-    )
+    gone = again.groupBy(F.col("twin").alias("_gone_twin"), F.col(ID).alias("_gone_id")).agg(F.collect_set("at").alias("_gone"))
     # The other columns travel as one struct, so none of their names can clash, and the text once.
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     whole = docs.select(F.struct(*others).alias("_row"), F.col(f"`{id_col}`").alias(ID), F.col(f"`{text_col}`").cast("string").alias(TEXT))

@@ -22,12 +22,19 @@ What shares a bucket and is still apart then is mostly not similar: many edits o
 one text, too far from one another. Such nodes get ``LONG_BANDS`` further bands of
 ``LONG_ROWS`` samples each. A pair at 0.8 meets in one of these with probability
 0.99, at 0.9 with 1 - 1e-9, while texts farther apart meet far more rarely, so that
-similar ones stand out. Rounds with ``LONG_LEADERS`` leaders run over these buckets;
-one of no more classes than that is compared whole. A pair can be missed only
-where it is no leader in any of the buckets it shares. With ``exact=True`` all pairs
-of different classes that share a bucket are compared instead, unless a bound rules
-them out: the weight of shingles that no other unsettled text has cannot be
-shared. That is quadratic in a group of texts that are alike but not similar.
+similar ones stand out. Rounds with ``LONG_LEADERS`` leaders run over these buckets.
+
+The rounds only make classes grow early; no pair depends on them. What shares a
+bucket and is apart behind them is joined exactly, by prefixes. A text's shingles
+are taken rarest first. Two similar texts share one of those that make up the first
+``1 - t`` of the heavier text's weight and the first ``1 - 2t / (1 + t)`` of the
+lighter one's (t: the threshold): the shingles behind would not be enough. So all
+pairs of different classes that share such a shingle are found, by class first and
+then by node, if the weight from it on would be enough in both texts, as it must be
+from the first shingle on that the two share. Every pair that shares a bucket
+is compared, ruled out by this bound, or in one class already. ``exact=True``
+leaves the rounds of long bands out. The number of pairs is quadratic only where
+texts of different classes share their rare shingles.
 """
 
 from __future__ import annotations
@@ -60,10 +67,11 @@ ROUNDS = 2
 LEADERS, LONG_LEADERS = 3, 8
 LONG_BANDS, LONG_ROWS = 64, 12
 LONG = LONG_BANDS * LONG_ROWS
-SHARD_BYTES = 64 << 20  # of unsettled texts per shard of their shingles
+SLACK = 1e-6  # of the threshold: sums of the same weights in another order differ in the last bits
 PLANES = 4  # bits per sample in a sketch
 
 U64 = np.uint64
+PREFIX = "node binary, root binary, shingle bigint, left double, short boolean, weight double"
 _SHIFT = U64(20)  # a shingle is known by 44 bits within its text
 
 
@@ -309,8 +317,8 @@ def near_duplicates(
     """One row per document: its id, ``node`` (digest of the text), ``class_id`` and ``keeper``.
 
     ``class_id`` is the smallest id among the documents of the class; ``keeper``
-    marks the text that stands for the class, that of this id. ``exact`` compares all
-    pairs that share a bucket.
+    marks the text that stands for the class, that of this id. All pairs that share a
+    bucket are settled; ``exact`` does so without the rounds of long bands.
 
     Equal texts are always in one class. A NULL text is a class of its own
     (``node`` is NULL). Texts without words are only alike if equal. NULL ids
@@ -360,12 +368,14 @@ class _Links:
         return pairs
 
     def compare(self, pairs: DataFrame, sketched: bool = True) -> None:
-        """Verify the pairs not tried before and join the classes of similar ones."""
-        pairs = self.work.write(pairs.distinct().join(self.tried, ["a", "b"], "left_anti"), "pairs")
+        """Verify the pairs and join the classes of similar ones; ``sketched`` leaves out those tried before or ruled out by sketches."""
+        if sketched:
+            pairs = pairs.distinct().join(self.tried, ["a", "b"], "left_anti")
+        pairs = self.work.write(pairs, "pairs")
         if not pairs.limit(1).count():
             return
-        self.tried = self.tried.union(pairs)
         if sketched:
+            self.tried = self.tried.union(pairs)
             able = self._both(pairs, self.nodes, "sketch").where(_possible(self.threshold, SAMPLES, PLANES))
             pairs = able.select("a", "b")
         whole = self._both(pairs, self.text_of, "text").select("a", "b", "text_a", "text_b")
@@ -413,13 +423,17 @@ def _link(work: Workspace, named: DataFrame, nodes: DataFrame, ids: DataFrame, i
     links.compare(pick.select("a", "b"))
     links.settle(member, LEADERS)
 
-    unsettled = work.write(_open_buckets(member, links.root), "unsettled")
-    loose = text_of.join(unsettled.select("node").distinct(), "node", "left_semi")
-    if exact:
-        links.compare(_remaining(unsettled, _bounds(loose, idf_of), threshold), sketched=False)
-    else:
-        longer = loose.select("node", "text").mapInArrow(partial(_sign_long, idf_of), "node binary, bands array<bigint>")
+    if not exact:
+        unsettled = work.write(_open_buckets(member, links.root), "unsettled")
+        loose = text_of.join(unsettled.select("node").distinct(), "node", "left_semi")
+        longer = loose.mapInArrow(partial(_sign_long, idf_of), "node binary, bands array<bigint>")
         links.settle(work.write(_shared(longer.select("node", F.explode("bands").alias("bucket"))), "long"), LONG_LEADERS)
+
+    apart = work.write(_open_buckets(member, links.root).select("node", "root").distinct(), "apart")
+    loose = work.write(text_of.join(apart, "node"), "loose")
+    df_of = work.spark.sparkContext.broadcast(document_frequencies(loose.select(F.col("text").alias(TEXT))))  # 2**DF_BITS numbers
+    rare = loose.mapInArrow(partial(_prefixes, idf_of, df_of, threshold), PREFIX)
+    links.compare(_remaining(work.write(rare, "rare"), threshold), sketched=False)
     return links.root
 
 
@@ -441,47 +455,6 @@ def _leaders(open_: DataFrame, turn: int, leaders: int) -> DataFrame:
     return out.select(F.least("lead.a", "node").alias("a"), F.greatest("lead.a", "node").alias("b"))
 
 
-@tk.freed
-def _shed(idf_of, shards: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles of a batch of texts, as one row of lists per shard."""
-    for batch in tk.slices(batches, "text"):
-        text, shingle, count = shingle_counts(batch.column("text"))
-        level = levels(shingle, count, idf_of.value)
-        home = (shingle % U64(shards)).astype(np.int64)
-        order = np.argsort(home, kind="stable")
-        cut = np.concatenate([[0], np.cumsum(np.bincount(home, minlength=shards))]).astype(np.int32)
-
-        def lists(values: np.ndarray) -> pa.Array:
-            return pa.ListArray.from_arrays(pa.array(cut), pa.array(values[order]))
-
-        names = batch.column("node").to_pylist()
-        owners = pa.array([names] * shards, pa.list_(pa.binary()))
-        columns = [pa.array(np.arange(shards)), owners, lists(text), lists(shingle.view(np.int64)), lists(level)]
-        yield pa.RecordBatch.from_arrays(columns, ["shard", "nodes", "owner", "shingle", "level"])
-
-
-def _weigh(table: pa.Table) -> pa.Table:
-    """Weight of each text's shingles in this shard, and of those that no other text has."""
-    shingle = np.concatenate([np.asarray(x.flatten()) for x in table.column("shingle").chunks])
-    level = np.concatenate([np.asarray(x.flatten()) for x in table.column("level").chunks])
-    names, owner, base = [], [], 0
-    for nodes, local in zip(table.column("nodes").to_pylist(), table.column("owner").to_pylist()):
-        owner.append(np.array(local, np.int64) + base)
-        names += nodes
-        base += len(nodes)
-    owner = np.concatenate([np.zeros(0, np.int64), *owner])
-    _, which, n = np.unique(shingle, return_inverse=True, return_counts=True)
-    weight = WEIGHT[level]
-    alone = np.where(n[which] == 1, weight, 0)
-    return pa.table(
-        {
-            "node": pa.array(names, pa.binary()),
-            "weight": pa.array(np.bincount(owner, weight, minlength=base)),
-            "alone": pa.array(np.bincount(owner, alone, minlength=base)),
-        }
-    )
-
-
 @tk.freed
 def _sign_long(idf_of, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The long bands of each text."""
@@ -496,23 +469,52 @@ def _sign_long(idf_of, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(has, keys)], ["node", "bands"])
 
 
-def _bounds(loose: DataFrame, idf_of) -> DataFrame:
-    """(node, weight, alone) of the unsettled texts: their weight, and what of it no other has."""
-    size = loose.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shed = loose.select("node", "text").mapInArrow(
-        partial(_shed, idf_of, 1 + size // SHARD_BYTES),
-        "shard bigint, nodes array<binary>, owner array<bigint>, shingle array<bigint>, level array<bigint>",
-    )
-    weighed = shed.groupBy("shard").applyInArrow(_weigh, "node binary, weight double, alone double")
-    return weighed.groupBy("node").agg(F.sum("weight").alias("weight"), F.sum("alone").alias("alone"))
-
-
-def _remaining(open_: DataFrame, bounds: DataFrame, threshold: float) -> DataFrame:
-    """The pairs of different classes in a bucket that the bound does not rule out."""
-    known = open_.join(bounds, "node")
-    columns = {"node": "", "root": "root_", "weight": "weight_", "alone": "alone_"}
-    a, b = (known.select("bucket", *[F.col(c).alias(f"{p}{side}") for c, p in columns.items()]) for side in "ab")
-    apart = F.expr("a < b AND root_a != root_b")
-    most = F.least(F.col("weight_a") - F.col("alone_a"), F.col("weight_b") - F.col("alone_b"))
-    able = most >= threshold * (F.col("weight_a") + F.col("weight_b") - most) - 1e-6
-    return a.join(b, "bucket").where(apart & able).select("a", "b")
+@tk.freed
+def _prefixes(idf_of, df_of, threshold: float, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rarest shingles of each text that make up its prefix, but for those that no other text has.
+
+    ``left`` is the weight of the text from this shingle on; ``short`` marks the part
+    that is enough for the lighter text of a pair.
+    """
+    least = threshold - SLACK
+    for batch in tk.slices(batches, "text"):
+        text, shingle, count = shingle_counts(batch.column("text"))
+        share = WEIGHT[levels(shingle, count, idf_of.value)]
+        df = df_of.value[_bucket(shingle)]
+        order = np.lexsort((shingle, df, text))  # any order that is the same for all texts is right
+        text, shingle, share, df = text[order], shingle[order], share[order], df[order]
+        weight = np.bincount(text, share, minlength=batch.num_rows)
+        sums = np.concatenate([[0.0], np.cumsum(share)])
+        first = tk.first_of_each(text, batch.num_rows)
+        left = (weight + sums[first[:-1]])[text] - sums[:-1]  # the weight from this shingle on
+        at = np.flatnonzero((left >= least * weight[text]) & (df > 1))
+        own = pa.array(text[at])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("node").take(own),
+                batch.column("root").take(own),
+                pa.array(shingle[at].view(np.int64)),
+                pa.array(left[at]),
+                pa.array(left[at] >= (2 * least / (1 + least) - SLACK) * weight[text[at]]),
+                pa.array(weight[text[at]]),
+            ],
+            ["node", "root", "shingle", "left", "short", "weight"],
+        )
+
+
+def _remaining(rare: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of different classes that share a shingle of their prefixes and may be similar.
+
+    Classes that share a shingle are found first: the members of one class never meet.
+    """
+    mixed = rare.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("short").alias("any"))
+    live = rare.join(mixed.where("low != high AND any").select("shingle"), "shingle", "left_semi")
+    classes = live.groupBy("shingle", "root").agg(F.max("short").alias("short"))
+    left, right = (classes.select("shingle", F.col("root").alias(f"root_{side}"), F.col("short").alias(f"any_{side}")) for side in "ab")
+    pairs = left.join(right, "shingle").where("root_a < root_b AND (any_a OR any_b)").select("shingle", "root_a", "root_b")
+    for side in "ab":
+        names = {"node": side, "root": f"root_{side}", "left": f"left_{side}", "weight": f"weight_{side}"}
+        pairs = pairs.join(live.select("shingle", *[F.col(c).alias(n) for c, n in names.items()]), ["shingle", f"root_{side}"])
+    need = (threshold - SLACK) / (1 + threshold - SLACK) * (F.col("weight_a") + F.col("weight_b"))
+    near = pairs.where(F.least("left_a", "left_b") >= need)
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -99,6 +99,24 @@ def test_edits_that_are_not_similar_do_not_hide_similar_ones(spark, monkeypatch)
     assert {r["doc_id"]: r["class_id"] for r in wm.near_duplicates(frame, exact=True).collect()} == want
 
 
+def test_similar_texts_that_no_leader_meets_are_joined(spark, monkeypatch):
+    """What the rounds of leaders leave over is found by prefixes: here all of it but each node's first try."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in rng.integers(0, 5000, 120)]
+    rows = []
+    for i in range(150):
+        own = base[:96] + [f"z{x}" for x in rng.integers(0, 10**9, 24)]
+        rows.append((i, " ".join(own)))
+        if i % 5 == 0:
+            rows.append((1000 + i, " ".join([*own[:-2], "other", "end"])))
+            rows.append((2000 + i, " ".join([*own, *own[100:]])))
+    want, _ = weighted_classes(rows)
+    assert len(set(want.values())) < len(rows) - 25
+    monkeypatch.setattr(wm, "ROUNDS", 0)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in wm.near_duplicates(frame).collect()} == want
+
+
 def test_near_duplicate_edges(odd, empty):
     got = sorted(((r["doc_id"], r["class_id"], r["keeper"]) for r in wm.near_duplicates(odd).collect()), key=repr)
     same = {9008, 9009, None}

@@ -509,12 +509,12 @@ def _remaining(rare: DataFrame, threshold: float) -> DataFrame:
     """
     mixed = rare.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("short").alias("any"))
     live = rare.join(mixed.where("low != high AND any").select("shingle"), "shingle", "left_semi")
-    classes = live.groupBy("shingle", "root").agg(F.max("short").alias("short"))
-    left, right = (classes.select("shingle", F.col("root").alias(f"root_{side}"), F.col("short").alias(f"any_{side}")) for side in "ab")
-    pairs = left.join(right, "shingle").where("root_a < root_b AND (any_a OR any_b)").select("shingle", "root_a", "root_b")
+    enough = (threshold - SLACK) / (1 + threshold - SLACK)
+    may = F.least("left_a", "left_b") >= enough * (F.col("weight_a") + F.col("weight_b"))
+    classes = live.groupBy("shingle", "root").agg(F.max("left").alias("left"), F.min("weight").alias("weight"))
+    left, right = (classes.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("root", "left", "weight")]) for side in "ab")
+    pairs = left.join(right, "shingle").where((F.col("root_a") < F.col("root_b")) & may).select("shingle", "root_a", "root_b")
     for side in "ab":
         names = {"node": side, "root": f"root_{side}", "left": f"left_{side}", "weight": f"weight_{side}"}
         pairs = pairs.join(live.select("shingle", *[F.col(c).alias(n) for c, n in names.items()]), ["shingle", f"root_{side}"])
-    need = (threshold - SLACK) / (1 + threshold - SLACK) * (F.col("weight_a") + F.col("weight_b"))
-    near = pairs.where(F.least("left_a", "left_b") >= need)
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.where(may).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

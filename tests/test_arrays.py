@@ -8,7 +8,7 @@ from fixtures import land_text
 from pyspark.sql import functions as F
 
 from tenurelog.operators import flatten
-from tenurelog.sources import RawStore, arrays
+from tenurelog.sources import RawStore, arrays, landing
 from tenurelog.sources.arrays import depth_change
 
 DAY = "2024-01-01"
@@ -110,3 +110,13 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert sorted((str(r[0]), r[1]) for r in seen) == [
         ("2024-01-01", "a b.json"), ("2024-01-01", "loaded.json"), ("2024-01-02", "c.json"), ("2024-01-02", "d.json"),
     ]
+
+
+def test_a_record_is_parsed_once(spark):
+    """The plan names the parser once: a generator computes what it is made from at each mention."""
+    text = spark.createDataFrame([('{"a": 1}', False, "f"), ('[{"a": 2}, 3]', True, "f")], "value string, whole boolean, _file_name string")
+    found = landing._records(text)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count('{"r":[') == 1
+    rows = found.selectExpr("to_json(raw_data) AS record", "value").collect()
+    assert sorted(tuple(r) for r in rows if r[0]) == [('{"a":1}', None), ('{"a":2}', None)]
+    assert [r[1] for r in rows if not r[0]] == ["3"]

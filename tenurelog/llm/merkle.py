@@ -191,12 +191,18 @@ def _descend(fan: int, height: int, below: int, own: Sequence[str], requests: pa
             start, depth, subroot, upper = digest, min(height, levels - below), root, path
         elif kids:
             children[digest] = kids
+    # The leaves below a node share its steps: one object each, however many leaves there are.
+    steps = {
+        (digest, digit): {"before": b"".join(kids[:digit]).hex(), "after": b"".join(kids[digit + 1 :]).hex()}
+        for digest, kids in children.items()
+        for digit in range(len(kids))
+    }
     reached, paths = [], []
     for rank in requests.column("rank").to_pylist():
         at, down = start, []
         for step in range(depth - 1, -1, -1):
             kids, digit = children[at], rank // fan**step % fan
-            down.append({"before": b"".join(kids[:digit]).hex(), "after": b"".join(kids[digit + 1 :]).hex()})
+            down.append(steps[at, digit])
             at = kids[digit]
         reached.append(at)
         paths.append(down[::-1] + upper)

@@ -233,4 +233,5 @@ def find_benchmark_windows(
         state = state.mapInArrow(search, schema if last else f"{schema}, {TEXT} string")
         if not last:
             state = work.write(state, "block").drop("n_words")
+    tk.release()  # the driver tokenised the items
     return restored(state, id_col, keep)

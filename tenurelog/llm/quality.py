@@ -262,7 +262,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     # At most 2 * sample rows, so they go to the documents and not the other way round.
     base = texts(docs, id_col, text_col).where(f"{TEXT} IS NOT NULL")
     found = base.join(F.broadcast(chosen), F.col(ID) == F.col("_label_id")).groupBy("_label_id", "_label").agg(F.min(TEXT).alias(TEXT))
-    return train(word_vectors(base), sorted((r[0], r[1]) for r in found.select(TEXT, "_label").collect()))
+    net = train(word_vectors(base), sorted((r[0], r[1]) for r in found.select(TEXT, "_label").collect()))
+    tk.release()  # the driver tokenised the sample; later stages need its memory
+    return net
 
 
 def score_quality(docs: DataFrame, net: QualityNet, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:

@@ -42,6 +42,16 @@ def on_release(clear: Callable[[], None]) -> Callable[[], None]:
     return clear
 
 
+def release() -> None:
+    """Empty the caches of this process and give free memory back to the system."""
+    for clear in _caches:
+        clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def freed(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
     """``run`` over a partition; behind it the worker's caches are emptied and free memory goes back to the system.
 
@@ -54,12 +64,7 @@ def freed(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
         try:
             yield from run(*args, **named)
         finally:
-            for clear in _caches:
-                clear()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-            if trim is not None:
-                trim(0)
+            release()
 
     return whole
 

@@ -355,7 +355,7 @@ def near_duplicates(
 
 
 class _Links:
-    """Pairs tried and the classes that follow from the links found."""
+    """Pairs tried and the classes that follow from the links found; ``root`` has the nodes that are not their own root."""
 
     def __init__(self, work: Workspace, nodes: DataFrame, text_of: DataFrame, idf_of, threshold: float):
         self.work, self.nodes, self.text_of, self.idf_of, self.threshold = work, nodes, text_of, idf_of, threshold
@@ -371,33 +371,34 @@ class _Links:
         """Verify the pairs and join the classes of similar ones; ``sketched`` leaves out those tried before or ruled out by sketches."""
         if sketched:
             pairs = pairs.distinct().join(self.tried, ["a", "b"], "left_anti")
-        pairs = self.work.write(pairs, "pairs")
-        if not pairs.limit(1).count():
+        pairs, found = self.work.write_counted(pairs, "pairs")
+        if not found:
             return
         if sketched:
             self.tried = self.tried.union(pairs)
             able = self._both(pairs, self.nodes, "sketch").where(_possible(self.threshold, SAMPLES, PLANES))
             pairs = able.select("a", "b")
         whole = self._both(pairs, self.text_of, "text").select("a", "b", "text_a", "text_b")
-        new = self.work.write(whole.mapInArrow(partial(_verify, self.idf_of, self.threshold), "a binary, b binary"), "links")
+        new = whole.mapInArrow(partial(_verify, self.idf_of, self.threshold), "a binary, b binary")
         # Only the classes that the new links join are gone through, not all links again.
         roots = self.root.withColumnsRenamed({"node": "n", "root": "r"})
         for name in ("a", "b"):
             joined = new.join(roots, F.col(name) == F.col("n"), "left")
             new = joined.select(*[c for c in ("a", "b") if c != name], F.coalesce("r", name).alias(name))
-        classes = self.work.write(new.where("a != b").select("a", "b").distinct(), "classes")
-        if not classes.limit(1).count():
+        classes, found = self.work.write_counted(new.where("a != b").select("a", "b").distinct(), "classes")
+        if not found:
             return
-        moved = components(classes, self.work).select(F.col("node").alias("was"), F.col("root").alias("now"))
-        alone = moved.select(F.col("was").alias("node"), F.col("was").alias("root")).join(self.root, "node", "left_anti")
-        both = self.root.unionByName(alone).join(moved, F.col("root") == F.col("was"), "left")
-        before, self.root = self.root, self.work.write(both.select("node", F.coalesce("now", "root").alias("root")), "roots")
+        moved = components(classes, self.work).where("node != root")
+        # What moves was a root before, so it has no row yet.
+        again = self.root.join(moved.select(F.col("node").alias("was"), F.col("root").alias("now")), F.col("root") == F.col("was"), "left")
+        again = again.select("node", F.coalesce("now", "root").alias("root"))
+        before, self.root = self.root, self.work.write(again.unionByName(moved), "roots")
         self.work.drop(before)
 
     def settle(self, member: DataFrame, leaders: int) -> None:
         """Rounds of leaders over the buckets of ``member``."""
         for turn in range(ROUNDS):
-            self.compare(_leaders(_open_buckets(member, self.root), turn, leaders))
+            self.compare(_leaders(_rooted(member, self.root), turn, leaders))
 
 
 def _shared(member: DataFrame) -> DataFrame:
@@ -407,7 +408,7 @@ def _shared(member: DataFrame) -> DataFrame:
 
 
 def _link(work: Workspace, named: DataFrame, nodes: DataFrame, ids: DataFrame, idf_of, threshold: float, exact: bool) -> DataFrame:
-    """(node, root) of the nodes that are linked to others."""
+    """(node, root) of the nodes that are linked to others and are not the root themselves."""
     member = work.write(_shared(nodes.select("node", F.explode("bands").alias("bucket"))), "member")
 
     # One document per text that shares a bucket, found by node and id: the many
@@ -437,21 +438,27 @@ def _link(work: Workspace, named: DataFrame, nodes: DataFrame, ids: DataFrame, i
     return links.root
 
 
+def _rooted(member: DataFrame, root: DataFrame) -> DataFrame:
+    """(bucket, node, root) of all members."""
+    return member.select("bucket", "node").join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+
+
 def _open_buckets(member: DataFrame, root: DataFrame) -> DataFrame:
     """(bucket, node, root) of the buckets whose nodes belong to several classes."""
-    placed = member.select("bucket", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = _rooted(member, root)
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
     return placed.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
-def _leaders(open_: DataFrame, turn: int, leaders: int) -> DataFrame:
-    """Nodes of the largest classes of each bucket with every node outside that class."""
+def _leaders(placed: DataFrame, turn: int, leaders: int) -> DataFrame:
+    """Nodes of the largest classes of each bucket with every node outside that class; none of a bucket of one class."""
     order = F.xxhash64(F.lit(turn), "node")
-    size = open_.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.min_by("node", order).alias("a"))
+    size = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.min_by("node", order).alias("a"))
     # Classes of one size take turns.
     best = [F.max_by(F.struct("root", "a"), F.struct("n", F.xxhash64(F.lit(turn * leaders + j), "root"))) for j in range(leaders)]
-    lead = size.groupBy("bucket").agg(F.array_distinct(F.array(*best)).alias("leads"))
-    out = open_.join(lead, "bucket").select("node", "root", F.explode("leads").alias("lead")).where("root != lead.root")
+    lead = size.groupBy("bucket").agg(F.array_distinct(F.array(*best)).alias("leads"), F.count(F.lit(1)).alias("classes"))
+    lead = lead.where("classes > 1").select("bucket", "leads")
+    out = placed.join(lead, "bucket").select("node", "root", F.explode("leads").alias("lead")).where("root != lead.root")
     return out.select(F.least("lead.a", "node").alias("a"), F.greatest("lead.a", "node").alias("b"))
 
 

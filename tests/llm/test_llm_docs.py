@@ -17,6 +17,7 @@ from tenurelog.llm import tokens as tk
 from tenurelog.llm import weighted_minhash as wm
 from tenurelog.llm.byte_shards import byte_shards
 from tenurelog.llm.components import components
+from tenurelog.llm.decontaminate import find_benchmark_windows
 from tenurelog.llm.url_reputation import judge_urls, suffix_and_domain
 from tenurelog.llm.workspace import Workspace
 
@@ -145,6 +146,38 @@ def test_components_of_a_chain(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_components_know_their_end_without_edges(spark):
+    assert components(spark.createDataFrame([], "a long, b long"), Workspace(spark, "test")).count() == 0
+
+
+def test_rows_are_counted_while_they_are_written(spark):
+    """Without a job of their own; a table that Spark finds empty has none."""
+    work = Workspace(spark, "test")
+    table, n = work.write_counted(spark.range(1000).where("id % 3 = 0"), "rows")
+    assert n == table.count() == 334
+    none = spark.createDataFrame([], "id long")
+    for empty in (none, none.join(spark.range(9), "id"), spark.range(9).where("id < 0").distinct()):
+        table, n = work.write_counted(empty, "none")
+        assert n == table.count() == 0
+
+
+def test_near_duplicates_take_few_jobs(spark, docs):
+    """Each job's plans, stages and threads cost the driver memory, whatever the size of the table."""
+    context = spark.sparkContext
+    context.setJobGroup("few-jobs", "near duplicates")
+    wm.near_duplicates(docs)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("few-jobs")) <= 110
+
+
+def test_the_driver_keeps_no_tables_of_powers(spark, docs, sf_dir):
+    """What tokenising a sample leaves in the driver would stay for all later stages."""
+    quality.fit_quality(docs, queries.table(spark, sf_dir, "labels"))
+    assert len(tk._powers[0]) == 1
+    find_benchmark_windows(docs, queries.table(spark, sf_dir, "benchmark"))
+    assert len(tk._powers[0]) == 1
+
+
 # -- URLs ------------------------------------------------------------------
 
 

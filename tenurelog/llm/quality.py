@@ -141,12 +141,12 @@ def word_vectors(base: DataFrame) -> np.ndarray:
     sums = base.select(TEXT).mapInArrow(partial(_sums_of_partition, fan_in), schema)
     for keys in (("block", "part"), ("block",)):
         sums = sums.groupBy(*keys).applyInArrow(_sum_blocks, schema)
-    flat = np.zeros(SIZE << BUCKET_BITS, np.int64)
+    table = np.zeros((1 << BUCKET_BITS, SIZE), np.float32)
+    rows = SUM_BLOCK // SIZE
     for row in sums.select("block", "sums").collect():  # a constant number of constant size
-        flat[row[0] * SUM_BLOCK : (row[0] + 1) * SUM_BLOCK] = _unpacked(bytes(row[1]))
-    table = flat.reshape(-1, SIZE).astype(float)
-    long = np.linalg.norm(table, axis=1, keepdims=True)
-    return (table / np.maximum(long, 1e-9)).astype(np.float32)
+        block = _unpacked(bytes(row[1])).reshape(-1, SIZE).astype(float)  # one at a time: the driver's memory is small
+        table[row[0] * rows : (row[0] + 1) * rows] = block / np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-9)
+    return table
 
 
 def pooled(vectors: np.ndarray, token: np.ndarray, text: np.ndarray, count: int) -> np.ndarray:
@@ -262,7 +262,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     # At most 2 * sample rows, so they go to the documents and not the other way round.
     base = texts(docs, id_col, text_col).where(f"{TEXT} IS NOT NULL")
     found = base.join(F.broadcast(chosen), F.col(ID) == F.col("_label_id")).groupBy("_label_id", "_label").agg(F.min(TEXT).alias(TEXT))
-    net = train(word_vectors(base), sorted((r[0], r[1]) for r in found.select(TEXT, "_label").collect()))
+    vectors = word_vectors(base)
+    tk.release()
+    net = train(vectors, sorted((r[0], r[1]) for r in found.select(TEXT, "_label").collect()))
     tk.release()  # the driver tokenised the sample; later stages need its memory
     return net
 

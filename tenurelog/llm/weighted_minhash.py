@@ -46,7 +46,7 @@ from math import ceil, log, sqrt
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens as tk
@@ -71,6 +71,7 @@ SLACK = 1e-6  # of the threshold: sums of the same weights in another order diff
 PLANES = 4  # bits per sample in a sketch
 
 U64 = np.uint64
+PAIR = ["a", "b", "root_a", "root_b"]
 PREFIX = "node binary, root binary, shingle bigint, left double, short boolean, weight double"
 _SHIFT = U64(20)  # a shingle is known by 44 bits within its text
 
@@ -285,12 +286,13 @@ def similarity(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray:
 
 @tk.freed
 def _verify(idf_of, threshold: float, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The roots of the pairs that are similar."""
     idf = idf_of.value
     for batch in tk.slices(batches, "text_b"):
         like = similarity(batch.column("text_a"), batch.column("text_b"), idf)
         # A hair below: sums of the same weights in another order differ in the last bits.
         hit = pa.array(np.flatnonzero(like >= threshold - 1e-9))
-        yield pa.RecordBatch.from_arrays([batch.column("a").take(hit), batch.column("b").take(hit)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([batch.column("root_a").take(hit), batch.column("root_b").take(hit)], ["a", "b"])
 
 
 def _possible(threshold: float, samples: int, planes: int):
@@ -331,8 +333,8 @@ def near_duplicates(
     named = base.withColumn("node", digest())
     placed = work.write(named.select(ID, "node"), "placed")
 
-    idf = to_levels(document_frequencies(base), placed.count())
-    idf_of = spark.sparkContext.broadcast(idf)  # 2**DF_BITS bytes
+    idf_of = spark.sparkContext.broadcast(to_levels(document_frequencies(base), placed.count()))  # 2**DF_BITS bytes
+    tk.release()  # the driver needs the frequencies no more
     signed = named.where("node IS NOT NULL").select("node", TEXT).mapInArrow(
         partial(_sign, idf_of), "node binary, bands array<bigint>, sketch array<bigint>"
     )
@@ -368,24 +370,23 @@ class _Links:
         return pairs
 
     def compare(self, pairs: DataFrame, sketched: bool = True) -> None:
-        """Verify the pairs and join the classes of similar ones; ``sketched`` leaves out those tried before or ruled out by sketches."""
+        """Verify the pairs and join the classes of similar ones; ``sketched`` leaves out those tried before or ruled out by sketches.
+
+        Pairs ``(a, b, root_a, root_b)`` bring their roots along, which differ, in either order, so that links need not look for them.
+        """
         if sketched:
             pairs = pairs.distinct().join(self.tried, ["a", "b"], "left_anti")
         pairs, found = self.work.write_counted(pairs, "pairs")
         if not found:
             return
         if sketched:
-            self.tried = self.tried.union(pairs)
+            self.tried = self.tried.union(pairs.select("a", "b"))
             able = self._both(pairs, self.nodes, "sketch").where(_possible(self.threshold, SAMPLES, PLANES))
-            pairs = able.select("a", "b")
-        whole = self._both(pairs, self.text_of, "text").select("a", "b", "text_a", "text_b")
-        new = whole.mapInArrow(partial(_verify, self.idf_of, self.threshold), "a binary, b binary")
+            pairs = able.select(*PAIR)
+        whole = self._both(pairs, self.text_of, "text").select("root_a", "root_b", "text_a", "text_b")
         # Only the classes that the new links join are gone through, not all links again.
-        roots = self.root.withColumnsRenamed({"node": "n", "root": "r"})
-        for name in ("a", "b"):
-            joined = new.join(roots, F.col(name) == F.col("n"), "left")
-            new = joined.select(*[c for c in ("a", "b") if c != name], F.coalesce("r", name).alias(name))
-        classes, found = self.work.write_counted(new.where("a != b").select("a", "b").distinct(), "classes")
+        new = whole.mapInArrow(partial(_verify, self.idf_of, self.threshold), "a binary, b binary")
+        classes, found = self.work.write_counted(new.distinct(), "classes")
         if not found:
             return
         moved = components(classes, self.work).where("node != root")
@@ -421,7 +422,7 @@ def _link(work: Workspace, named: DataFrame, nodes: DataFrame, ids: DataFrame, i
     # First every node tries the leader that it meets in most buckets.
     meets = member.where("node != leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
     pick = meets.groupBy("node").agg(F.max_by("leader", F.struct("n", "leader")).alias("a")).withColumnRenamed("node", "b")
-    links.compare(pick.select("a", "b"))
+    links.compare(pick.select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b")))
     links.settle(member, LEADERS)
 
     if not exact:
@@ -433,6 +434,7 @@ def _link(work: Workspace, named: DataFrame, nodes: DataFrame, ids: DataFrame, i
     apart = work.write(_open_buckets(member, links.root).select("node", "root").distinct(), "apart")
     loose = work.write(text_of.join(apart, "node"), "loose")
     df_of = work.spark.sparkContext.broadcast(document_frequencies(loose.select(F.col("text").alias(TEXT))))  # 2**DF_BITS numbers
+    tk.release()
     rare = loose.mapInArrow(partial(_prefixes, idf_of, df_of, threshold), PREFIX)
     links.compare(_remaining(work.write(rare, "rare"), threshold), sketched=False)
     return links.root
@@ -459,7 +461,11 @@ def _leaders(placed: DataFrame, turn: int, leaders: int) -> DataFrame:
     lead = size.groupBy("bucket").agg(F.array_distinct(F.array(*best)).alias("leads"), F.count(F.lit(1)).alias("classes"))
     lead = lead.where("classes > 1").select("bucket", "leads")
     out = placed.join(lead, "bucket").select("node", "root", F.explode("leads").alias("lead")).where("root != lead.root")
-    return out.select(F.least("lead.a", "node").alias("a"), F.greatest("lead.a", "node").alias("b"))
+    return out.select(*_in_order("lead.a", "node", "a", "b"), *_in_order("lead.root", "root", "root_a", "root_b"))
+
+
+def _in_order(one: str, other: str, low: str, high: str) -> tuple[Column, Column]:
+    return F.least(one, other).alias(low), F.greatest(one, other).alias(high)
 
 
 @tk.freed
@@ -524,4 +530,4 @@ def _remaining(rare: DataFrame, threshold: float) -> DataFrame:
     for side in "ab":
         names = {"node": side, "root": f"root_{side}", "left": f"left_{side}", "weight": f"weight_{side}"}
         pairs = pairs.join(live.select("shingle", *[F.col(c).alias(n) for c, n in names.items()]), ["shingle", f"root_{side}"])
-    return pairs.where(may).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.where(may).select(*_in_order("a", "b", "a", "b"), "root_a", "root_b").distinct()

@@ -170,6 +170,32 @@ def test_near_duplicates_take_few_jobs(spark, docs):
     assert len(context.statusTracker().getJobIdsForGroup("few-jobs")) <= 110
 
 
+def test_pairs_bring_their_roots(spark, docs, monkeypatch):
+    """Links need no join with the classes, and the pairs of a round are never of one class."""
+    seen, compare = [], wm._Links.compare
+
+    def checked(self, pairs, sketched=True):
+        root = {bytes(r["node"]): bytes(r["root"]) for r in self.root.collect()}
+        for r in pairs.collect():
+            a, b = bytes(r["a"]), bytes(r["b"])
+            assert a < b and {bytes(r["root_a"]), bytes(r["root_b"])} == {root.get(a, a), root.get(b, b)}
+            assert r["root_a"] != r["root_b"]
+            seen.append((a, b))
+        compare(self, pairs, sketched)
+
+    monkeypatch.setattr(wm._Links, "compare", checked)
+    wm.near_duplicates(docs)
+    assert seen
+
+
+def test_the_driver_gives_memory_back_behind_frequencies(spark, docs, monkeypatch):
+    calls, frequencies, release = [], wm.document_frequencies, tk.release
+    monkeypatch.setattr(wm, "document_frequencies", lambda base: (calls.append("df"), frequencies(base))[1])
+    monkeypatch.setattr(tk, "release", lambda: (calls.append("release"), release())[1])
+    wm.near_duplicates(docs)
+    assert calls == ["df", "release"] * 2
+
+
 def test_the_driver_keeps_no_tables_of_powers(spark, docs, sf_dir):
     """What tokenising a sample leaves in the driver would stay for all later stages."""
     quality.fit_quality(docs, queries.table(spark, sf_dir, "labels"))

@@ -16,8 +16,8 @@ the ends.
 Every unit that goes is left standing somewhere before: the earliest occurrence of
 its digest holds it, or gave way to a still earlier one.
 
-Units are found and hashed by Spark's own functions and written once. Only digests
-and places are shuffled. The earliest occurrence per digest is a minimum with
+Units are found and hashed in whole Arrow batches, without a loop over units, and their
+digests written once. Only digests and places are shuffled. The earliest occurrence per digest is a minimum with
 partial minima before the shuffle, so a line that stands in a third of all
 documents is one row per task there. The occurrences that go are found by a join
 with the digests that occur more than once, in which adaptive execution splits a
@@ -27,30 +27,95 @@ frequent digest; then their places meet the documents once.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from functools import partial
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import ID, TEXT, Workspace, texts
+from . import tokens as tk
+from .workspace import ID, TEXT, Workspace, kept_schema, texts
 
 MIN_WORDS = 8
-# What ends a sentence, and white space inside a line.
+# Fixed value: what ends a sentence.
 SENTENCE = r"[^.!?。！？]+[.!?。！？]*|[.!?。！？]+"
-BLANKS = r"[ \t\x0B\f\r]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SENTENCE = re.compile(SENTENCE)
+# The same marks as bytes; white space inside a line is what is neither visible nor a line feed.
+ASCII_MARKS = np.zeros(256, bool)
+ASCII_MARKS[[ord(c) for c in ".!?"]] = True
+WIDE_MARKS = [int.from_bytes(c.encode()) for c in "。！？"]
+WIDE_LEAD = np.zeros(256, bool)
+WIDE_LEAD[[c >> 16 for c in WIDE_MARKS]] = True
 
-SPANS = "array<struct<start:int,end:int>>"
-
+U64 = np.uint64
+HALVES = (U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F))
 
-def _plain(unit: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(unit, UPPER, LOWER), BLANKS, " "))
+SPANS = "array<struct<start:int,end:int>>"
 
 
-def _n_words(plain: Column) -> Column:
-    return F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.translate(plain, " ", "")) + 1)
+def _marks(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to a mark that ends a sentence."""
+    marks = ASCII_MARKS[data]
+    lead = np.flatnonzero(WIDE_LEAD[data[:-2]])
+    lead = lead[np.isin(data[lead].astype(np.int64) << 16 | data[lead + 1].astype(np.int64) << 8 | data[lead + 2], WIDE_MARKS)]
+    for byte in range(3):
+        marks[lead + byte] = True
+    return marks
+
+
+def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where each unit begins, also one of blanks alone; its text, its line there, and its number in the line."""
+    ends, feed = _marks(data), data == 10
+    begins = np.ones(len(data), bool)
+    begins[1:] = feed[:-1] | (ends[:-1] & ~ends[1:])
+    begins[offsets[offsets < len(data)]] = True
+    begins &= ~feed
+    at = np.flatnonzero(begins)
+    text = np.searchsorted(offsets, at, "right") - 1
+    feeds = np.flatnonzero(feed)
+    row = np.searchsorted(feeds, at)  # lines over all texts, but for the ends of texts
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (text[1:] != text[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(fresh)
+    number = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    return at, text, row - np.searchsorted(feeds, offsets[:-1])[text], number
+
+
+def _digests_of(column: pa.Array, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, place and both halves of the digest of each unit, and of each pair with a short one."""
+    data, offsets = tk.bytes_of(column)
+    at, text, line, number = _units(data, offsets)
+    starts, ends, unit = tk.spans(data, np.append(at, len(data)), tk.VISIBLE)
+    first = np.searchsorted(unit, np.arange(len(at) + 1))
+    size = np.diff(first)
+    place = (np.arange(len(unit)) - first[unit]).astype(U64)
+    data, whole = tk.LOWER[data], []
+    for half, backward in zip(HALVES, (False, True)):
+        word = tk.mix(tk.span_hashes(data, starts, ends, backward) + place * half)
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(word, dtype=U64)])
+        whole.append(tk.mix(sums[first[1:]] - sums[first[:-1]] + size.astype(U64)))
+    own = np.flatnonzero(size >= min_words)
+    low, next_, joined = size < min_words, slice(1, None), np.zeros(len(at), bool)
+    joined[:-1] = (size[:-1] > 0) & (size[next_] > 0) & (low[:-1] | low[next_]) & (text[:-1] == text[next_]) & (line[:-1] == line[next_])
+    pair = np.flatnonzero(joined)
+    which = np.where(low[pair], np.where(low[pair + 1], 3, 1), 2)
+    both = np.concatenate([own, pair])
+    spot = (line[both] << 32) + (number[both] << 2) + np.concatenate([np.zeros(len(own), np.int64), which])
+    # The second of a pair goes through one more step, so that the order counts.
+    d1, d2 = (np.concatenate([w[own], tk.mix(w[pair] + tk.mix(w[pair + 1] + half))]) for w, half in zip(whole, HALVES))
+    return text[both], spot, d1, d2
+
+
+@tk.freed
+def _digests(min_words: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in tk.slices(batches, TEXT):
+        text, at, d1, d2 = _digests_of(batch.column(TEXT), min_words)
+        own = pa.array(text)
+        columns = [batch.column(ID).take(own), batch.column("twin").take(own), *map(pa.array, (at, d1.view(np.int64), d2.view(np.int64)))]
+        yield pa.RecordBatch.from_arrays(columns, [ID, "twin", "at", "d1", "d2"])
 
 
 def unit_digests(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -60,20 +125,8 @@ def unit_digests(base: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     two bits what goes when the digest occurred before: 0 the unit by itself, of
     a pair 1 the unit, 2 the next one, 3 both. ``d1`` and ``d2`` are the digest.
     """
-    lines = base.select(ID, "twin", F.posexplode(F.split(TEXT, "\n")).alias("line", "text"))
-    found = F.transform(F.regexp_extract_all("text", F.lit(SENTENCE), 0), _plain)
-    cut = lines.select(ID, "twin", "line", found.alias("units")).select(ID, "twin", "line", "units", F.posexplode("units").alias("s", "one"))
-    two = F.coalesce(F.try_element_at("units", F.col("s") + 2), F.lit(""))
-    units = cut.where("one != ''").select(ID, "twin", "line", "s", "one", two.alias("two"), _n_words(F.col("one")).alias("n1"))
-    units = units.withColumn("n2", _n_words(F.col("two")))
-    short1, short2 = F.col("n1") < min_words, F.col("n2") < min_words
-    own = F.when(~short1, F.struct(F.lit(0).alias("which"), F.col("one").alias("shown")))
-    which = F.when(short1 & short2, 3).when(short1, 1).otherwise(2)
-    pair = F.when((F.col("n2") > 0) & (short1 | short2), F.struct(which.alias("which"), F.concat("one", F.lit("\n"), "two").alias("shown")))
-    both = units.select(ID, "twin", "line", "s", F.explode(F.array(own, pair)).alias("u")).where("u IS NOT NULL")
-    at = F.shiftleft(F.col("line").cast("long"), 32) + F.shiftleft("s", 2) + F.col("u.which")
-    halves = [F.xxhash64(F.lit(seed), "u.shown").alias(f"d{seed}") for seed in (1, 2)]
-    return both.select(ID, "twin", at.alias("at"), *halves)
+    schema = f"{kept_schema(base)}, twin bigint, at bigint, d1 bigint, d2 bigint"
+    return base.select(ID, "twin", TEXT).mapInArrow(partial(_digests, min_words), schema)
 
 
 def without(text: str, gone: set[int]) -> tuple[str, list[dict]]:
@@ -142,7 +195,7 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     hit, text = F.col("_gone").isNotNull(), F.col(TEXT)
     cut = F.pandas_udf(_cut, f"text string, removed {SPANS}")
     joined = whole.join(gone, same, "left").withColumn("_cut", cut(F.when(hit, text), F.col("_gone")))
-    lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
+    lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     return joined.select(
         *[F.when(hit, F.col("_cut.text")).otherwise(text).alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(lines).alias("_n_lines"),

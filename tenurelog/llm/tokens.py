@@ -119,10 +119,10 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, backward: bool = False) -> np.ndarray:
     """A 64-bit hash of each byte span, the same wherever the span lies; spans in order, not overlapping.
 
-    Works on stretches of about ``MAX_BYTES``, so the tables stay small for any buffer.
+    ``backward`` weighs the bytes by the inverse powers, which gives a second hash. Works on stretches of about ``MAX_BYTES``, so the tables stay small for any buffer.
     """
     out = np.empty(len(starts), U64)
     first = 0
@@ -131,7 +131,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         last = max(first + 1, int(np.searchsorted(ends, low + MAX_BYTES, "right")))
         begin, end = starts[first:last] - low, ends[first:last] - low
         part = data[low : ends[last - 1]]
-        power, inverse = _power_tables(len(part) + 1)
+        power, inverse = _power_tables(len(part) + 1)[:: -1 if backward else 1]
         sums = np.zeros(len(part) + 1, U64)
         np.cumsum((part.astype(U64) + U64(1)) * power[: len(part)], out=sums[1:])
         out[first:last] = mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(U64))

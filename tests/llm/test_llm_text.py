@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from brute import ODD_TEXTS, benchmark_hits, fold, lm_tokens, without_repeats
+from brute import ODD_TEXTS, benchmark_hits, fold, lm_tokens, low, without_repeats
 from pyspark.sql import functions as F
 
 from tenurelog.llm import queries
@@ -18,7 +20,7 @@ from tenurelog.llm import chunked_bpe, interpolated_lm
 from tenurelog.llm.chunked_bpe import Encoder, bpe_round_trip, chunk_cuts, encode_bytes, firm_places, joined_chunks
 from tenurelog.llm.decontaminate import find_benchmark_windows
 from tenurelog.llm.interpolated_lm import bucket_of, learn_weights, pack, pack_sorted, score_texts, unpack, unpack_sorted
-from tenurelog.llm.line_dedup import remove_repeated_lines
+from tenurelog.llm.line_dedup import SENTENCE, _digests_of, remove_repeated_lines
 
 
 def by_text(df, *columns):
@@ -188,6 +190,32 @@ def test_repeated_lines_of_the_table(docs):
     assert all(r["_n_lines"] == len(t["text"].split("\n")) for r, t in zip(sorted(got, key=lambda r: r["doc_id"]), rows))
 
 
+def test_units_of_a_batch_are_those_of_the_patterns():
+    """Places and digests of whole Arrow batches against one regular expression per unit."""
+    draw = random.Random(8)
+    pieces = ["a", "B", "b", " ", "  ", "\t", "\r", "\x0b", "\f", "\n", "\n\n", ".", "!", "?!", "。", "！", "？", "é", "É", "、", "\u3000", "\u2028", "😀", "\x00"]
+    texts = [None, "", "\n", ". .", "a.b c", "。", " \n."] + ["".join(draw.choices(pieces, k=draw.randrange(60))) for _ in range(800)]
+    texts += ["".join(draw.choices([*pieces, "one two three. ", "four five! "], k=40)) for _ in range(200)]
+    want = {}
+    for t, text in enumerate(texts):
+        for n, line in enumerate((text or "").split("\n")):
+            plain = [tuple(re.split(r"[ \t\x0b\f\r]+", low(u).decode().strip(" \t\x0b\f\r"))) for u in re.findall(SENTENCE, line)]
+            plain = [() if u == ("",) else u for u in plain]
+            for s, own in enumerate(plain):
+                after = plain[s + 1] if s + 1 < len(plain) else ()
+                if len(own) >= 4:
+                    want[t, n << 32 | s << 2] = own
+                if own and after and min(len(own), len(after)) < 4:
+                    want[t, n << 32 | s << 2 | (3 if max(len(own), len(after)) < 4 else 1 if len(own) < 4 else 2)] = (own, after)
+    text, at, d1, d2 = _digests_of(pa.array(texts), 4)
+    for half in (d1, d2, list(zip(d1, d2))):
+        got = dict(zip(zip(text.tolist(), at.tolist()), half))
+        assert got.keys() == want.keys() and len(text) == len(want) > 1000
+        assert len(set(got.values())) == len(set(want.values())) == len({(got[k], want[k]) for k in want})
+    parts = [_digests_of(pa.array(texts[i : i + 7]), 4) for i in range(0, len(texts), 7)]
+    assert sorted(d for part in parts for d in part[2].tolist()) == sorted(d1.tolist())  # whatever else is in the batch
+
+
 def test_repeated_lines_edges(spark, odd, empty):
     line = "a line of more than eight words that stands everywhere here"
     rows = [(1, f"{line}\nx\n{line}"), (2, f"  {line.upper()} \n"), (None, line), (3, None), (3, ""), (4, f"{line}\n" * 5000)]

@@ -24,10 +24,11 @@ def main() -> None:
     parser.add_argument("--layout", choices=LAYOUTS, default=LAYOUTS[0])
     parser.add_argument("--max-days", type=int, help="longest calendar, default no limit")
     parser.add_argument("--buckets", type=int, default=BUCKETS, help="of tables that do not exist yet")
+    parser.add_argument("--purge", action="store_true", help="delete landed files once their records are in RAW")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("tenurelog").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     result = Warehouse(spark, args.root, args.buckets).refresh(
-        args.landing, args.load_date, args.as_of, layout=args.layout, max_days=args.max_days
+        args.landing, args.load_date, args.as_of, layout=args.layout, max_days=args.max_days, purge=args.purge
     )
     for load in result.loads:
         print(f"{load.entity}: {load.files} files, {load.records} records, {load.bad_records} set aside")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tenurelog.plans import Warehouse, refresh
 from tenurelog.session import settings, side_by_side
-from tenurelog.sources import RawStore, land, landing as landing_module
+from tenurelog.sources import CatalogLayers, RawStore, land
+from tenurelog.sources import landing as landing_module
 
 T1, T2 = "2024-01-01 06:00:00", "2024-01-02 06:00:00"
 DAY = "2024-01-01"
@@ -157,3 +158,16 @@ def test_stored_tables_are_compressed(spark, tmp_path):
     Warehouse(spark, str(tmp_path / "home"), buckets=4).refresh(folder, DAY, LAST, loaded_at=T1, layout="lines")
     written = [f for layer in ("raw", "refined", "curated") for f in glob(f"{tmp_path}/home/{layer}/*/data/**/part-*", recursive=True)]
     assert written and all(f.endswith(".zstd.parquet") for f in written)
+
+
+def test_catalog_models_are_compressed_and_leave_no_shuffle_files(spark, tmp_path):
+    folder = str(tmp_path / "landing")
+    before = shuffle_files(spark)
+    for day, at in ((DAY, T1), ("2024-01-02", T2)):
+        land_all(folder, day)
+        layers = CatalogLayers(spark, "disk_")
+        Warehouse(spark, str(tmp_path / "home"), buckets=4, catalog=layers).refresh(folder, day, LAST, loaded_at=at, layout="lines", strict_checks=False, purge=True)
+    files = [f for model in ("dim_worker", "fct_compensation", "fct_headcount_daily") for f in layers.table("curated", model).inputFiles()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert shuffle_files(spark) <= before and not glob(f"{folder}/*/*/*.json")
+    assert layers.table("raw", "workers").count() == 4
